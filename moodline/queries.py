@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from moodline.operators import dashboard, facts, risk, staging
-from moodline.session import configure
-from moodline.sources import derived
+from moodline.functions.records import canonical_text
+from moodline.operators import dashboard, facts, ingest, merge, risk, staging
+from moodline.session import checkpoint_dir, configure
+from moodline.sources import derived, landed
 
 # Fixed refresh time injected into M4/M5 so results are reproducible
 # (production passes None -> current_timestamp()).
@@ -111,5 +113,170 @@ def q_heatmap(spark, sf_dir):
     return dashboard.sentiment_heatmap(_stg_tickets(spark, sf_dir))
 
 
+# ------------------------------------------------------------- ingestion
+
+# Fixed parameters of the registered ingestion runs.
+TICKET_LOAD_ID = "20240201T000000"
+ORDER_LOAD_ID = "20240201T000000"
+TICKET_CURSOR = "2024-01-15T00:00:00Z"        # I1, boundary kept
+ORDER_CURSOR = "2024-01-15T00:00:00+00:00"    # I2, strictly newer
+FIRST_LOAD_BEFORE = "2024-01-20 00:00:00"      # merge target: earlier load
+SECOND_LOAD_FROM = "2024-01-10 00:00:00"       # merge batch: overlapping re-delivery
+RERUN_AT = "2024-02-02 00:00:00"
+TICKET_PIPELINE, TICKET_SOURCE = "tickets_pipeline", "ticket_api"
+ORDER_PIPELINE, ORDER_SOURCE = "orders_pipeline", "orders_csv"
+
+TICKET_OUT = ingest.TICKET_COLUMNS + ("_load_id", "_row_id")
+ORDER_OUT = ("order_id", "customer_id", "order_status", "order_purchase_timestamp",
+             "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
+             "order_estimated_delivery_date", "price", "freight_value", "is_delayed_order",
+             "_load_id", "_row_id")
+
+
+def _ticket_records(spark, sf_dir):
+    payloads = derived.ticket_payloads(derived.read_table(spark, sf_dir, "events"))
+    records, _bad = landed.unwrap_envelope(payloads)
+    return records
+
+
+def _normalized_tickets(spark, sf_dir):
+    return ingest.normalize_tickets(_ticket_records(spark, sf_dir), load_id=TICKET_LOAD_ID)
+
+
+def _good_tickets(spark, sf_dir):
+    return ingest.good_rows(_normalized_tickets(spark, sf_dir))
+
+
+def _landed_orders(spark, sf_dir):
+    return derived.landed_order_rows(derived.read_table(spark, sf_dir, "orders"),
+                                     derived.read_table(spark, sf_dir, "lineitem"))
+
+
+def _normalized_orders(spark, sf_dir):
+    return ingest.normalize_orders(_landed_orders(spark, sf_dir), load_id=ORDER_LOAD_ID)
+
+
+def _good_orders(spark, sf_dir):
+    return ingest.good_rows(_normalized_orders(spark, sf_dir))
+
+
+def _ts(text):
+    return F.lit(text).cast("timestamp")
+
+
+def _ticket_order():
+    return [F.col("created_at").desc(), F.col("_row_id").desc()]
+
+
+def _order_order():
+    return [F.col("order_purchase_timestamp").desc(), F.col("_ordinal").asc()]
+
+
+@query("unwrap_envelope")
+def q_unwrap(spark, sf_dir):
+    """S3 + F5: payload pages -> object records, canonical text, position."""
+    recs = _ticket_records(spark, sf_dir)
+    return recs.select("_source", F.col("_ordinal.p").alias("_pos"),
+                       canonical_text(F.col("record")).alias("record_text"))
+
+
+@query("normalized_tickets")
+def q_normalized_tickets(spark, sf_dir):
+    """V1 + V3 + P4: every record, typed, with its first error (or NULL)."""
+    return _normalized_tickets(spark, sf_dir).select(*TICKET_OUT, "error_message")
+
+
+@query("flatten_ticket")
+def q_flatten(spark, sf_dir):
+    """Nested customer / metadata flattened onto accepted tickets."""
+    return _good_tickets(spark, sf_dir).select(
+        "ticket_id", "customer_id", "customer_region", "customer_tier", "channel", "priority")
+
+
+@query("failed_tickets")
+def q_failed_tickets(spark, sf_dir):
+    """V5 + V6: rejected ticket records as dead letters."""
+    return ingest.failed_records(_normalized_tickets(spark, sf_dir), TICKET_PIPELINE,
+                                 TICKET_SOURCE, failed_at=_ts(AS_OF))
+
+
+@query("tickets_after_cursor")
+def q_tickets_after_cursor(spark, sf_dir):
+    """Accepted tickets at or after the cursor."""
+    good = _good_tickets(spark, sf_dir)
+    return ingest.after_cursor(good, "created_at", TICKET_CURSOR, inclusive=True).select(*TICKET_OUT)
+
+
+@query("merge_tickets")
+def q_merge_tickets(spark, sf_dir):
+    """A re-delivery batch merged into an earlier load by ticket_id."""
+    good = _good_tickets(spark, sf_dir).select(*TICKET_OUT)
+    target = staging.keep_latest(good.filter(F.col("created_at") < _ts(FIRST_LOAD_BEFORE)),
+                                 "ticket_id", _ticket_order())
+    batch = good.filter(F.col("created_at") >= _ts(SECOND_LOAD_FROM))
+    return merge.merge_by_key(target, batch, "ticket_id", _ticket_order())
+
+
+@query("normalized_orders")
+def q_normalized_orders(spark, sf_dir):
+    """V2 + V4: every CSV row, typed, with its first error (or NULL)."""
+    return _normalized_orders(spark, sf_dir).select(*ORDER_OUT, "error_message")
+
+
+@query("failed_orders")
+def q_failed_orders(spark, sf_dir):
+    """V5 + V6: rejected order rows as dead letters."""
+    return ingest.failed_records(_normalized_orders(spark, sf_dir), ORDER_PIPELINE,
+                                 ORDER_SOURCE, failed_at=_ts(AS_OF))
+
+
+@query("latest_orders")
+def q_latest_orders(spark, sf_dir):
+    """I3 + O3: newest row per order (first seen on ties), in time order."""
+    latest = ingest.latest_per_key(_good_orders(spark, sf_dir), "order_id", "order_purchase_timestamp")
+    return latest.orderBy("order_purchase_timestamp", "_ordinal").select(*ORDER_OUT)
+
+
+@query("orders_after_cursor")
+def q_orders_after_cursor(spark, sf_dir):
+    """I2 then I3: strictly newer than the cursor, newest per order."""
+    newer = ingest.after_cursor(_good_orders(spark, sf_dir), "order_purchase_timestamp",
+                                ORDER_CURSOR, inclusive=False)
+    return ingest.latest_per_key(newer, "order_id", "order_purchase_timestamp").select(*ORDER_OUT)
+
+
+@query("merge_orders")
+def q_merge_orders(spark, sf_dir):
+    """A later order batch merged into an earlier load by order_id."""
+    good = _good_orders(spark, sf_dir)
+    ts = F.col("order_purchase_timestamp")
+    target = staging.keep_latest(good.filter(ts < _ts(FIRST_LOAD_BEFORE)), "order_id", _order_order())
+    batch = good.filter(ts >= _ts(SECOND_LOAD_FROM))
+    return merge.merge_by_key(target, batch, "order_id", _order_order()).select(*ORDER_OUT)
+
+
+@query("merge_failed")
+def q_merge_failed(spark, sf_dir):
+    """S6 on dead letters: a rerun of the ticket load maps onto the same keys."""
+    first = ingest.failed_records(_normalized_tickets(spark, sf_dir), TICKET_PIPELINE, TICKET_SOURCE,
+                                  failed_at=_ts(AS_OF)).unionByName(
+        ingest.failed_records(_normalized_orders(spark, sf_dir), ORDER_PIPELINE, ORDER_SOURCE,
+                              failed_at=_ts(AS_OF)))
+    rerun = ingest.failed_records(_normalized_tickets(spark, sf_dir), TICKET_PIPELINE, TICKET_SOURCE,
+                                  failed_at=_ts(RERUN_AT))
+    return merge.merge_by_key(first, rerun, "record_hash", [F.col("failed_at").desc()])
+
+
+@query("orders_csv_roundtrip")
+def q_orders_csv(spark, sf_dir):
+    """Orders landed as CSV files, read back as text, normalised, newest per order."""
+    import uuid
+    path = f"{checkpoint_dir(spark)}/landing/orders-{uuid.uuid4().hex}"
+    _landed_orders(spark, sf_dir).drop("_ordinal").write.option("header", True).csv(path)
+    rows = landed.read_orders_csv(spark, path)
+    good = ingest.good_rows(ingest.normalize_orders(rows, load_id=ORDER_LOAD_ID))
+    return ingest.latest_per_key(good, "order_id", "order_purchase_timestamp").select(*ORDER_OUT)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -102,3 +102,88 @@ def raw_tickets_at(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_orders_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_orders(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"))
+
+
+# ------------------------------------------------------------------
+# Landed forms: ticket payload pages and orders CSV rows.
+
+# Fixed values of the landed derivation.
+PAGE_SIZE = 50                      # records per payload page (one API page)
+BARE_ITEM_MOD = 13                  # these events land as a bare string item
+NO_CUSTOMER_OBJECT_MOD = 7          # region given top-level, no customer object
+MALFORMED_SCORE_MOD = 83            # score text 'n/a'
+MALFORMED_PRICE_MOD = 211           # price text 'n/a'
+PAYLOAD_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def ticket_items(events: DataFrame) -> DataFrame:
+    """One payload item per event: ``(event_id, page, item)`` JSON text.
+
+    Most items are ticket objects with nested ``customer`` / ``metadata``;
+    every key is present (NULLs as JSON null). Some land as bare strings.
+    """
+    eid, uid = F.col("event_id"), F.col("user_id")
+    k = ((eid * 37) % 103) - 64
+    prio = eid % 3
+    region = F.concat(F.lit("R"), (uid % 5).cast("string"))
+    no_obj = eid % NO_CUSTOMER_OBJECT_MOD == 0
+    record = F.struct(
+        F.when(eid % BAD_TICKET_TS_MOD == 0, F.lit("invalid-ts"))
+         .otherwise(F.date_format(F.col("ts").cast("timestamp"), PAYLOAD_TS_FORMAT)).alias("created_at"),
+        F.when(no_obj, F.lit(None)).otherwise(F.struct(
+            region.alias("region"),
+            F.when(uid % 4 == 0, F.lit("gold")).alias("tier"))).alias("customer"),
+        uid.cast("string").alias("customer_id"),
+        F.when(no_obj, region).alias("customer_region"),
+        F.struct(F.col("event_type").alias("channel"),
+                 F.when(prio == 0, F.lit(PRIORITY_BY_MOD3[0]))
+                  .when(prio == 1, F.lit(PRIORITY_BY_MOD3[1]))
+                  .otherwise(F.lit(PRIORITY_BY_MOD3[2])).alias("priority")).alias("metadata"),
+        F.col("event_type").alias("sentiment_label"),
+        F.when(eid % BLANK_SCORE_MOD == 0, F.lit(""))
+         .when(eid % MALFORMED_SCORE_MOD == 0, F.lit("n/a"))
+         .otherwise((k.cast("double") / F.lit(64.0)).cast("string")).alias("sentiment_score"),
+        F.when(eid % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("open")).alias("status"),
+        F.expr("event_id div 2").alias("ticket_id"),
+    )
+    item = (F.when(eid % BARE_ITEM_MOD == 0, F.concat(F.lit('"e'), eid.cast("string"), F.lit('"')))
+            .otherwise(F.to_json(record, {"ignoreNullFields": "false"})))
+    return events.select(eid.alias("event_id"), F.expr(f"event_id div {PAGE_SIZE}").alias("page"),
+                         item.alias("item"))
+
+
+def ticket_payloads(events: DataFrame) -> DataFrame:
+    """Landed payload documents, one row per page: ``value``, ``_source``.
+
+    Pages rotate through the accepted envelope shapes: a root list,
+    ``data`` (beside an empty ``tickets``), ``tickets`` (beside a non-list
+    ``data``), ``results`` and ``items`` with paging keys. A page holds at
+    most ``PAGE_SIZE`` items by construction, so gathering one is bounded.
+    """
+    items = ticket_items(events)
+    pages = items.groupBy("page").agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "item"))).alias("its"))
+    body = F.concat(F.lit("["), F.array_join(F.transform("its", lambda x: x["item"]), ","), F.lit("]"))
+    shape = F.col("page") % 5
+    nxt = (F.col("page") + 1).cast("string")
+    value = (F.when(shape == 0, body)
+             .when(shape == 1, F.concat(F.lit('{"data":'), body, F.lit(',"tickets":[]}')))
+             .when(shape == 2, F.concat(F.lit('{"data":"n/a","tickets":'), body, F.lit("}")))
+             .when(shape == 3, F.concat(F.lit('{"next_page_token":"p'), nxt, F.lit('","results":'), body, F.lit("}")))
+             .otherwise(F.concat(F.lit('{"has_more":false,"items":'), body, F.lit("}"))))
+    return pages.select(value.alias("value"),
+                        F.concat(F.lit("page-"), F.col("page").cast("string")).alias("_source"))
+
+
+def landed_order_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Orders as landed CSV text (every column text, money with 2 decimals),
+    plus ``_ordinal`` = file order. Some prices land as 'n/a'."""
+    raw = raw_orders(orders, lineitem)
+    key = F.col("_row_id").cast("long")
+    money = {c: F.col(c).cast("decimal(12,2)").cast("string") for c in ("price", "freight_value")}
+    price = F.when(key % MALFORMED_PRICE_MOD == 0, F.lit("n/a")).otherwise(money["price"])
+    return raw.select(
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp",
+        "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
+        "order_estimated_delivery_date", price.alias("price"),
+        money["freight_value"].alias("freight_value"), key.alias("_ordinal"))
