@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodline.functions.records import canonical_text
-from moodline.operators import dashboard, facts, ingest, merge, risk, staging
+from moodline.operators import dashboard, facts, ingest, merge, quality, risk, staging
 from moodline.session import checkpoint_dir, configure
 from moodline.sources import derived, landed
 
@@ -278,5 +278,92 @@ def q_orders_csv(spark, sf_dir):
     return ingest.latest_per_key(good, "order_id", "order_purchase_timestamp").select(*ORDER_OUT)
 
 
+# ---------------------------------------------------------------- quality
+
+def _failed_all(spark, sf_dir):
+    return ingest.failed_records(_normalized_tickets(spark, sf_dir), TICKET_PIPELINE, TICKET_SOURCE,
+                                 failed_at=_ts(AS_OF)).unionByName(
+        ingest.failed_records(_normalized_orders(spark, sf_dir), ORDER_PIPELINE, ORDER_SOURCE,
+                              failed_at=_ts(AS_OF)))
+
+
+@query("contract_check")
+def q_contract(spark, sf_dir):
+    """V7: required keys present across all landed ticket records."""
+    return quality.contract_check(_ticket_records(spark, sf_dir), ingest.TICKET_REQUIRED)
+
+
+@query("failed_ratio")
+def q_failed_ratio(spark, sf_dir):
+    """K1: failed-record ratio per pipeline against the 1% guardrail."""
+    return quality.failed_ratio((TICKET_PIPELINE, _normalized_tickets(spark, sf_dir)),
+                                (ORDER_PIPELINE, _normalized_orders(spark, sf_dir)))
+
+
+@query("failure_patterns")
+def q_failure_patterns(spark, sf_dir):
+    """K2: top failure classes across both pipelines."""
+    return quality.failure_patterns(_failed_all(spark, sf_dir), k=10)
+
+
+@query("freshness")
+def q_freshness(spark, sf_dir):
+    """K3: newest event per table against its SLA at the refresh time."""
+    sla = quality.FRESHNESS_SLA_MINUTES
+    return quality.freshness(spark, [
+        ("stg_tickets", _stg_tickets(spark, sf_dir), "created_at", sla["tickets"]),
+        ("stg_orders", _stg_orders(spark, sf_dir), "order_purchase_timestamp", sla["orders"]),
+        ("high_risk_customers", _high_risk(spark, sf_dir), "refreshed_at", sla["platform"]),
+    ], as_of=_ts(AS_OF))
+
+
+@query("layer_counts")
+def q_layer_counts(spark, sf_dir):
+    """K4: rows per layer table (raw vs staging reconciliation)."""
+    hr = _high_risk(spark, sf_dir)
+    return quality.layer_counts([
+        ("raw_zone", "raw_tickets", derived.raw_tickets_at(spark, sf_dir)),
+        ("raw_zone", "raw_orders", derived.raw_orders_at(spark, sf_dir)),
+        ("staging", "stg_tickets", _stg_tickets(spark, sf_dir)),
+        ("staging", "stg_orders", _stg_orders(spark, sf_dir)),
+        ("core", "fact_sentiment_daily", _fact(spark, sf_dir)),
+        ("enrichment", "high_risk_customers", hr),
+        ("dashboard", "high_risk_table", dashboard.high_risk_table(hr)),
+        ("dashboard", "sentiment_heatmap", dashboard.sentiment_heatmap(_stg_tickets(spark, sf_dir), ordered=False)),
+    ])
+
+
+@query("sentiment_dod")
+def q_sentiment_dod(spark, sf_dir):
+    """K5: daily mean sentiment with day-over-day change."""
+    return quality.sentiment_dod(_stg_tickets(spark, sf_dir))
+
+
+@query("newly_flagged")
+def q_newly_flagged(spark, sf_dir):
+    """K6: customers flagged on a day and not on the day before."""
+    return quality.newly_flagged(_high_risk(spark, sf_dir))
+
+
+@query("delayed_orders_dod")
+def q_delayed_dod(spark, sf_dir):
+    """K7: delayed orders per day with day-over-day change."""
+    return quality.delayed_orders_dod(_stg_orders(spark, sf_dir))
+
+
+@query("owner_queue")
+def q_owner_queue(spark, sf_dir):
+    """K8: risk queue with the owning team per band."""
+    return quality.owner_queue(dashboard.high_risk_table(_high_risk(spark, sf_dir)), spark)
+
+
+@query("run_durations")
+def q_run_durations(spark, sf_dir):
+    """V8 + V9: audit events per landed payload batch, correlated per run."""
+    events = quality.batch_audit_events(_normalized_tickets(spark, sf_dir), TICKET_PIPELINE,
+                                        "_source", "created_at")
+    return quality.run_durations(events)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
