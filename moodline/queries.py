@@ -365,5 +365,49 @@ def q_run_durations(spark, sf_dir):
     return quality.run_durations(events)
 
 
+# -------------------------------------------------------------- streaming
+
+def _land_payload_lines(spark, sf_dir, files: int = 8) -> str:
+    """Land the derived payload pages as text files (one payload per line).
+
+    Both copies of a ticket fall in the same page, hence the same file.
+    """
+    import uuid
+    path = f"{checkpoint_dir(spark)}/landing/tickets-{uuid.uuid4().hex}"
+    (derived.ticket_payloads(derived.read_table(spark, sf_dir, "events"))
+     .repartition(files, "_source").select("value").write.text(path))
+    return path
+
+
+@query("stream_ticket_merge")
+def q_stream_merge(spark, sf_dir):
+    """Payload files streamed in micro-batches, merged into raw_tickets."""
+    import uuid
+
+    from moodline.sources.sinks import TableStore
+    from moodline.streaming.tickets import start_ticket_merge
+    landing = _land_payload_lines(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
+    store = TableStore(spark, root)
+    q = start_ticket_merge(spark, store, landing, checkpoint_location=f"{root}/_checkpoints/t1",
+                           max_files_per_trigger=2)
+    q.awaitTermination()
+    out = [c for c in TICKET_OUT if c != "_load_id"]
+    return store.read("raw_zone", "raw_tickets").select(*out)
+
+
+@query("stream_heatmap_hourly")
+def q_stream_heatmap(spark, sf_dir):
+    """Watermarked hourly heatmap over the streamed payloads (rows-only check)."""
+    import uuid
+
+    from moodline.streaming.tickets import start_heatmap
+    landing = _land_payload_lines(spark, sf_dir)
+    root = f"{checkpoint_dir(spark)}/heatmap-{uuid.uuid4().hex}"
+    q = start_heatmap(spark, landing, f"{root}/out", checkpoint_location=f"{root}/_ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
