@@ -17,6 +17,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot does not JIT methods over 8000 bytecodes; larger generated
+    # methods (wide validation predicates) fall back to per-operator code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -34,7 +37,8 @@ def get_session(master: str | None = None, app_name: str = "moodline",
 
     The web UI stays off: no port beyond Spark's own RPC is opened.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
