@@ -50,7 +50,7 @@ class TableStore:
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[1:].isdigit():
                 if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                    out.append(st.getPath().toString())
+                    out.append(f"{self.table_path(layer, table)}/{name}")
         return sorted(out)
 
     def current(self, layer: str, table: str) -> str | None:

@@ -108,3 +108,18 @@ def test_audit_event_one_json_line(spark, scratch):
     assert len(lines) == 1
     rec = json.loads(lines[0])
     assert rec["details"]["records_processed"] == 10 and rec["status"] == "success"
+
+
+def test_dashboard_extract_and_versions(spark, scratch):
+    from moodline.operators import dashboard
+    from moodline.sources.sinks import export_extract
+    store = TableStore(spark, f"{scratch}/wh")
+    heat = dashboard.sentiment_heatmap(
+        __import__("moodline.operators.staging", fromlist=["x"]).stg_tickets(derived.raw_tickets_at(spark, SF_SMALL)))
+    p1 = store.overwrite(heat, "dashboard", "sentiment_heatmap")
+    p2 = store.overwrite(heat, "dashboard", "sentiment_heatmap")
+    assert store.versions("dashboard", "sentiment_heatmap") == [p1, p2] and store.current(
+        "dashboard", "sentiment_heatmap") == p2
+    export_extract(store.read("dashboard", "sentiment_heatmap"), f"{scratch}/extract", "csv")
+    back = spark.read.option("header", True).csv(f"{scratch}/extract")
+    assert back.count() == 487
