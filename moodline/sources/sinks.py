@@ -8,6 +8,13 @@ reads (overwriting a Parquet path inside its own plan deletes the input
 before reading it), so a failed or killed job leaves the previous version
 current and a rerun starts clean. Two writers racing for the same version
 number fail on the existing path instead of mixing files.
+
+Bucketed merge targets (``merge_buckets=N``): rows carry
+``_bucket = pmod(xxhash64(key), N)``; a version directory holds only the
+buckets it rewrote, and a manifest version (``_manifest/v<N>``: one row per
+bucket -> directory, committed like any version) says where each bucket's
+current files are. A merge reads only the buckets its batch touches and
+rewrites only those, so its cost follows the batch, not the table.
 """
 
 from __future__ import annotations
@@ -15,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from moodline.operators.merge import merge_by_key
@@ -24,12 +32,21 @@ VERSION_PREFIX = "v"
 VERSION_DIGITS = 10
 
 
+BUCKET_COL = "_bucket"
+MANIFEST = "_manifest"
+
+
 class TableStore:
-    """Tables under one root (local path, HDFS or object store URI)."""
+    """Tables under one root (local path, HDFS or object store URI).
+
+    ``merge_buckets``: when set, merge targets are key-bucketed (see the
+    module docstring); full-refresh tables are unaffected.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, merge_buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.merge_buckets = merge_buckets
 
     # -- paths ---------------------------------------------------------
     def table_path(self, layer: str, table: str) -> str:
@@ -42,7 +59,10 @@ class TableStore:
 
     def versions(self, layer: str, table: str) -> list[str]:
         """Committed version paths, oldest first."""
-        fs, base = self._fs(self.table_path(layer, table))
+        return self._versions_at(self.table_path(layer, table))
+
+    def _versions_at(self, base_path: str) -> list[str]:
+        fs, base = self._fs(base_path)
         if not fs.exists(base):
             return []
         out = []
@@ -50,7 +70,7 @@ class TableStore:
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[1:].isdigit():
                 if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                    out.append(f"{self.table_path(layer, table)}/{name}")
+                    out.append(f"{base_path}/{name}")
         return sorted(out)
 
     def current(self, layer: str, table: str) -> str | None:
@@ -58,18 +78,24 @@ class TableStore:
         return v[-1] if v else None
 
     def _next_version(self, layer: str, table: str) -> str:
-        fs, base = self._fs(self.table_path(layer, table))
+        return self._next_version_at(self.table_path(layer, table))
+
+    def _next_version_at(self, base_path: str) -> str:
+        fs, base = self._fs(base_path)
         last = -1
         if fs.exists(base):
             for st in fs.listStatus(base):
                 name = st.getPath().getName()
                 if name.startswith(VERSION_PREFIX) and name[1:].isdigit():
                     last = max(last, int(name[1:]))
-        return f"{self.table_path(layer, table)}/{VERSION_PREFIX}{last + 1:0{VERSION_DIGITS}d}"
+        return f"{base_path}/{VERSION_PREFIX}{last + 1:0{VERSION_DIGITS}d}"
 
     # -- read / write --------------------------------------------------
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame | None:
         """Current version, or None if the table has none yet."""
+        manifest = self._manifest(layer, table)
+        if manifest is not None:
+            return self._read_buckets(manifest, None, schema)
         path = self.current(layer, table)
         if path is None:
             if schema is None:
@@ -93,9 +119,57 @@ class TableStore:
     def merge(self, batch: DataFrame, layer: str, table: str, key: str | Sequence[str],
               order: Sequence[Column] | None = None) -> str:
         """Merge ``batch`` into the current version, write a new one."""
+        if self.merge_buckets:
+            return self._merge_bucketed(batch, layer, table, key, order)
         target = self.read(layer, table)
         return self.overwrite(merge_by_key(target, batch, key, order), layer, table)
 
+    # -- bucketed merge targets -------------------------------------------
+    def _manifest(self, layer: str, table: str) -> DataFrame | None:
+        versions = self._versions_at(f"{self.table_path(layer, table)}/{MANIFEST}")
+        return self.spark.read.parquet(versions[-1]) if versions else None
+
+    def _read_buckets(self, manifest: DataFrame, buckets: list[int] | None,
+                      schema: StructType | None) -> DataFrame | None:
+        if buckets is not None:
+            manifest = manifest.filter(F.col("bucket").isin(buckets))
+        # One row per bucket: bounded by the bucket count, not the data.
+        paths = [r.path for r in manifest.select("path").collect()]
+        if not paths:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        reader = self.spark.read.option("recursiveFileLookup", "true")
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(*paths)
+
+    def _merge_bucketed(self, batch: DataFrame, layer: str, table: str, key: str | Sequence[str],
+                        order: Sequence[Column] | None) -> str:
+        keys = [key] if isinstance(key, str) else list(key)
+        n = self.merge_buckets
+        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
+        batch = batch.drop(BUCKET_COL).withColumn(BUCKET_COL, bucket)
+        if order:
+            batch = merge_by_key(None, batch, keys, order)
+        base = self.table_path(layer, table)
+        old = self._manifest(layer, table)
+        # Touched buckets: at most n values.
+        touched = sorted(r[0] for r in batch.select(BUCKET_COL).distinct().collect())
+        target = None
+        if old is not None:
+            target = self._read_buckets(old, touched, None)
+            if target is not None:
+                target = target.withColumn(BUCKET_COL, bucket)
+        merged = merge_by_key(target, batch, keys)
+        data_path = self._next_version_at(f"{base}/data")
+        merged.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(data_path)
+        new_rows = [(b, f"{data_path}/{BUCKET_COL}={b}") for b in touched]
+        entries = self.spark.createDataFrame(new_rows, "bucket int, path string")
+        if old is not None:
+            entries = old.join(entries.select("bucket"), "bucket", "left_anti").unionByName(entries)
+        manifest_path = self._next_version_at(f"{base}/{MANIFEST}")
+        entries.coalesce(1).write.mode("errorifexists").parquet(manifest_path)
+        return manifest_path
+
 
 def append_json(df: DataFrame, path: str) -> None:
     """Append-only JSON lines (audit events)."""
