@@ -28,10 +28,6 @@ TICKET_COLUMNS = (
     "ticket_id", "customer_id", "created_at", "sentiment_score", "sentiment_label",
     "status", "channel", "priority", "customer_region", "customer_tier",
 )
-ORDER_TEXT_PASSTHROUGH = (
-    "order_status", "order_approved_at", "order_delivered_carrier_date",
-    "order_delivered_customer_date", "order_estimated_delivery_date",
-)
 INTERNAL = ("_source", "_ordinal", "_load_id", "_row_id", "_record", "raw_record", "error_message", "_seq")
 
 

@@ -139,8 +139,7 @@ def failure_patterns(failed: DataFrame, k: int = 10) -> DataFrame:
     return counts.orderBy(F.col("failures").desc(), "pipeline_name", "error_class").limit(k)
 
 
-def freshness(spark: SparkSession, sources: Sequence[tuple[str, DataFrame, str, int]],
-              as_of: Column) -> DataFrame:
+def freshness(sources: Sequence[tuple[str, DataFrame, str, int]], as_of: Column) -> DataFrame:
     """K3: per table, newest event time, lag behind ``as_of`` and SLA check.
 
     ``sources`` holds ``(table_name, frame, time_column, sla_minutes)``.

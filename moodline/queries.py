@@ -310,7 +310,7 @@ def q_failure_patterns(spark, sf_dir):
 def q_freshness(spark, sf_dir):
     """K3: newest event per table against its SLA at the refresh time."""
     sla = quality.FRESHNESS_SLA_MINUTES
-    return quality.freshness(spark, [
+    return quality.freshness([
         ("stg_tickets", _stg_tickets(spark, sf_dir), "created_at", sla["tickets"]),
         ("stg_orders", _stg_orders(spark, sf_dir), "order_purchase_timestamp", sla["orders"]),
         ("high_risk_customers", _high_risk(spark, sf_dir), "refreshed_at", sla["platform"]),

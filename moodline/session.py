@@ -61,9 +61,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="moodline-ckpt-"))
+    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="moodline-ckpt-"))
     return sc.getCheckpointDir()

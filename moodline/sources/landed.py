@@ -35,9 +35,8 @@ def read_orders_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.csv(paths, header=True, inferSchema=False, multiLine=True, escape='"')
-    data_cols = [c for c in df.columns]
     return df.select(
-        *[F.col(f"`{c}`") for c in data_cols],
+        *[F.col(f"`{c}`") for c in df.columns],
         F.col("_metadata.file_path").alias("_source"),
         F.struct(F.col("_metadata.file_path").alias("f"),
                  F.col("_metadata.file_block_start").alias("b"),
