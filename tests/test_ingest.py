@@ -4,6 +4,8 @@ import datetime as dt
 import json
 
 
+from pyspark.sql import functions as F
+
 from moodline.operators import ingest
 from moodline.sources import landed
 
@@ -143,3 +145,11 @@ def test_failed_records_keyed_by_payload(spark):
     assert len({r.record_hash for r in fr}) == 1
     assert json.loads(fr[0].raw_record)["order_purchase_timestamp"] == "x"
     assert list(json.loads(fr[0].raw_record)) == sorted(json.loads(fr[0].raw_record))
+
+
+def test_is_object(spark):
+    from moodline.functions.records import is_object
+    docs = ['{"a":1}', "{}", "[1]", "[]", '"s"', "5", "null", "true"]
+    df = spark.createDataFrame([(d,) for d in docs], "j string")
+    got = [r[0] for r in df.select(is_object(F.parse_json("j"))).collect()]
+    assert got == [True, True, False, False, False, False, False, False]
