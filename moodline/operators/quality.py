@@ -167,6 +167,29 @@ def layer_counts(tables: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
     return out
 
 
+def staging_reconciliation(tables: Sequence[tuple[str, DataFrame, DataFrame, str]]) -> DataFrame:
+    """K4: raw rows = rejected (event time does not parse) + duplicate copies + staged.
+
+    ``tables`` holds ``(raw_name, raw, staged, event_time_column)``. One
+    aggregate per frame; the two sides meet on the table name.
+    """
+    from pyspark.sql.types import TimestampType
+
+    from moodline.functions.casts import as_type
+    parts = []
+    for name, raw, staged, ts_col in tables:
+        r = (raw.select(as_type(raw, ts_col, TimestampType()).alias("_t"))
+             .agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.col("_t").isNull()).alias("rejected_rows"))
+             .withColumn("table_name", F.lit(name)))
+        s = staged.agg(F.count(F.lit(1)).alias("staged_rows")).withColumn("table_name", F.lit(name))
+        parts.append(r.join(s, "table_name"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    dup = F.col("raw_rows") - F.col("rejected_rows") - F.col("staged_rows")
+    return out.select("table_name", "raw_rows", "rejected_rows", dup.alias("duplicate_rows"), "staged_rows")
+
+
 # ---------------------------------------------------------------- K5-K8
 
 def with_previous_day(daily: DataFrame, date_col: str, value_col: str) -> DataFrame:

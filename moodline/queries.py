@@ -333,6 +333,16 @@ def q_layer_counts(spark, sf_dir):
     ])
 
 
+@query("staging_reconciliation")
+def q_reconcile(spark, sf_dir):
+    """K4: raw -> staging reconciliation for both raw tables."""
+    return quality.staging_reconciliation([
+        ("raw_tickets", derived.raw_tickets_at(spark, sf_dir), _stg_tickets(spark, sf_dir), "created_at"),
+        ("raw_orders", derived.raw_orders_at(spark, sf_dir), _stg_orders(spark, sf_dir),
+         "order_purchase_timestamp"),
+    ])
+
+
 @query("sentiment_dod")
 def q_sentiment_dod(spark, sf_dir):
     """K5: daily mean sentiment with day-over-day change."""
