@@ -375,6 +375,19 @@ def q_run_durations(spark, sf_dir):
     return quality.run_durations(events)
 
 
+# ------------------------------------------------------------ end to end
+
+@query("e2e_high_risk_customers")
+def q_e2e(spark, sf_dir):
+    """Landed payloads + CSV rows -> ingestion (validate, newest per key) ->
+    typed raw tables -> staging -> facts -> risk, as one lazy plan."""
+    tickets = merge.merge_by_key(None, _good_tickets(spark, sf_dir).drop("_record", "_source", "_ordinal"),
+                                 "ticket_id", _ticket_order())
+    orders = ingest.latest_per_key(_good_orders(spark, sf_dir), "order_id", "order_purchase_timestamp")
+    fact = facts.fact_sentiment_daily(staging.stg_tickets(tickets))
+    return risk.high_risk_customers(fact, facts.order_daily(staging.stg_orders(orders)), as_of=AS_OF)
+
+
 # -------------------------------------------------------------- streaming
 
 def _land_payload_lines(spark, sf_dir, files: int = 8) -> str:
