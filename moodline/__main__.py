@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     s = common(sub.add_parser("stream-tickets"))
     s.add_argument("--landing", required=True)
     s.add_argument("--checkpoint", default=None)
+    s.add_argument("--audit", default=None)
     s.add_argument("--continuous", action="store_true", help="trigger every 15 minutes instead of draining once")
 
     e = common(sub.add_parser("export"))
@@ -80,7 +81,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "stream-tickets":
         from moodline.streaming.tickets import start_ticket_merge
         q = start_ticket_merge(spark, store, args.landing, checkpoint_location=args.checkpoint,
-                               available_now=not args.continuous)
+                               available_now=not args.continuous, audit_path=args.audit)
         q.awaitTermination()
         out = {"query_id": str(q.id), "batches": q.lastProgress["batchId"] if q.lastProgress else None}
     else:

@@ -14,12 +14,13 @@ the source of truth.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from moodline.functions.casts import blank_to
-from moodline.operators import ingest
+from moodline.operators import ingest, quality
+from moodline.plans.pipelines import COMPLETED, COMPLIANCE_TAGS, STARTED
 from moodline.session import checkpoint_dir, configure
 from moodline.sources import landed, sinks
 from moodline.sources.schemas import FAILED_RECORDS
@@ -38,15 +39,32 @@ def payload_stream(spark: SparkSession, landing: str, whole_files: bool = False,
     return reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source"))
 
 
-def merge_batch(store: sinks.TableStore, staging_root: str):
-    """``foreachBatch`` body of T1 (usable on any payload micro-batch)."""
+def merge_batch(store: sinks.TableStore, staging_root: str, audit_path: str | None = None,
+                run_prefix: str = "stream"):
+    """``foreachBatch`` body of T1 (usable on any payload micro-batch).
+
+    With ``audit_path``, each epoch emits ``pipeline_started`` and
+    ``pipeline_completed`` events (run id ``<prefix>:<epoch>``), its counts
+    observed during the single staging write.
+    """
+
+    def audit(spark, epoch_id, event_type, status, details):
+        if audit_path:
+            sinks.append_json(quality.audit_event(
+                spark, PIPELINE, f"{run_prefix}:{epoch_id}", event_type, status, details=details,
+                compliance_tags=COMPLIANCE_TAGS), audit_path)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        audit(spark, epoch_id, STARTED, "started", {"epoch": epoch_id})
         records, bad_payloads = landed.unwrap_envelope(batch)
         norm = ingest.normalize_tickets(records, load_id=f"{epoch_id:012d}")
         path = f"{staging_root}/epoch={epoch_id}"
-        norm.write.mode("overwrite").parquet(path)   # a retried epoch rewrites its own stage
+        obs = Observation(f"t1-{run_prefix}-{epoch_id}")
+        # A retried epoch rewrites its own stage.
+        norm.observe(obs, F.count_if(F.col("error_message").isNull()).alias("records_processed"),
+                     F.count_if(F.col("error_message").isNotNull()).alias("records_failed")
+                     ).write.mode("overwrite").parquet(path)
         staged = spark.read.parquet(path)
         good = ingest.good_rows(staged).drop("_source", "_ordinal")
         store.merge(good, "raw_zone", "raw_tickets", "ticket_id",
@@ -57,6 +75,7 @@ def merge_batch(store: sinks.TableStore, staging_root: str):
                                 "raw_record", "error_message", F.current_timestamp().alias("failed_at")))
         store.merge(failed.select(*FAILED_RECORDS.fieldNames()), "raw_zone", "failed_records",
                     "record_hash", [F.col("failed_at").desc()])
+        audit(spark, epoch_id, COMPLETED, "success", dict(obs.get))
 
     return process
 
@@ -64,12 +83,13 @@ def merge_batch(store: sinks.TableStore, staging_root: str):
 def start_ticket_merge(spark: SparkSession, store: sinks.TableStore, landing: str,
                        checkpoint_location: str | None = None, whole_files: bool = False,
                        max_files_per_trigger: int | None = None,
-                       available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                       available_now: bool = True, processing_time: str | None = None,
+                       audit_path: str | None = None) -> StreamingQuery:
     """Start the micro-batch merge; ``availableNow`` drains and stops."""
     configure(spark)
     ckpt = checkpoint_location or f"{checkpoint_dir(spark)}/streams/ticket_merge"
     writer = (payload_stream(spark, landing, whole_files, max_files_per_trigger)
-              .writeStream.foreachBatch(merge_batch(store, f"{ckpt}/_staged"))
+              .writeStream.foreachBatch(merge_batch(store, f"{ckpt}/_staged", audit_path))
               .option("checkpointLocation", ckpt))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "15 minutes")

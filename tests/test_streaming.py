@@ -15,13 +15,19 @@ def test_stream_merge_matches_batch_and_restarts_cleanly(spark, scratch):
     derived.ticket_payloads(events).repartition(4, "_source").select("value").write.text(landing)
     store = TableStore(spark, f"{scratch}/wh")
     ckpt = f"{scratch}/ckpt"
-    start_ticket_merge(spark, store, landing, checkpoint_location=ckpt, max_files_per_trigger=1).awaitTermination()
+    audit = f"{scratch}/audit"
+    start_ticket_merge(spark, store, landing, checkpoint_location=ckpt, max_files_per_trigger=1,
+                       audit_path=audit).awaitTermination()
     cols = ["ticket_id", "created_at", "sentiment_score", "_row_id"]
     streamed = sorted(map(tuple, store.read("raw_zone", "raw_tickets").select(*cols).collect()))
     recs, _ = landed.unwrap_envelope(derived.ticket_payloads(events))
     good = ingest.good_rows(ingest.normalize_tickets(recs, "x"))
     batch = staging.keep_latest(good, "ticket_id", [F.col("created_at").desc(), F.col("_row_id").desc()])
     assert streamed == sorted(map(tuple, batch.select(*cols).collect()))
+    ev = spark.read.json(audit)
+    done = ev.filter("event_type = 'pipeline_completed'")
+    assert done.count() == 4 == ev.filter("event_type = 'pipeline_started'").count()  # 4 files, 1 per epoch
+    assert done.agg(F.sum("details.records_processed")).first()[0] == good.count()
     versions = len(store.versions("raw_zone", "raw_tickets"))
     start_ticket_merge(spark, store, landing, checkpoint_location=ckpt).awaitTermination()
     assert len(store.versions("raw_zone", "raw_tickets")) == versions  # nothing new to process
