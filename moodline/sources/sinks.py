@@ -137,7 +137,8 @@ class TableStore:
         paths = [r.path for r in manifest.select("path").collect()]
         if not paths:
             return None if schema is None else self.spark.createDataFrame([], schema)
-        reader = self.spark.read.option("recursiveFileLookup", "true")
+        # Buckets may come from different versions; a later batch can add a column.
+        reader = self.spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
         if schema is not None:
             reader = reader.schema(schema)
         return reader.parquet(*paths)

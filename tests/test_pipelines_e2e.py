@@ -158,3 +158,13 @@ def test_ticket_ingestion_bucketed_equals_plain(spark, scratch):
         sorted(map(tuple, plain.read("raw_zone", "raw_tickets").select(*cols).collect()))
     assert bucketed.read("raw_zone", "failed_records").count() == plain.read("raw_zone", "failed_records").count()
     assert pipelines.read_cursor(bucketed, "tickets", None) == pipelines.read_cursor(plain, "tickets", None)
+
+
+def test_bucketed_read_merges_schemas(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh", merge_buckets=4)
+    a = spark.createDataFrame([("k1", 1), ("k2", 2)], "k string, v int")
+    store.merge(a, "raw_zone", "t", "k")
+    b = spark.createDataFrame([("k3", 3, "new")], "k string, v int, extra string")
+    store.merge(b, "raw_zone", "t", "k")
+    got = {r.k: r.extra for r in store.read("raw_zone", "t").collect()}
+    assert got == {"k1": None, "k2": None, "k3": "new"}
