@@ -30,11 +30,34 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+# For a plain column name the guards are built from one SQL expression
+# (one round trip to the JVM) instead of a tree of Column calls; the
+# expression is the same either way.
+_TS_SQL = (
+    "CASE WHEN trim(CAST({c} AS STRING)) RLIKE r'" + ISO_TIMESTAMP_GUARD + "' "
+    "THEN try_cast(trim(CAST({c} AS STRING)) AS TIMESTAMP) "
+    "WHEN trim(CAST({c} AS STRING)) RLIKE r'" + BASIC_DATETIME_GUARD + "' "
+    "THEN try_to_timestamp(trim(CAST({c} AS STRING)), 'yyyyMMdd''T''HHmmss') "
+    "WHEN trim(CAST({c} AS STRING)) RLIKE r'" + BASIC_DATE_GUARD + "' "
+    "THEN try_to_timestamp(trim(CAST({c} AS STRING)), 'yyyyMMdd') END"
+)
+_DOUBLE_SQL = (
+    "CASE WHEN lower(trim(CAST({c} AS STRING))) RLIKE r'" + DOUBLE_GUARD + "' "
+    "THEN try_cast(trim(CAST({c} AS STRING)) AS DOUBLE) END"
+)
+
+
 def safe_timestamp(c: Column | str) -> Column:
     """Text -> UTC timestamp, NULL when the text is not an accepted form.
 
     Zone-less text is read as UTC (the session zone is UTC).
     """
+    if isinstance(c, str):
+        return F.expr(_TS_SQL.replace("{c}", _sql_name(c)))
     t = F.trim(_col(c).cast(StringType()))
     return (
         F.when(t.rlike(ISO_TIMESTAMP_GUARD), t.try_cast(TimestampType()))
@@ -45,6 +68,8 @@ def safe_timestamp(c: Column | str) -> Column:
 
 def safe_double(c: Column | str) -> Column:
     """Text -> double, NULL unless plain decimal/scientific/nan/inf text."""
+    if isinstance(c, str):
+        return F.expr(_DOUBLE_SQL.replace("{c}", _sql_name(c)))
     t = F.trim(_col(c).cast(StringType()))
     return F.when(F.lower(t).rlike(DOUBLE_GUARD), t.try_cast(DoubleType()))
 
@@ -55,20 +80,24 @@ def safe_bool(c: Column | str) -> Column:
     return F.when(t.isin("true", "false"), t == F.lit("true"))
 
 
-def as_type(df: DataFrame, name: str, target: DataType) -> Column:
-    """Guarded cast of ``df[name]`` to ``target``; typed input passes through."""
-    current = df.schema[name].dataType
+def as_type(df: DataFrame | DataType, name: str, target: DataType) -> Column:
+    """Guarded cast of column ``name`` to ``target``; typed input passes through.
+
+    ``df`` may be the frame or, to avoid re-reading its schema per column,
+    the column's current type.
+    """
+    current = df if isinstance(df, DataType) else df.schema[name].dataType
     c = F.col(name)
     if current == target:
         return c
     if isinstance(target, TimestampType):
         if current.typeName() in ("timestamp_ntz", "date"):
             return c.cast(TimestampType())
-        return safe_timestamp(c)
+        return safe_timestamp(name)
     if isinstance(target, DoubleType):
         if current.typeName() in ("integer", "long", "short", "byte", "float", "decimal"):
             return c.cast(DoubleType())
-        return safe_double(c)
+        return safe_double(name)
     if isinstance(target, BooleanType):
         return safe_bool(c)
     return c.cast(target)

@@ -44,11 +44,12 @@ def keep_latest(df: DataFrame, key: str | list[str], order: list[Column]) -> Dat
 def stg_tickets(raw: DataFrame) -> DataFrame:
     """M1: typed, defaulted, one row per ``ticket_id`` (latest load wins)."""
     raw = conform(raw, RAW_TICKETS)
+    types = {f.name: f.dataType for f in raw.schema.fields}
     casted = raw.select(
         F.col("ticket_id").cast("string").alias("ticket_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
-        as_type(raw, "created_at", TimestampType()).alias("created_at"),
-        as_type(raw, "sentiment_score", DoubleType()).alias("sentiment_score"),
+        as_type(types["created_at"], "created_at", TimestampType()).alias("created_at"),
+        as_type(types["sentiment_score"], "sentiment_score", DoubleType()).alias("sentiment_score"),
         blank_to("sentiment_label", "unknown").alias("sentiment_label"),
         blank_to("status", "unknown").alias("ticket_status"),
         blank_to("channel", "unknown").alias("channel"),
@@ -65,19 +66,20 @@ def stg_tickets(raw: DataFrame) -> DataFrame:
 def stg_orders(raw: DataFrame) -> DataFrame:
     """M2: typed orders, one row per ``order_id``, delay indicators."""
     raw = conform(raw, RAW_ORDERS)
+    types = {f.name: f.dataType for f in raw.schema.fields}
     ts = TimestampType()
     casted = raw.select(
         F.col("order_id").cast("string").alias("order_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
         blank_to("order_status", "unknown").alias("order_status"),
-        as_type(raw, "order_purchase_timestamp", ts).alias("order_purchase_timestamp"),
-        as_type(raw, "order_approved_at", ts).alias("order_approved_at"),
-        as_type(raw, "order_delivered_carrier_date", ts).alias("order_delivered_carrier_date"),
-        as_type(raw, "order_delivered_customer_date", ts).alias("order_delivered_customer_date"),
-        as_type(raw, "order_estimated_delivery_date", ts).alias("order_estimated_delivery_date"),
-        as_type(raw, "price", DoubleType()).alias("price"),
-        as_type(raw, "freight_value", DoubleType()).alias("freight_value"),
-        as_type(raw, "is_delayed_order", BooleanType()).alias("is_delayed_order"),
+        as_type(types["order_purchase_timestamp"], "order_purchase_timestamp", ts).alias("order_purchase_timestamp"),
+        as_type(types["order_approved_at"], "order_approved_at", ts).alias("order_approved_at"),
+        as_type(types["order_delivered_carrier_date"], "order_delivered_carrier_date", ts).alias("order_delivered_carrier_date"),
+        as_type(types["order_delivered_customer_date"], "order_delivered_customer_date", ts).alias("order_delivered_customer_date"),
+        as_type(types["order_estimated_delivery_date"], "order_estimated_delivery_date", ts).alias("order_estimated_delivery_date"),
+        as_type(types["price"], "price", DoubleType()).alias("price"),
+        as_type(types["freight_value"], "freight_value", DoubleType()).alias("freight_value"),
+        as_type(types["is_delayed_order"], "is_delayed_order", BooleanType()).alias("is_delayed_order"),
         F.col("_load_id"), F.col("_row_id"),
     ).filter(F.col("order_purchase_timestamp").isNotNull())
     latest = keep_latest(casted, "order_id", [

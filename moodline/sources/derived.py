@@ -27,9 +27,21 @@ BLANK_SCORE_MOD = 89
 BAD_ORDER_TS_MOD = 101
 
 
+# Declared input schemas (the columns the derivations use): no footer
+# sampling to infer types, and a type change upstream fails loudly.
+INPUT_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string",
+    "lineitem": "l_orderkey bigint, l_extendedprice double, l_tax double",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table; Catalyst prunes columns and pushes filters."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in INPUT_SCHEMAS:
+        reader = reader.schema(INPUT_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_tickets(events: DataFrame) -> DataFrame:

@@ -44,3 +44,10 @@ def test_safe_bool_and_least_strict(spark):
 def test_blank_to_keeps_whitespace(spark):
     df = spark.createDataFrame([("",), (" ",), (None,), ("x",)], "v string")
     assert [r[0] for r in df.select(casts.blank_to("v", "unknown")).collect()] == ["unknown", " ", "unknown", "x"]
+
+
+def test_sql_and_column_builds_agree(spark):
+    df = spark.createDataFrame([(s,) for s, _ in TS_CASES] + [("1d",), ("1.5",), (" -2 ",)], "s string")
+    rows = df.select(casts.safe_timestamp("s").alias("a"), casts.safe_timestamp(F.col("s")).alias("b"),
+                     casts.safe_double("s").alias("c"), casts.safe_double(F.col("s")).alias("d")).collect()
+    assert all(r.a == r.b and r.c == r.d for r in rows)
