@@ -153,3 +153,16 @@ def test_is_object(spark):
     df = spark.createDataFrame([(d,) for d in docs], "j string")
     got = [r[0] for r in df.select(is_object(F.parse_json("j"))).collect()]
     assert got == [True, True, False, False, False, False, False, False]
+
+
+def test_contract_check_counts_absent_keys_only(spark):
+    from moodline.operators import quality
+    recs = [{"ticket_id": 1, "customer_id": "c", "created_at": None, "sentiment_score": 1},
+            {"ticket_id": 2, "customer_id": "c", "sentiment_score": 1},
+            {"ticket_id": 3, "customer_id": "c", "created_at": "2026-03-01", "sentiment_score": 1}]
+    records, _ = landed.unwrap_envelope(_payload_df(spark, recs))
+    out = {r.check_name: (r.checked_rows, r.failed_rows, r.passed)
+           for r in quality.contract_check(records, ingest.TICKET_REQUIRED).collect()}
+    assert out["records_present"] == (3, 0, True)
+    assert out["has_created_at"] == (3, 1, False)   # null counts as present, absent does not
+    assert out["has_ticket_id"] == (3, 0, True)
