@@ -15,6 +15,13 @@ buckets it rewrote, and a manifest version (``_manifest/v<N>``: one row per
 bucket -> directory, committed like any version) says where each bucket's
 current files are. A merge reads only the buckets its batch touches and
 rewrites only those, so its cost follows the batch, not the table.
+
+Contract: one writer per table at a time (runs of one pipeline are
+serialised by the scheduler). A failed or killed write leaves an orphan
+directory that is never read and never blocks later versions, but two
+*concurrent* merges into one table could each build on the same base, and
+the later commit would drop the earlier one's rows. Guarding that needs an
+atomic conditional commit, i.e. a table format (Delta / Iceberg).
 """
 
 from __future__ import annotations
