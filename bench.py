@@ -84,7 +84,7 @@ def synthetic_orders(spark: SparkSession, n: int) -> DataFrame:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     big = int(os.environ.get("BENCH_SYNTH_ROWS", "5000000"))
     scratch = tempfile.mkdtemp(prefix="moodline-bench-")
     spark = get_session(f"local[{cpus}]", app_name="moodline-bench", shuffle_partitions=cpus,
