@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
     o.add_argument("--audit", default=None)
     o.add_argument("--initial-cursor", default=pipelines.INITIAL_ORDERS_CURSOR)
     o.add_argument("--fail-on-malformed", action="store_true")
+    o.add_argument("--strict-ids", action="store_true", help="reject order / customer ids of only blanks")
 
     m = common(sub.add_parser("run-models"))
     m.add_argument("--as-of", default=None)
@@ -74,7 +75,8 @@ def main(argv: list[str] | None = None) -> int:
         out = dataclasses.asdict(res)
     elif args.cmd == "ingest-orders":
         res = pipelines.run_order_ingestion(spark, store, args.csv, audit_path=args.audit,
-                                            on_malformed=policy, initial_cursor=args.initial_cursor or None)
+                                            on_malformed=policy, initial_cursor=args.initial_cursor or None,
+                                            strict_ids=args.strict_ids)
         out = dataclasses.asdict(res)
     elif args.cmd == "run-models":
         out = dag.run_models(spark, store, as_of=args.as_of)

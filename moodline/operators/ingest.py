@@ -124,10 +124,12 @@ def normalize_tickets(records: DataFrame, load_id: str | Column, record_col: str
     return _with_seq(out)
 
 
-def normalize_orders(rows: DataFrame, load_id: str | Column, on_malformed: str = "dead_letter") -> DataFrame:
+def normalize_orders(rows: DataFrame, load_id: str | Column, on_malformed: str = "dead_letter",
+                     strict_ids: bool = False) -> DataFrame:
     """V2 + V4: orders CSV rows (text) -> typed rows + ``error_message``.
 
-    Order and customer ids are trimmed; the purchase time must parse; a
+    Order and customer ids are trimmed (an id of only blanks passes and
+    becomes '', as in the source, unless ``strict_ids``); the purchase time must parse; a
     present price / freight must be numeric; ``is_delayed_order`` is
     ``delivered > estimated`` when both are present (NULL otherwise), and
     either of them failing to parse is an error. Extra columns pass
@@ -152,7 +154,11 @@ def normalize_orders(rows: DataFrame, load_id: str | Column, on_malformed: str =
         canonical_text(F.struct(*[F.col(f"`{c}`") for c in canon_cols])).alias("raw_record"))
     delivered_text, estimated_text = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     both = ~is_missing(delivered_text) & ~is_missing(estimated_text)
-    checks = [(is_missing(F.col(f)), F.lit(MISSING_FIELD + f)) for f in ORDER_REQUIRED]
+    def absent(f: str) -> Column:
+        c = F.col(f)
+        return is_missing(F.trim(c)) if strict_ids and f in ("order_id", "customer_id") else is_missing(c)
+
+    checks = [(absent(f), F.lit(MISSING_FIELD + f)) for f in ORDER_REQUIRED]
     checks += [
         (F.col("_purchase").isNull(), F.concat(F.lit(BAD_TIMESTAMP), F.col("order_purchase_timestamp"))),
         (~is_missing(F.col("price")) & F.col("_price").isNull(),

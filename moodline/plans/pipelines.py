@@ -134,7 +134,8 @@ def run_order_ingestion(spark: SparkSession, store: sinks.TableStore, csv_path:
                         audit_path: str | None = None, run_id: str | None = None,
                         load_id: str | None = None, on_malformed: str = "dead_letter",
                         cursor_column: str = "order_purchase_timestamp",
-                        initial_cursor: str | None = INITIAL_ORDERS_CURSOR) -> RunResult:
+                        initial_cursor: str | None = INITIAL_ORDERS_CURSOR,
+                        strict_ids: bool = False) -> RunResult:
     """Orders CSV -> raw_orders + failed_records (strict cursor, newest per order)."""
     configure(spark)
     run_id = run_id or str(uuid.uuid4())
@@ -144,7 +145,7 @@ def run_order_ingestion(spark: SparkSession, store: sinks.TableStore, csv_path:
     try:
         cursor = read_cursor(store, "orders", initial_cursor)
         rows = landed.read_orders_csv(spark, csv_path)
-        norm = ingest.normalize_orders(rows, load_id, on_malformed=on_malformed)
+        norm = ingest.normalize_orders(rows, load_id, on_malformed=on_malformed, strict_ids=strict_ids)
         obs = Observation(f"orders-{run_id}")
         staged = _stage(spark, norm, run_id, obs)
         good = ingest.after_cursor(ingest.good_rows(staged), cursor_column, cursor, inclusive=False)

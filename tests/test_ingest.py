@@ -166,3 +166,18 @@ def test_contract_check_counts_absent_keys_only(spark):
     assert out["records_present"] == (3, 0, True)
     assert out["has_created_at"] == (3, 1, False)   # null counts as present, absent does not
     assert out["has_ticket_id"] == (3, 0, True)
+
+
+def test_blank_order_id_passes_unless_strict(spark):
+    cols = "order_id string, customer_id string, order_purchase_timestamp string"
+    df = spark.createDataFrame([("   ", "c", "2026-03-01")], cols)
+    loose = ingest.normalize_orders(df, "l").first()
+    strict = ingest.normalize_orders(df, "l", strict_ids=True).first()
+    assert (loose.error_message, loose.order_id) == (None, "")
+    assert strict.error_message == "Missing required field: order_id"
+
+
+def test_duplicate_json_keys_are_a_bad_payload(spark):
+    recs, bad = landed.unwrap_envelope(_payload_df(spark, '{"tickets": [{"ticket_id": 1}], "tickets": []}'))
+    assert recs.count() == 0
+    assert [r.error_message for r in bad.collect()] == ["Malformed JSON payload"]
