@@ -58,13 +58,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables and stream checkpoints.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    operator (a shared filesystem). Only when it is unset, as in local
-    tests, a fresh scratch folder is created and registered.
+    operator (a shared filesystem); unset there is an error. Only in local
+    mode, as in tests, a fresh scratch folder is created when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="moodline-ckpt-"))
+    if not configured:
+        if not sc.master.startswith("local"):
+            # A driver-local folder is invisible to executors on a cluster.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
+        configured = tempfile.mkdtemp(prefix="moodline-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
