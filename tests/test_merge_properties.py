@@ -49,3 +49,33 @@ def test_cursor_and_latest_commute(spark):
     a = ingest.latest_per_key(ingest.after_cursor(df, "ts", cursor, inclusive=False), "k", "ts")
     b = ingest.after_cursor(ingest.latest_per_key(df, "k", "ts"), "ts", cursor, inclusive=False)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.integers(0, 5))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=st.lists(_row, max_size=8), batch=st.lists(_row, min_size=1, max_size=8))
+def test_merge_matches_brute_force(spark, target, batch):
+    base = dt.datetime(2026, 3, 1)
+
+    def frame(rows, offset):
+        return spark.createDataFrame(
+            [(k, base + dt.timedelta(hours=h), offset + i, f"{offset}-{i}") for i, (k, h) in enumerate(rows)],
+            SCHEMA)
+
+    def latest(rows, offset):  # newest per key, first seen on ties
+        best = {}
+        for i, (k, h) in enumerate(rows):
+            if k not in best or h > best[k][0]:
+                best[k] = (h, f"{offset}-{i}")
+        return best
+
+    want = {**latest(target, 0), **latest(batch, 100)}
+    t = ingest.latest_per_key(frame(target, 0), "k", "ts")
+    got = merge.merge_by_key(t, frame(batch, 100), "k", _order()).collect()
+    assert {r.k: r.v for r in got} == {k: v for k, (_, v) in want.items()}
+    assert len(got) == len(want)
