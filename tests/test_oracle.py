@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from moodline import oracle, queries
 from tests.conftest import SF_SMALL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -19,7 +20,8 @@ def _load(name, path):
 
 ENTRY = _load("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
 CHECK = _load("check_oracle", os.path.join(ROOT, "tools", "check_oracle.py"))
-SQL = ENTRY.oracle_sql()
+SQL = oracle.oracle_sql()
+QUERIES = queries.queries()
 
 
 @pytest.fixture(scope="module")
@@ -29,13 +31,14 @@ def duck():
 
 def test_every_query_has_oracle_or_reason():
     rows_only = {"stream_heatmap_hourly"}  # watermark output depends on batch timing
-    assert set(ENTRY.queries()) - set(SQL) == rows_only
-    assert set(SQL) <= set(ENTRY.queries())
+    assert set(QUERIES) - set(SQL) == rows_only
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(ENTRY.queries()) and set(SQL) <= set(ENTRY.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
-    df = ENTRY.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
     cur = duck.execute(SQL[name])
     dcols = [d[0] for d in cur.description]
