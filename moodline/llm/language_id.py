@@ -109,7 +109,7 @@ def freeze(grams: pd.DataFrame, max_contexts: int = MAX_CONTEXTS) -> dict:
     """Flatten counted grams into the code-length table."""
     langs = sorted(grams["lang"].unique())
     gram = grams["gram"].to_numpy(np.int64)
-    seen = np.unique(gram & 255)
+    seen = np.union1d(gram & 255, [_PAD])
     size = len(seen) + 1  # the last symbol stands for every byte that was never seen
     symbol = np.full(256, size - 1, np.int32)
     symbol[seen] = np.arange(len(seen))

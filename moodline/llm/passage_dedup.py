@@ -12,7 +12,10 @@ a text that match the same place are joined to one match, which is then
 extended left and right word by word. Matches of at least ``min_words`` words
 are repeats of an earlier passage; cutting them leaves each passage's first
 occurrence in place, as every cut points to a strictly smaller
-(doc_id, position).
+(doc_id, position). A text is compared with an interval's first place only: a
+passage of less than ``min_words + window`` words can go unseen where the first
+place of all its kept suffixes goes on differently, as with lines that one text
+repeats in changing order.
 
 Cases: null, empty and short texts have no repeats. Repeats within one text
 count. Rows without doc_id take no part. Rows that share a doc_id are told
