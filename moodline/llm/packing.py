@@ -224,7 +224,7 @@ def _placer(shared):
     return run
 
 
-def ranked(rows: DataFrame, key: str, order: list[str], block_rows: int = 20_000) -> DataFrame:
+def ranked(rows: DataFrame, key: str, order: list[str], block_rows: int = 2_000) -> DataFrame:
     """``rows`` with rank: 0, 1, ... within each value of ``key`` (few values), no key gathered in one task.
 
     Rows are dealt to blocks by a hash of ``order``; ranks run within a block
