@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from moodline.functions.casts import is_missing, safe_double, safe_timestamp
 from moodline.functions.records import canonical_text, field_text, is_object, row_hash
@@ -28,7 +29,7 @@ TICKET_COLUMNS = (
     "ticket_id", "customer_id", "created_at", "sentiment_score", "sentiment_label",
     "status", "channel", "priority", "customer_region", "customer_tier",
 )
-INTERNAL = ("_source", "_ordinal", "_load_id", "_row_id", "_record", "raw_record", "error_message", "_seq")
+INTERNAL = ("_source", "_ordinal", "_bad_text", "_bad_error", "_load_id", "_row_id", "_record", "raw_record", "error_message", "_seq")
 
 
 def first_error(checks: Sequence[tuple[Column, Column]]) -> Column:
@@ -97,6 +98,8 @@ def normalize_tickets(records: DataFrame, load_id: str | Column, record_col: str
 
     load = load_id if isinstance(load_id, Column) else F.lit(load_id)
     extra = [c for c in records.columns if c in ("_source", "_ordinal")]
+    # Rows that stand for a payload without records (see landed.unwrap_payloads).
+    payload = [c for c in records.columns if c in ("_bad_text", "_bad_error")]
     texts = records.select(
         *[field_text(r, f).alias(f) for f in TICKET_REQUIRED],
         field_text(r, "sentiment_label").alias("sentiment_label"),
@@ -105,7 +108,8 @@ def normalize_tickets(records: DataFrame, load_id: str | Column, record_col: str
         nested(metadata, "metadata", "priority", "priority").alias("priority"),
         nested(customer, "customer", "region", "customer_region").alias("customer_region"),
         nested(customer, "customer", "tier", "customer_tier").alias("customer_tier"),
-        r.alias("_record"), canonical_text(r).alias("raw_record"), *extra)
+        r.alias("_record"), (F.coalesce("_bad_text", canonical_text(r)) if payload else canonical_text(r)
+                             ).alias("raw_record"), *extra, *payload)
     typed = texts.select("*", safe_timestamp("created_at").alias("_ts"),
                          safe_double("sentiment_score").alias("_score"))
     checks = [(is_missing(F.col(f)), F.lit(MISSING_FIELD + f)) for f in TICKET_REQUIRED]
@@ -119,7 +123,8 @@ def normalize_tickets(records: DataFrame, load_id: str | Column, record_col: str
         load.cast("string").alias("_load_id"),
         row_hash(F.col("raw_record")).alias("_row_id"),
         "_record", "raw_record",
-        _check_policy(first_error(checks), on_malformed).alias("error_message"),
+        _check_policy(F.coalesce("_bad_error", first_error(checks)) if payload else first_error(checks),
+                      on_malformed).alias("error_message"),
         *extra)
     return _with_seq(out)
 
@@ -209,17 +214,39 @@ def failed_records(normalized: DataFrame, pipeline_name: str, source_name: str,
                     at.alias("failed_at")))
 
 
-def after_cursor(df: DataFrame, ts_col: str, cursor: str | None, inclusive: bool) -> DataFrame:
-    """Rows newer than the cursor (all rows when it is empty).
+def cursor_bound(spark: SparkSession, cursor: str) -> Column:
+    """The instant a cursor text stands for; a text that is no accepted timestamp raises."""
+    at = spark.createDataFrame([(cursor,)], "c string").select(safe_timestamp("c").alias("t")).first().t
+    if at is None:
+        raise ValueError(f"{BAD_TIMESTAMP}{cursor}")
+    return safe_timestamp(F.lit(cursor))
+
+
+def passes_cursor(df: DataFrame, ts_col: str, cursor: str | None, inclusive: bool) -> Column:
+    """I1 / I2 as a condition: newer than the cursor; true for all rows when it is empty.
 
     Tickets keep the boundary (``inclusive``; the merge makes that
-    idempotent), orders are strictly newer. Instants are compared, not text.
+    idempotent), orders are strictly newer. Instants are compared, not text;
+    a text column is read as a timestamp first. Rows without a value always
+    pass when the column is not a required one: an undelivered order has no
+    delivery time to compare, and merging it again changes nothing.
     """
     if not cursor:
-        return df
-    bound = safe_timestamp(F.lit(cursor))
-    c = F.col(ts_col)
-    return df.filter(c >= bound if inclusive else c > bound)
+        return F.lit(True)
+    bound = cursor_bound(df.sparkSession, cursor)
+    c = instant(df, ts_col)
+    newer = c >= bound if inclusive else c > bound
+    return newer if ts_col in (*TICKET_REQUIRED, *ORDER_REQUIRED) else c.isNull() | newer
+
+
+def instant(df: DataFrame, ts_col: str) -> Column:
+    """A timestamp column as it is, a text column as a guarded cast."""
+    return safe_timestamp(ts_col) if isinstance(df.schema[ts_col].dataType, StringType) else F.col(ts_col)
+
+
+def after_cursor(df: DataFrame, ts_col: str, cursor: str | None, inclusive: bool) -> DataFrame:
+    """Rows newer than the cursor (see :func:`passes_cursor`)."""
+    return df.filter(passes_cursor(df, ts_col, cursor, inclusive)) if cursor else df
 
 
 def latest_per_key(df: DataFrame, key: str, ts_col: str, ordinal: str = "_ordinal") -> DataFrame:

@@ -27,9 +27,10 @@ def merge_by_key(target: DataFrame | None, batch: DataFrame, key: str | Sequence
     unique on the key. Columns missing on either side become NULL.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    arriving = batch.select(*keys)  # an anti join needs no unique keys, so the window stays out of it
     if order:
         batch = keep_latest(batch, keys, list(order))
     if target is None:
         return batch
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    kept = target.join(arriving, keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodline.functions.records import variant_path
+from moodline.sources.schemas import AUDIT_EVENTS
 
 # Guardrail, freshness SLAs (minutes) and band owners.
 FAILED_RATIO_GUARDRAIL = 0.01
@@ -24,7 +25,8 @@ BAND_OWNERS = (
     ("medium", "Automated Follow-up"),
 )
 CONTROL_SET = "enterprise-baseline-v1"
-PER_RECORD_MICROS = 10_000  # nominal processing cost used for derived run durations
+# Audit event types of a run.
+STARTED, COMPLETED = "pipeline_started", "pipeline_completed"
 
 
 # ---------------------------------------------------------------- V7
@@ -64,51 +66,29 @@ def audit_event(spark: SparkSession, pipeline_name: str, run_id: str, event_type
     )
 
 
-def batch_audit_events(normalized: DataFrame, pipeline_name: str, batch_col: str, ts_col: str,
-                       control_set: str = CONTROL_SET) -> DataFrame:
-    """V8 per ingested batch: a ``started`` and a ``completed`` event each.
-
-    A batch starts once its newest accepted record exists and completes
-    after a nominal per-record cost; it fails when any record was
-    rejected. Counts come from one aggregation per batch.
-    """
-    per = (normalized.groupBy(batch_col)
-           .agg(F.max(F.when(F.col("error_message").isNull(), F.col(ts_col))).alias("_start"),
-                F.count_if(F.col("error_message").isNull()).alias("_ok"),
-                F.count_if(F.col("error_message").isNotNull()).alias("_bad")))
-    run_id = F.concat(F.lit(f"{pipeline_name}:"), F.col(batch_col).cast("string"))
-    done = F.timestamp_add("MICROSECOND", (F.col("_ok") + F.col("_bad")) * F.lit(PER_RECORD_MICROS),
-                           F.col("_start"))
-    details = F.struct(F.col("_bad").alias("records_failed"), F.col("_ok").alias("records_processed"))
-    events = F.array(
-        F.struct(F.col("_start").alias("timestamp"), F.lit("started").alias("event_type"),
-                 F.lit("in_progress").alias("status"), F.lit("{}").alias("d")),
-        F.struct(done.alias("timestamp"), F.lit("completed").alias("event_type"),
-                 F.when(F.col("_bad") > 0, F.lit("failure")).otherwise(F.lit("success")).alias("status"),
-                 F.to_json(details).alias("d")))
-    return (per.filter(F.col("_start").isNotNull())
-            .select(run_id.alias("run_id"), F.explode(events).alias("e"))
-            .select(F.col("e.timestamp").alias("timestamp"), F.lit(pipeline_name).alias("pipeline_name"),
-                    "run_id", F.col("e.event_type").alias("event_type"), F.col("e.status").alias("status"),
-                    F.lit(control_set).alias("control_set"),
-                    F.array(F.lit("ingestion")).alias("compliance_tags"),
-                    F.parse_json(F.col("e.d")).alias("details")))
+def read_audit(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Audit events as runs wrote them: declared columns, ``details`` as VARIANT."""
+    return spark.read.schema(AUDIT_EVENTS).json(path).withColumn("details", F.try_parse_json("details"))
 
 
 def run_durations(audit: DataFrame) -> DataFrame:
-    """V9: correlate ``started`` / ``completed`` events per run id."""
-    started = F.col("event_type") == "started"
-    completed = F.col("event_type") == "completed"
+    """V9: correlate started / completed events per run id; a run without a completed event is ``running``."""
+    started, completed = F.col("event_type") == STARTED, F.col("event_type") == COMPLETED
+
+    def counter(*names: str) -> Column:
+        found = [F.try_variant_get(F.col("details"), f"$.{n}", "long") for n in names]
+        return F.max(F.when(completed, F.coalesce(*found)))
+
     per = audit.groupBy("pipeline_name", "run_id").agg(
         F.min(F.when(started, F.col("timestamp"))).alias("started_at"),
         F.max(F.when(completed, F.col("timestamp"))).alias("completed_at"),
         F.max(F.when(completed, F.col("status"))).alias("outcome"),
-        F.max(F.when(completed, F.try_variant_get(F.col("details"), "$.records_processed", "long")))
-         .alias("records_processed"))
+        counter("records_processed", "rows_processed").alias("records_processed"),
+        counter("records_failed", "rows_failed").alias("records_failed"))
     return per.select(
         "pipeline_name", "run_id", "started_at", "completed_at",
         ((F.unix_micros("completed_at") - F.unix_micros("started_at")) / F.lit(1e6)).alias("duration_seconds"),
-        F.coalesce(F.col("outcome"), F.lit("running")).alias("outcome"), "records_processed")
+        F.coalesce(F.col("outcome"), F.lit("running")).alias("outcome"), "records_processed", "records_failed")
 
 
 # ---------------------------------------------------------------- K1-K4
@@ -171,21 +151,24 @@ def staging_reconciliation(tables: Sequence[tuple[str, DataFrame, DataFrame, str
     """K4: raw rows = rejected (event time does not parse) + duplicate copies + staged.
 
     ``tables`` holds ``(raw_name, raw, staged, event_time_column)``. One
-    aggregate per frame; the two sides meet on the table name.
+    aggregate per frame; the two sides meet in one group per table name.
     """
     from pyspark.sql.types import TimestampType
 
     from moodline.functions.casts import as_type
+    none = F.lit(None).cast("long")
     parts = []
     for name, raw, staged, ts_col in tables:
-        r = (raw.select(as_type(raw, ts_col, TimestampType()).alias("_t"))
-             .agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.col("_t").isNull()).alias("rejected_rows"))
-             .withColumn("table_name", F.lit(name)))
-        s = staged.agg(F.count(F.lit(1)).alias("staged_rows")).withColumn("table_name", F.lit(name))
-        parts.append(r.join(s, "table_name"))
+        parts.append(raw.select(as_type(raw, ts_col, TimestampType()).alias("_t"))
+                     .agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(F.col("_t").isNull()).alias("rejected_rows"))
+                     .select(F.lit(name).alias("table_name"), "raw_rows", "rejected_rows", none.alias("staged_rows")))
+        parts.append(staged.agg(F.count(F.lit(1)).alias("staged_rows"))
+                     .select(F.lit(name).alias("table_name"), none.alias("raw_rows"), none.alias("rejected_rows"),
+                             "staged_rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out = out.groupBy("table_name").agg(*[F.max(c).alias(c) for c in ("raw_rows", "rejected_rows", "staged_rows")])
     dup = F.col("raw_rows") - F.col("rejected_rows") - F.col("staged_rows")
     return out.select("table_name", "raw_rows", "rejected_rows", dup.alias("duplicate_rows"), "staged_rows")
 

@@ -1,13 +1,17 @@
 """Ingestion runs (tickets, orders) over landed files, end to end.
 
-One run: read landed files -> normalise -> **stage** the normalised batch
-once (Parquet under the shared checkpoint folder, counters taken by
-``observe`` during that single write) -> good rows merged into the raw
-table, bad rows merged into ``failed_records`` -> cursor state advanced
-only after both merges -> audit events. Staging cuts the lineage, so both
-branches read the same rows and a lost executor recomputes from the staged
-files instead of rescanning the landing zone. Every write goes to a new
-table version, so a rerun of the same files changes nothing.
+One run: list the landed files that no earlier run has processed -> read them
+once -> normalise, apply the cursor, and **stage** accepted and rejected rows
+and unparseable payloads in one frame (Parquet under the shared checkpoint
+folder, counters taken by ``observe`` during that single write) -> good rows
+merged into the raw table, bad rows merged into the source's dead letters ->
+cursor state and file log advanced only after both merges -> audit events.
+Staging cuts the lineage, so both branches read the same rows and a lost
+executor recomputes from the staged files. Every write goes to a new table
+version; a run that fails is repeated over the same files.
+
+Each source has its own dead-letter, cursor and file-log tables, so the two
+pipelines, on schedules of their own, never write one table.
 """
 
 from __future__ import annotations
@@ -25,12 +29,26 @@ from moodline.sources import landed, sinks
 from moodline.sources.schemas import FAILED_RECORDS
 
 RAW = "raw_zone"
-STATE_TABLE = "_cursor_state"
+SOURCES = ("tickets", "orders")
+
+
+def failed_table(source: str) -> str:
+    return f"failed_records__{source}"
+
+
+def state_table(source: str) -> str:
+    return f"_cursor_state__{source}"
+
+
+def log_table(source: str) -> str:
+    return f"_landed_files__{source}"
+
+
 # Cursor start points of the two sources.
 INITIAL_TICKETS_CURSOR = "2026-01-01T00:00:00Z"
 INITIAL_ORDERS_CURSOR = "2016-01-01T00:00:00Z"
-# Audit event types and compliance tags of ingestion runs.
-STARTED, COMPLETED = "pipeline_started", "pipeline_completed"
+STARTED, COMPLETED = quality.STARTED, quality.COMPLETED
+# Compliance tags of ingestion runs.
 COMPLIANCE_TAGS = ("soc2-cc7", "iso27001-a12")
 
 
@@ -49,32 +67,53 @@ def _now_id() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
+def read_failed(store: sinks.TableStore) -> DataFrame:
+    """``failed_records`` of all sources."""
+    parts = [store.read(RAW, failed_table(s), FAILED_RECORDS) for s in SOURCES]
+    return parts[0].unionByName(parts[1])
+
+
 def read_cursor(store: sinks.TableStore, source: str, initial: str | None) -> str | None:
     """I4: last committed cursor of ``source`` (one row), else ``initial``."""
-    state = store.read(RAW, STATE_TABLE)
-    if state is None:
-        return initial
-    row = state.filter(F.col("source") == source).select("cursor").first()
+    state = store.read(RAW, state_table(source))
+    row = state.select("cursor").first() if state is not None else None
     return row.cursor if row and row.cursor else initial
 
 
-def _advance_cursor(store: sinks.TableStore, accepted: DataFrame, source: str, ts_col: str) -> str:
-    new = accepted.agg(F.max(ts_col).alias("m")).select(
-        F.lit(source).alias("source"),
-        F.date_format("m", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("cursor"),
-        F.current_timestamp().alias("updated_at"))
-    # Keep the old cursor when the batch had no accepted rows.
-    new = new.filter(F.col("cursor").isNotNull())
-    return store.merge(new, RAW, STATE_TABLE, "source")
+def _advance_cursor(store: sinks.TableStore, accepted: DataFrame, source: str, ts_col: str) -> None:
+    newest = accepted.agg(F.max(ingest.instant(accepted, ts_col)).alias("m")).select(
+        F.date_format("m", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("cursor")).first().cursor
+    old = read_cursor(store, source, None)
+    # The old cursor stays when the run had no accepted rows, or only older ones that always pass.
+    if newest is not None and (old is None or newest > old):
+        store.overwrite(store.spark.createDataFrame([(source, newest)], "source string, cursor string")
+                        .withColumn("updated_at", F.current_timestamp()), RAW, state_table(source))
+
+
+def unprocessed(store: sinks.TableStore, source: str, paths: str | list[str]) -> DataFrame:
+    """Landed files (path, modified, length) that no committed run has read; a changed file counts as new."""
+    found = landed.landed_files(store.spark, paths)
+    log = store.read(RAW, log_table(source))
+    return found if log is None else found.join(log.select("path", "modified", "length"),
+                                                ["path", "modified", "length"], "left_anti")
 
 
 def _stage(spark: SparkSession, df: DataFrame, run_id: str, obs: Observation) -> DataFrame:
-    path = f"{checkpoint_dir(spark)}/staged/{run_id}"
-    df.observe(obs, F.count(F.lit(1)).alias("received"),
-               F.count_if(F.col("error_message").isNull()).alias("processed"),
+    path = f"{checkpoint_dir(spark)}/staged/{run_id}-{uuid.uuid4().hex}"  # a repeated run id stages anew
+    df.observe(obs, F.count_if(F.col("error_message").isNull()).alias("accepted"),
                F.count_if(F.col("error_message").isNotNull()).alias("failed")
                ).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def merge_tickets(store: sinks.TableStore, staged: DataFrame, pipeline: str, source: str) -> dict[str, str]:
+    """Merge staged tickets: accepted rows by ticket_id, rejected ones by payload hash."""
+    return {"raw_tickets": store.merge(
+                ingest.good_rows(staged).drop("_source", "_ordinal"), RAW, "raw_tickets", "ticket_id",
+                [F.col("created_at").desc(), F.col("_row_id").desc()]),
+            "failed_records": store.merge(
+                ingest.failed_records(staged, pipeline, source).select(*FAILED_RECORDS.fieldNames()),
+                RAW, failed_table("tickets"), "record_hash", [F.col("failed_at").desc()])}
 
 
 def _audit(spark, audit_path, pipeline, run_id, event_type, status, details):
@@ -84,50 +123,61 @@ def _audit(spark, audit_path, pipeline, run_id, event_type, status, details):
                           audit_path)
 
 
+def _run(spark: SparkSession, store: sinks.TableStore, source: str, pipeline: str, paths: str | list[str],
+         audit_path: str | None, run_id: str | None, load_id: str | None, initial_cursor: str | None,
+         work) -> RunResult:
+    """Common frame of a run: audit events, new files, cursor, file log."""
+    configure(spark)
+    res = RunResult(run_id or str(uuid.uuid4()), load_id or _now_id())
+    began = dt.datetime.now(dt.timezone.utc)
+
+    def done(status: str, **more) -> None:
+        elapsed = (dt.datetime.now(dt.timezone.utc) - began).total_seconds()
+        _audit(spark, audit_path, pipeline, res.run_id, COMPLETED, status,
+               {"records_processed": res.processed, "records_failed": res.failed, "elapsed_seconds": elapsed, **more})
+
+    _audit(spark, audit_path, pipeline, res.run_id, STARTED, "started", {"dataset": RAW, "source": str(paths)})
+    try:
+        cursor = read_cursor(store, source, initial_cursor)
+        files = unprocessed(store, source, paths).collect()  # the run's file list, as a listing is
+        if files:
+            work(res, sorted(f.path for f in files), cursor)
+            log = spark.createDataFrame([(f.path, f.modified, f.length, res.run_id) for f in files],
+                                        "path string, modified timestamp, length long, run_id string")
+            store.merge(log, RAW, log_table(source), ["path"])
+        res.cursor = read_cursor(store, source, None)
+    except Exception as exc:
+        done("failure", error=str(exc))
+        raise
+    done("success")
+    return res
+
+
 def run_ticket_ingestion(spark: SparkSession, store: sinks.TableStore, landing: str | list[str],
                          audit_path: str | None = None, run_id: str | None = None,
                          load_id: str | None = None, whole_files: bool = True,
                          on_malformed: str = "dead_letter",
                          initial_cursor: str | None = INITIAL_TICKETS_CURSOR) -> RunResult:
-    """T1 in batch form: landed ticket payloads -> raw_tickets + failed_records."""
-    configure(spark)
-    run_id = run_id or str(uuid.uuid4())
-    load_id = load_id or _now_id()
+    """T1 in batch form: new landed ticket payloads -> raw_tickets + dead letters.
+
+    ``on_malformed='fail'`` raises while staging, before any merge.
+    """
     pipeline = "tickets_pipeline"
-    started = dt.datetime.now(dt.timezone.utc)
-    _audit(spark, audit_path, pipeline, run_id, STARTED, "started", {"dataset": RAW, "source": str(landing)})
-    try:
-        cursor = read_cursor(store, "tickets", initial_cursor)
-        payloads = (landed.read_ticket_payloads(spark, landing) if whole_files else
-                    spark.read.text(landing).select("value", F.col("_metadata.file_path").alias("_source")))
-        records, bad_payloads = landed.unwrap_envelope(payloads)
-        if on_malformed == "fail":
-            bad_payloads = bad_payloads.select(F.raise_error(F.col("error_message")).alias("x"))
-        norm = ingest.normalize_tickets(records, load_id, on_malformed=on_malformed)
-        obs = Observation(f"tickets-{run_id}")
-        staged = _stage(spark, norm, run_id, obs)
-        good = ingest.after_cursor(ingest.good_rows(staged), "created_at", cursor, inclusive=True)
-        res = RunResult(run_id, load_id)
-        res.tables["raw_tickets"] = store.merge(
-            good.drop("_source", "_ordinal"), RAW, "raw_tickets", "ticket_id",
-            [F.col("created_at").desc(), F.col("_row_id").desc()])
-        failed = ingest.failed_records(staged, pipeline, "ticket_api").unionByName(
-            bad_payloads.select(F.sha2("raw_record", 256).alias("record_hash"),
-                                F.lit(pipeline).alias("pipeline_name"), F.lit("ticket_api").alias("source_name"),
-                                "raw_record", "error_message", F.current_timestamp().alias("failed_at")))
-        res.tables["failed_records"] = store.merge(failed.select(*FAILED_RECORDS.fieldNames()), RAW,
-                                                   "failed_records", "record_hash", [F.col("failed_at").desc()])
-        _advance_cursor(store, good, "tickets", "created_at")
-        m = obs.get
-        res.received, res.processed, res.failed = m["received"], m["processed"], m["failed"]
-        res.cursor = read_cursor(store, "tickets", None)
-    except Exception as exc:
-        _audit(spark, audit_path, pipeline, run_id, COMPLETED, "failure", {"error": str(exc)[:2000]})
-        raise
-    elapsed = (dt.datetime.now(dt.timezone.utc) - started).total_seconds()
-    _audit(spark, audit_path, pipeline, run_id, COMPLETED, "success",
-           {"records_processed": res.processed, "records_failed": res.failed, "elapsed_seconds": elapsed})
-    return res
+
+    def work(res: RunResult, files: list[str], cursor: str | None) -> None:
+        payloads = (landed.read_ticket_payloads(spark, files) if whole_files else
+                    spark.read.text(files).select("value", F.col("_metadata.file_path").alias("_source")))
+        norm = ingest.normalize_tickets(landed.unwrap_payloads(payloads), res.load_id, on_malformed=on_malformed)
+        norm = norm.filter(F.col("error_message").isNotNull()
+                           | ingest.passes_cursor(norm, "created_at", cursor, inclusive=True))
+        obs = Observation(f"tickets-{res.run_id}")
+        staged = _stage(spark, norm, res.run_id, obs)
+        res.processed, res.failed = obs.get["accepted"], obs.get["failed"]
+        res.received = res.processed + res.failed
+        res.tables |= merge_tickets(store, staged, pipeline, "ticket_api")
+        _advance_cursor(store, ingest.good_rows(staged), "tickets", "created_at")
+
+    return _run(spark, store, "tickets", pipeline, landing, audit_path, run_id, load_id, initial_cursor, work)
 
 
 def run_order_ingestion(spark: SparkSession, store: sinks.TableStore, csv_path: str | list[str],
@@ -135,33 +185,30 @@ def run_order_ingestion(spark: SparkSession, store: sinks.TableStore, csv_path:
                         load_id: str | None = None, on_malformed: str = "dead_letter",
                         cursor_column: str = "order_purchase_timestamp",
                         initial_cursor: str | None = INITIAL_ORDERS_CURSOR,
-                        strict_ids: bool = False) -> RunResult:
-    """Orders CSV -> raw_orders + failed_records (strict cursor, newest per order)."""
-    configure(spark)
-    run_id = run_id or str(uuid.uuid4())
-    load_id = load_id or _now_id()
+                        strict_ids: bool = False, multi_line: bool = False) -> RunResult:
+    """New orders CSV files -> raw_orders + dead letters (strict cursor, newest per order).
+
+    ``processed`` counts orders after cursor and dedupe. With another
+    ``cursor_column`` rows without that value always pass.
+    """
     pipeline = "orders_pipeline"
-    _audit(spark, audit_path, pipeline, run_id, STARTED, "started", {"dataset": RAW, "source": str(csv_path)})
-    try:
-        cursor = read_cursor(store, "orders", initial_cursor)
-        rows = landed.read_orders_csv(spark, csv_path)
-        norm = ingest.normalize_orders(rows, load_id, on_malformed=on_malformed, strict_ids=strict_ids)
-        obs = Observation(f"orders-{run_id}")
-        staged = _stage(spark, norm, run_id, obs)
-        good = ingest.after_cursor(ingest.good_rows(staged), cursor_column, cursor, inclusive=False)
+
+    def work(res: RunResult, files: list[str], cursor: str | None) -> None:
+        rows = landed.read_orders_csv(spark, files, multi_line)
+        norm = ingest.normalize_orders(rows, res.load_id, on_malformed=on_malformed, strict_ids=strict_ids)
+        norm = norm.filter(F.col("error_message").isNotNull()
+                           | ingest.passes_cursor(norm, cursor_column, cursor, inclusive=False))
+        obs = Observation(f"orders-{res.run_id}")
+        staged = _stage(spark, norm, res.run_id, obs)
+        good = ingest.good_rows(staged)
+        res.failed = obs.get["failed"]
+        res.received = obs.get["accepted"] + res.failed
+        res.processed = good.agg(F.count_distinct("order_id")).first()[0]
         latest = ingest.latest_per_key(good, "order_id", "order_purchase_timestamp")
-        res = RunResult(run_id, load_id)
         res.tables["raw_orders"] = store.merge(latest.drop("_source", "_ordinal"), RAW, "raw_orders", "order_id")
-        failed = ingest.failed_records(staged, pipeline, "orders_csv")
-        res.tables["failed_records"] = store.merge(failed, RAW, "failed_records", "record_hash",
-                                                   [F.col("failed_at").desc()])
+        res.tables["failed_records"] = store.merge(
+            ingest.failed_records(staged, pipeline, "orders_csv"), RAW, failed_table("orders"), "record_hash",
+            [F.col("failed_at").desc()])
         _advance_cursor(store, good, "orders", cursor_column)
-        m = obs.get
-        res.received, res.processed, res.failed = m["received"], m["processed"], m["failed"]
-        res.cursor = read_cursor(store, "orders", None)
-    except Exception as exc:
-        _audit(spark, audit_path, pipeline, run_id, COMPLETED, "failure", {"error": str(exc)[:2000]})
-        raise
-    _audit(spark, audit_path, pipeline, run_id, COMPLETED, "success",
-           {"rows_processed": res.processed, "rows_failed": res.failed})
-    return res
+
+    return _run(spark, store, "orders", pipeline, csv_path, audit_path, run_id, load_id, initial_cursor, work)

@@ -7,6 +7,7 @@ caller decides the action.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,11 @@ from pyspark.sql import functions as F
 
 from moodline.functions.records import canonical_text
 from moodline.operators import dashboard, facts, ingest, merge, quality, risk, staging
+from moodline.plans import pipelines
 from moodline.session import checkpoint_dir, configure
-from moodline.sources import derived, landed
+from moodline.sources import derived, landed, sinks
+from moodline.sources.sinks import TableStore
+from moodline.streaming.tickets import start_heatmap, start_ticket_merge
 
 # Fixed refresh time injected into M4/M5 so results are reproducible
 # (production passes None -> current_timestamp()).
@@ -267,15 +271,126 @@ def q_merge_failed(spark, sf_dir):
     return merge.merge_by_key(first, rerun, "record_hash", [F.col("failed_at").desc()])
 
 
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @query("orders_csv_roundtrip")
 def q_orders_csv(spark, sf_dir):
-    """Orders landed as CSV files, read back as text, normalised, newest per order."""
-    import uuid
-    path = f"{checkpoint_dir(spark)}/landing/orders-{uuid.uuid4().hex}"
-    _landed_orders(spark, sf_dir).drop("_ordinal").write.option("header", True).csv(path)
-    rows = landed.read_orders_csv(spark, path)
+    """Orders landed as CSV files with different headers, read by name, normalised, newest per order.
+
+    Even keys land in the declared column order, odd ones reversed and with a
+    further column; the row hash leaves that column out.
+    """
+    path = _scratch(spark, "landing/orders")
+    rows = _landed_orders(spark, sf_dir)
+    key = F.col("_ordinal") % 2
+    even, odd = rows.filter(key == 0).drop("_ordinal"), rows.filter(key == 1)
+    even.write.option("header", True).csv(path)
+    (odd.select(*reversed(even.columns), F.col("_ordinal").alias("line_no"))
+     .write.mode("append").option("header", True).csv(path))
+    rows = landed.read_orders_csv(spark, path).drop("line_no")
     good = ingest.good_rows(ingest.normalize_orders(rows, load_id=ORDER_LOAD_ID))
-    return ingest.latest_per_key(good, "order_id", "order_purchase_timestamp").select(*ORDER_OUT)
+    # Copies of an order are told apart by their rows here, as they lie in different files.
+    latest = staging.keep_latest(good, "order_id", [F.col("order_purchase_timestamp").desc(), F.col("_row_id").asc()])
+    return latest.select(*ORDER_OUT)
+
+
+@query("rejected_payloads")
+def q_rejected_payloads(spark, sf_dir):
+    """S3, bad branch: cut-off JSON and unknown envelopes among good payloads, each one bad row."""
+    payloads = derived.ticket_payloads(derived.read_table(spark, sf_dir, "events"))
+    page = F.expr("cast(substring(_source, 6) as long)")
+    broken = (F.when(page % 4 == 0, F.expr("left(value, cast(length(value) - 1 as int))"))
+              .when(page % 4 == 1, F.concat(F.lit('{"rows":'), "value", F.lit("}"))).otherwise(F.col("value")))
+    rows = landed.unwrap_payloads(payloads.select(broken.alias("value"), "_source"))
+    return rows.groupBy("_source").agg(
+        F.max("_bad_error").alias("error_message"), F.count("record").alias("records"))
+
+
+@query("record_passthrough")
+def q_record_passthrough(spark, sf_dir):
+    """P5: keys that no column names stay queryable in the stored record."""
+    store = TableStore(spark, _scratch(spark, "warehouse"))
+    path = store.overwrite(_good_tickets(spark, sf_dir).drop("_source", "_ordinal"), "raw_zone", "raw_tickets")
+    stored = spark.read.parquet(path)
+    return stored.select("_row_id", canonical_text(F.col("_record")).alias("record_text"),
+                         F.try_variant_get("_record", "$.metadata.channel", "string").alias("record_channel"))
+
+
+@query("text_booleans")
+def q_text_booleans(spark, sf_dir):
+    """C4: delay flags that landed as text; only true and false in any case count, else the times decide."""
+    raw = derived.raw_orders_at(spark, sf_dir)
+    k = F.col("_row_id").cast("long") % 6
+    text = (F.when(k == 0, "true").when(k == 1, "FALSE").when(k == 2, "yes").when(k == 3, "").when(k == 4, "False"))
+    return staging.stg_orders(raw.withColumn("is_delayed_order", text)).select("order_id", "is_delayed_order")
+
+
+def _first_and_second(spark, sf_dir):
+    good = _good_orders(spark, sf_dir)
+    ts = F.col("order_purchase_timestamp")
+    return [part.select(*ORDER_OUT, "_ordinal") for part in (
+        good.filter(ts < _ts(FIRST_LOAD_BEFORE)), good.filter(ts >= _ts(SECOND_LOAD_FROM)))]
+
+
+@query("bucketed_merge_orders")
+def q_bucketed_merge_orders(spark, sf_dir):
+    """S6 through the table store: two loads merged into a key-bucketed table."""
+    store = TableStore(spark, _scratch(spark, "warehouse"), merge_buckets=8)
+    for part in _first_and_second(spark, sf_dir):
+        store.merge(part, "raw_zone", "raw_orders", "order_id", _order_order())
+    return store.read("raw_zone", "raw_orders").select(*ORDER_OUT)
+
+
+@query("mixed_layout_merge")
+def q_mixed_layout_merge(spark, sf_dir):
+    """A plain table merged into as bucketed, then by stores that ask for other layouts."""
+    root = _scratch(spark, "warehouse")
+    first, second = _first_and_second(spark, sf_dir)
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2)) == 0
+    for part, buckets in ((first, None), (second.filter(half), 8), (second.filter(~half), None), (second.limit(0), 16)):
+        TableStore(spark, root, merge_buckets=buckets).merge(part, "raw_zone", "raw_orders", "order_id", _order_order())
+    return TableStore(spark, root).read("raw_zone", "raw_orders").select(*ORDER_OUT)
+
+
+TWO_LOAD_INITIAL = "2024-01-05T00:00:00Z"
+
+
+def _land_lines(payloads: DataFrame, path: str) -> None:
+    payloads.select("value").write.mode("append").text(path)
+
+
+def _two_load_run(spark, sf_dir) -> tuple[TableStore, str]:
+    """Tickets landed and ingested in two overlapping drops; returns the store and the audit path."""
+    root = _scratch(spark, "warehouse")
+    store, landing, audit = TableStore(spark, root, merge_buckets=8), f"{root}/landing", f"{root}/audit"
+    events = derived.read_table(spark, sf_dir, "events")
+    drops = (F.col("ts") < _ts(FIRST_LOAD_BEFORE), F.col("ts") >= _ts(SECOND_LOAD_FROM))
+    for i, drop in enumerate(drops, 1):
+        _land_lines(derived.ticket_payloads(events.filter(drop)), landing)
+        pipelines.run_ticket_ingestion(spark, store, landing, audit_path=audit, run_id=f"tickets-{i}", load_id=f"load-{i}",
+                                       whole_files=False, initial_cursor=TWO_LOAD_INITIAL)
+    return store, audit
+
+
+@query("two_load_ingestion")
+def q_two_load_ingestion(spark, sf_dir):
+    """I1 + I4 + S6: two landing drops, each file read once, the second from the first one's cursor on."""
+    store, _ = _two_load_run(spark, sf_dir)
+    return store.read("raw_zone", "raw_tickets").select(*TICKET_OUT)
+
+
+@query("published_dashboards")
+def q_published(spark, sf_dir):
+    """S5 + S10: the dashboard table stored, exported as JSON and read back."""
+    root = _scratch(spark, "warehouse")
+    store = TableStore(spark, root)
+    table = dashboard.sentiment_heatmap(_stg_tickets(spark, sf_dir), ordered=False)
+    store.overwrite(table.limit(0), "dashboard", "sentiment_heatmap")
+    store.overwrite(table, "dashboard", "sentiment_heatmap")
+    sinks.export_extract(store.read("dashboard", "sentiment_heatmap"), f"{root}/extract")
+    return spark.read.schema(table.schema).json(f"{root}/extract")
 
 
 # ---------------------------------------------------------------- quality
@@ -367,12 +482,28 @@ def q_owner_queue(spark, sf_dir):
     return quality.owner_queue(dashboard.high_risk_table(_high_risk(spark, sf_dir)), spark)
 
 
+@query("contract_check_missing")
+def q_contract_missing(spark, sf_dir):
+    """V7 on records that lack a key: the check fails with the number of such records."""
+    records = _ticket_records(spark, sf_dir)
+    cut = F.when(F.col("_ordinal.p") % 10 == 3, F.parse_json(F.expr(
+        "regexp_replace(to_json(record), '\"customer_id\":\"[^\"]*\",', '')"))).otherwise(F.col("record"))
+    return quality.contract_check(records.withColumn("record", cut), ingest.TICKET_REQUIRED)
+
+
 @query("run_durations")
 def q_run_durations(spark, sf_dir):
-    """V8 + V9: audit events per landed payload batch, correlated per run."""
-    events = quality.batch_audit_events(_normalized_tickets(spark, sf_dir), TICKET_PIPELINE,
-                                        "_source", "created_at")
-    return quality.run_durations(events)
+    """V8 + V9 + A6: the audit files of two ticket runs and an order run, correlated per run.
+
+    Times differ between runs and stay out of the result.
+    """
+    store, audit = _two_load_run(spark, sf_dir)
+    path = _scratch(spark, "landing/orders")
+    _landed_orders(spark, sf_dir).drop("_ordinal").write.option("header", True).csv(path)
+    pipelines.run_order_ingestion(spark, store, path, audit_path=audit, run_id="orders-1", initial_cursor=ORDER_CURSOR)
+    return quality.run_durations(quality.read_audit(spark, audit)).select(
+        "pipeline_name", "run_id", "outcome", "records_processed", "records_failed",
+        (F.col("duration_seconds") > 0).alias("took_time"))
 
 
 # ------------------------------------------------------------ end to end
@@ -390,45 +521,37 @@ def q_e2e(spark, sf_dir):
 
 # -------------------------------------------------------------- streaming
 
-def _land_payload_lines(spark, sf_dir, files: int = 8) -> str:
-    """Land the derived payload pages as text files (one payload per line).
-
-    Both copies of a ticket fall in the same page, hence the same file.
-    """
-    import uuid
-    path = f"{checkpoint_dir(spark)}/landing/tickets-{uuid.uuid4().hex}"
-    (derived.ticket_payloads(derived.read_table(spark, sf_dir, "events"))
-     .repartition(files, "_source").select("value").write.text(path))
-    return path
-
-
 @query("stream_ticket_merge")
 def q_stream_merge(spark, sf_dir):
-    """Payload files streamed in micro-batches, merged into raw_tickets."""
-    import uuid
+    """Payload files streamed in micro-batches, merged into raw_tickets.
 
-    from moodline.sources.sinks import TableStore
-    from moodline.streaming.tickets import start_ticket_merge
-    landing = _land_payload_lines(spark, sf_dir)
-    root = f"{checkpoint_dir(spark)}/warehouse-{uuid.uuid4().hex}"
-    store = TableStore(spark, root)
-    q = start_ticket_merge(spark, store, landing, checkpoint_location=f"{root}/_checkpoints/t1",
-                           max_files_per_trigger=2)
-    q.awaitTermination()
+    The two copies of a ticket land in different drops, each drained by its
+    own run on one checkpoint: the copy of the later drop replaces the other.
+    """
+    root = _scratch(spark, "warehouse")
+    store, landing = TableStore(spark, root, merge_buckets=8), f"{root}/landing"
+    events = derived.read_table(spark, sf_dir, "events")
+    for copy in (0, 1):
+        _land_lines(derived.ticket_payloads(events.filter(F.col("event_id") % 2 == copy)), landing)
+        start_ticket_merge(spark, store, landing, checkpoint_location=f"{root}/_checkpoints/t1",
+                           whole_files=False).awaitTermination()
     out = [c for c in TICKET_OUT if c != "_load_id"]
     return store.read("raw_zone", "raw_tickets").select(*out)
 
 
 @query("stream_heatmap_hourly")
 def q_stream_heatmap(spark, sf_dir):
-    """Watermarked hourly heatmap over the streamed payloads (rows-only check)."""
-    import uuid
-
-    from moodline.streaming.tickets import start_heatmap
-    landing = _land_payload_lines(spark, sf_dir)
-    root = f"{checkpoint_dir(spark)}/heatmap-{uuid.uuid4().hex}"
-    q = start_heatmap(spark, landing, f"{root}/out", checkpoint_location=f"{root}/_ckpt")
-    q.awaitTermination()
+    """Watermarked hourly heatmap over the streamed payloads.
+
+    All copies of a ticket land in one payload, hence in one micro-batch,
+    where the first by time is kept; the windows that the final watermark has
+    passed are emitted.
+    """
+    root = _scratch(spark, "heatmap")
+    events = derived.read_table(spark, sf_dir, "events")
+    _land_lines(derived.ticket_payloads(events), f"{root}/landing")
+    start_heatmap(spark, f"{root}/landing", f"{root}/out", checkpoint_location=f"{root}/_ckpt",
+                  whole_files=False).awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 

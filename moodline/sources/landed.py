@@ -8,13 +8,17 @@ unwrapped and the record list exploded there too, so the driver only plans.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from moodline.functions.records import is_object
 
 # Envelope keys tried in this order after a root list.
 ENVELOPE_KEYS = ("data", "tickets", "results", "items")
+MALFORMED_MESSAGE = "Malformed JSON payload"
 BAD_SHAPE_MESSAGE = "Unsupported ticket API response shape"
 
 
@@ -25,23 +29,61 @@ def read_ticket_payloads(spark: SparkSession, path: str | list[str]) -> DataFram
             .select("value", F.col("_metadata.file_path").alias("_source")))
 
 
-def read_orders_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Orders CSV with a header row, every column read as text.
+def landed_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The files under the landing paths: ``path, modified, length`` (no content is read)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.format("binaryFile").load(paths).select(
+        "path", F.col("modificationTime").alias("modified"), "length")
+
+
+def _column_names(header: str) -> list[str]:
+    names = next(csv.reader([header]))
+    if len(set(names)) != len(names) or not all(names):
+        raise ValueError(f"header has blank or repeated column names: {header!r}")
+    return names
+
+
+def read_orders_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Orders CSV files with a header row each, every column read as text.
 
-    No schema inference (one pass, no type guessing); extra columns are
-    kept, quoted multi-line fields are allowed. ``_source`` and
-    ``_ordinal`` record where each row came from, so "first seen" ties
-    break by file order.
+    Columns go by each file's own header: files whose headers differ in order
+    or in extra columns are read per header and united by name. Files are
+    split between tasks at line ends. A field that holds a line break needs
+    ``multi_line``, which reads each file in one task; without it, a line
+    whose quotes do not pair up fails the read instead of being misread.
+    ``_source`` and ``_ordinal`` record where each row came from, so "first
+    seen" ties break by file order.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.csv(paths, header=True, inferSchema=False, multiLine=True, escape='"')
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.col("_metadata.file_path").alias("_source"),
-        F.struct(F.col("_metadata.file_path").alias("f"),
-                 F.col("_metadata.file_block_start").alias("b"),
-                 F.monotonically_increasing_id().alias("i")).alias("_ordinal"),
-    )
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                     F.monotonically_increasing_id().alias("i"))
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_source"),
+                                          place.alias("_ordinal"))
+    firsts = (lines.where("_ordinal.b = 0 and value <> ''").groupBy("_source")
+              .agg(F.min_by("value", "_ordinal.i").alias("header"))
+              .groupBy("header").agg(F.collect_list("_source").alias("files")))
+    out: DataFrame | None = None
+    for header, files in sorted((r.header, sorted(r.files)) for r in firsts.collect()):  # one row per header
+        names = _column_names(header)
+        schema = StructType([StructField(n, StringType()) for n in names])
+        if multi_line:
+            rows = (spark.read.schema(schema).csv(files, header=True, multiLine=True, escape='"')
+                    .select(*[F.col(f"`{n}`") for n in names], F.col("_metadata.file_path").alias("_source"),
+                            place.alias("_ordinal")))
+        else:
+            own = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("_source"),
+                                                place.alias("_ordinal"))
+            unpaired = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+            checked = F.when(unpaired % 2 == 0, F.col("value")).otherwise(F.raise_error(F.concat(
+                F.lit("unpaired quotes (a field with line breaks needs multi_line) in "), "_source",
+                F.lit(": "), "value")))
+            rows = (own.where((F.col("value") != header) & (F.col("value") != ""))
+                    .select(F.from_csv(checked, schema.toDDL(), {"escape": '"'}).alias("r"), "_source", "_ordinal")
+                    .select("r.*", "_source", "_ordinal"))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    if out is None:
+        return lines.select("_source", "_ordinal").where("false")
+    return out
 
 
 def envelope_records(payload: Column) -> Column:
@@ -58,25 +100,31 @@ def envelope_records(payload: Column) -> Column:
     )
 
 
-def unwrap_envelope(payloads: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """S3 + F5: payload rows -> (record rows, bad payload rows).
+def unwrap_payloads(payloads: DataFrame, text_col: str = "value") -> DataFrame:
+    """S3 + F5: payload rows -> record rows and bad payload rows in one frame, from one scan.
 
     Record rows carry ``record`` (VARIANT), ``_source`` and ``_ordinal``
     (source, position) for first-seen ordering; non-object list items are
-    dropped. Bad payloads (unparseable JSON or no record list) come back
-    with ``error_message`` so the caller can dead-letter or fail.
+    dropped. A bad payload (unparseable JSON or no record list) is one row
+    without a record, with ``_bad_text`` and ``_bad_error``.
     """
     source = F.col("_source") if "_source" in payloads.columns else F.lit(None).cast("string")
-    parsed = payloads.select(F.col(text_col).alias("_payload_text"), source.alias("_source"),
+    parsed = payloads.select(F.col(text_col).alias("_text"), source.alias("_source"),
                              F.try_parse_json(F.col(text_col)).alias("_payload"))
     parsed = parsed.withColumn("_items", envelope_records(F.col("_payload")))
-    records = (parsed.filter(F.col("_items").isNotNull())
-               .select("_source", F.posexplode("_items").alias("_pos", "record"))
-               .filter(is_object(F.col("record")))
-               .select("record", "_source",
-                       F.struct(F.col("_source").alias("f"), F.col("_pos").alias("p")).alias("_ordinal")))
-    bad = (parsed.filter(F.col("_items").isNull())
-           .select(F.col("_payload_text").alias("raw_record"), "_source",
-                   F.when(F.col("_payload").isNull(), F.lit("Malformed JSON payload"))
-                   .otherwise(F.lit(BAD_SHAPE_MESSAGE)).alias("error_message")))
+    bad = F.col("_items").isNull()
+    error = F.when(F.col("_payload").isNull(), F.lit(MALFORMED_MESSAGE)).otherwise(F.lit(BAD_SHAPE_MESSAGE))
+    rows = parsed.select("_source", F.when(bad, F.col("_text")).alias("_bad_text"), F.when(bad, error).alias("_bad_error"),
+                         F.posexplode_outer("_items").alias("_pos", "record"))
+    return (rows.filter(F.col("_bad_error").isNotNull() | F.coalesce(is_object(F.col("record")), F.lit(False)))
+            .select("record", "_source", F.struct(F.col("_source").alias("f"), F.col("_pos").alias("p")).alias("_ordinal"),
+                    "_bad_text", "_bad_error"))
+
+
+def unwrap_envelope(payloads: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """S3 + F5 as two frames: (record rows, bad payload rows with ``raw_record`` and ``error_message``)."""
+    rows = unwrap_payloads(payloads, text_col)
+    records = rows.filter(F.col("_bad_error").isNull()).select("record", "_source", "_ordinal")
+    bad = (rows.filter(F.col("_bad_error").isNotNull())
+           .select(F.col("_bad_text").alias("raw_record"), "_source", F.col("_bad_error").alias("error_message")))
     return records, bad

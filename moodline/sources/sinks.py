@@ -9,12 +9,17 @@ before reading it), so a failed or killed job leaves the previous version
 current and a rerun starts clean. Two writers racing for the same version
 number fail on the existing path instead of mixing files.
 
-Bucketed merge targets (``merge_buckets=N``): rows carry
-``_bucket = pmod(xxhash64(key), N)``; a version directory holds only the
-buckets it rewrote, and a manifest version (``_manifest/v<N>``: one row per
-bucket -> directory, committed like any version) says where each bucket's
-current files are. A merge reads only the buckets its batch touches and
-rewrites only those, so its cost follows the batch, not the table.
+Merge targets are key-bucketed by default: rows are dealt to N buckets by a
+hash of the key, a data version holds only the buckets it rewrote, and a
+manifest version (``_manifest/v<N>``: one row per bucket -> directory, with
+the table's keys, bucket count and schema) says where each bucket's current
+files are. A merge reads and rewrites only the buckets its batch touches, so
+its cost follows the batch, not the table.
+
+The stored layout decides, not the constructor: a bucketed table keeps its
+keys and bucket count whatever ``merge_buckets`` says, a plain table that is
+merged with ``merge_buckets`` set is rewritten as bucketed once, and versions
+of both layouts share one counter, the newest being current.
 
 Contract: one writer per table at a time (runs of one pipeline are
 serialised by the scheduler). A failed or killed write leaves an orphan
@@ -26,6 +31,8 @@ atomic conditional commit, i.e. a table format (Delta / Iceberg).
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from moodline.operators.merge import merge_by_key
+from moodline.session import checkpoint_dir
 
 LAYERS = ("raw_zone", "staging", "core", "enrichment", "dashboard")  # S9
 VERSION_PREFIX = "v"
@@ -41,19 +49,24 @@ VERSION_DIGITS = 10
 
 BUCKET_COL = "_bucket"
 MANIFEST = "_manifest"
+DEFAULT_BUCKETS = 32
+MANIFEST_SCHEMA = "bucket int, path string, keys string, buckets int, schema string"
 
 
 class TableStore:
     """Tables under one root (local path, HDFS or object store URI).
 
-    ``merge_buckets``: when set, merge targets are key-bucketed (see the
-    module docstring); full-refresh tables are unaffected.
+    ``merge_buckets``: bucket count of merge targets created from now on
+    (None: plain, each merge rewrites the table). ``bucket_files``: tasks, and
+    so files, that write one bucket. Full-refresh tables are unaffected.
     """
 
-    def __init__(self, spark: SparkSession, root: str, merge_buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, merge_buckets: int | None = DEFAULT_BUCKETS,
+                 bucket_files: int = 1):
         self.spark = spark
         self.root = root.rstrip("/")
         self.merge_buckets = merge_buckets
+        self.bucket_files = bucket_files
 
     # -- paths ---------------------------------------------------------
     def table_path(self, layer: str, table: str) -> str:
@@ -64,59 +77,64 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def versions(self, layer: str, table: str) -> list[str]:
-        """Committed version paths, oldest first."""
-        return self._versions_at(self.table_path(layer, table))
-
-    def _versions_at(self, base_path: str) -> list[str]:
+    def _numbers(self, base_path: str) -> dict[int, bool]:
+        """Version number -> committed, of the version directories in ``base_path``."""
         fs, base = self._fs(base_path)
         if not fs.exists(base):
-            return []
-        out = []
-        for st in fs.listStatus(base):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[1:].isdigit():
-                if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                    out.append(f"{base_path}/{name}")
-        return sorted(out)
+            return {}
+        return {int(name[1:]): fs.exists(st.getPath().suffix("/_SUCCESS"))
+                for st in fs.listStatus(base) for name in [st.getPath().getName()]
+                if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[1:].isdigit()}
+
+    @staticmethod
+    def _at(base_path: str, number: int) -> str:
+        return f"{base_path}/{VERSION_PREFIX}{number:0{VERSION_DIGITS}d}"
+
+    def versions(self, layer: str, table: str) -> list[str]:
+        """Committed versions, oldest first: plain data or manifest paths."""
+        base = self.table_path(layer, table)
+        found = [(n, self._at(b, n)) for b in (base, f"{base}/{MANIFEST}")
+                 for n, committed in self._numbers(b).items() if committed]
+        return [path for _, path in sorted(found)]
 
     def current(self, layer: str, table: str) -> str | None:
         v = self.versions(layer, table)
         return v[-1] if v else None
 
-    def _next_version(self, layer: str, table: str) -> str:
-        return self._next_version_at(self.table_path(layer, table))
+    def _next_number(self, layer: str, table: str) -> int:
+        base = self.table_path(layer, table)
+        return 1 + max((n for b in (base, f"{base}/{MANIFEST}", f"{base}/data") for n in self._numbers(b)), default=-1)
 
-    def _next_version_at(self, base_path: str) -> str:
-        fs, base = self._fs(base_path)
-        last = -1
-        if fs.exists(base):
-            for st in fs.listStatus(base):
-                name = st.getPath().getName()
-                if name.startswith(VERSION_PREFIX) and name[1:].isdigit():
-                    last = max(last, int(name[1:]))
-        return f"{base_path}/{VERSION_PREFIX}{last + 1:0{VERSION_DIGITS}d}"
+    def _manifest(self, path: str | None) -> list | None:
+        """Rows of a manifest version (one per bucket), or None for a plain one."""
+        if path is None or f"/{MANIFEST}/" not in path:
+            return None
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).collect()
 
     # -- read / write --------------------------------------------------
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame | None:
         """Current version, or None if the table has none yet."""
-        manifest = self._manifest(layer, table)
-        if manifest is not None:
-            return self._read_buckets(manifest, None, schema)
         path = self.current(layer, table)
+        manifest = self._manifest(path)
+        if manifest is not None:
+            return self._read_buckets(manifest, schema)
         if path is None:
-            if schema is None:
-                return None
-            return self.spark.createDataFrame([], schema)
+            return None if schema is None else self.spark.createDataFrame([], schema)
         reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(path)
+        return (reader.schema(schema) if schema is not None else reader).parquet(path)
+
+    def _read_buckets(self, manifest: list, schema: StructType | None = None) -> DataFrame:
+        # Buckets may come from different versions; the manifest holds the schema of them all.
+        stored = StructType.fromJson(json.loads(manifest[0].schema)) if schema is None else schema
+        paths = [r.path for r in manifest if r.path]
+        if not paths:
+            return self.spark.createDataFrame([], stored)
+        return self.spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(*paths)
 
     def overwrite(self, df: DataFrame, layer: str, table: str,
                   partition_by: Sequence[str] = ()) -> str:
         """Full refresh into a new version; returns its path."""
-        path = self._next_version(layer, table)
+        path = self._at(self.table_path(layer, table), self._next_number(layer, table))
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -126,58 +144,69 @@ class TableStore:
     def merge(self, batch: DataFrame, layer: str, table: str, key: str | Sequence[str],
               order: Sequence[Column] | None = None) -> str:
         """Merge ``batch`` into the current version, write a new one."""
-        if self.merge_buckets:
-            return self._merge_bucketed(batch, layer, table, key, order)
-        target = self.read(layer, table)
-        return self.overwrite(merge_by_key(target, batch, key, order), layer, table)
+        keys = [key] if isinstance(key, str) else list(key)
+        path = self.current(layer, table)
+        manifest = self._manifest(path)
+        if manifest is None and not self.merge_buckets:
+            return self.overwrite(merge_by_key(self.read(layer, table), batch, keys, order), layer, table)
+        if manifest is not None and json.loads(manifest[0].keys) != keys:
+            raise ValueError(f"{layer}.{table} is bucketed by {manifest[0].keys}, not by {keys}")
+        plain = self.read(layer, table) if manifest is None and path is not None else None
+        return self._merge_bucketed(batch, layer, table, keys, order, manifest, plain)
 
     # -- bucketed merge targets -------------------------------------------
-    def _manifest(self, layer: str, table: str) -> DataFrame | None:
-        versions = self._versions_at(f"{self.table_path(layer, table)}/{MANIFEST}")
-        return self.spark.read.parquet(versions[-1]) if versions else None
-
-    def _read_buckets(self, manifest: DataFrame, buckets: list[int] | None,
-                      schema: StructType | None) -> DataFrame | None:
-        if buckets is not None:
-            manifest = manifest.filter(F.col("bucket").isin(buckets))
-        # One row per bucket: bounded by the bucket count, not the data.
-        paths = [r.path for r in manifest.select("path").collect()]
-        if not paths:
-            return None if schema is None else self.spark.createDataFrame([], schema)
-        # Buckets may come from different versions; a later batch can add a column.
-        reader = self.spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(*paths)
-
-    def _merge_bucketed(self, batch: DataFrame, layer: str, table: str, key: str | Sequence[str],
-                        order: Sequence[Column] | None) -> str:
-        keys = [key] if isinstance(key, str) else list(key)
-        n = self.merge_buckets
+    def _merge_bucketed(self, batch: DataFrame, layer: str, table: str, keys: list[str],
+                        order: Sequence[Column] | None, manifest: list | None, plain: DataFrame | None) -> str:
+        n = manifest[0].buckets if manifest else self.merge_buckets
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
-        batch = batch.drop(BUCKET_COL).withColumn(BUCKET_COL, bucket)
         if order:
             batch = merge_by_key(None, batch, keys, order)
-        base = self.table_path(layer, table)
-        old = self._manifest(layer, table)
-        # Touched buckets: at most n values.
-        touched = sorted(r[0] for r in batch.select(BUCKET_COL).distinct().collect())
-        target = None
-        if old is not None:
-            target = self._read_buckets(old, touched, None)
-            if target is not None:
-                target = target.withColumn(BUCKET_COL, bucket)
-        merged = merge_by_key(target, batch, keys)
-        data_path = self._next_version_at(f"{base}/data")
-        merged.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(data_path)
-        new_rows = [(b, f"{data_path}/{BUCKET_COL}={b}") for b in touched]
-        entries = self.spark.createDataFrame(new_rows, "bucket int, path string")
-        if old is not None:
-            entries = old.join(entries.select("bucket"), "bucket", "left_anti").unionByName(entries)
-        manifest_path = self._next_version_at(f"{base}/{MANIFEST}")
-        entries.coalesce(1).write.mode("errorifexists").parquet(manifest_path)
+        # The batch is written once; its buckets, its keys and its rows are read from there.
+        staged_path = f"{checkpoint_dir(self.spark)}/merge-{uuid.uuid4().hex}"
+        batch.drop(BUCKET_COL).withColumn(BUCKET_COL, bucket).write.parquet(staged_path)
+        staged = self.spark.read.parquet(staged_path)
+        # Touched buckets: at most n values. A plain table is dealt to buckets whole.
+        touched = set(range(n)) if plain is not None else {
+            r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
+        kept = [r for r in manifest or [] if r.bucket not in touched]
+        old = [r for r in manifest or [] if r.bucket in touched]
+        target = plain if plain is not None else self._read_buckets(old) if old else None
+        if target is not None:
+            target = target.withColumn(BUCKET_COL, bucket)
+        merged = merge_by_key(target, staged, keys)
+        schema = merged.drop(BUCKET_COL).schema
+        if manifest:
+            known = StructType.fromJson(json.loads(manifest[0].schema))
+            schema = StructType([*schema, *(f for f in known if f.name not in schema.fieldNames())])
+        base, number = self.table_path(layer, table), self._next_number(layer, table)
+        data_path = self._at(f"{base}/data", number)
+        salt = F.pmod(F.xxhash64(F.lit(1), *[F.col(k) for k in keys]), F.lit(self.bucket_files))
+        (merged.repartition(F.col(BUCKET_COL), salt).write.mode("errorifexists")
+         .partitionBy(BUCKET_COL).parquet(data_path))
+        fs, _ = self._fs(data_path)
+        filled = {b for b in touched if fs.exists(self._fs(f"{data_path}/{BUCKET_COL}={b}")[1])}
+        about = (json.dumps(keys), n, schema.json())
+        rows = [(r.bucket, r.path, *about) for r in kept] + [
+            (b, f"{data_path}/{BUCKET_COL}={b}", *about) for b in sorted(filled)]
+        # A table without rows keeps its layout and schema in a row without a path.
+        rows = rows or [(-1, None, *about)]
+        manifest_path = self._at(f"{base}/{MANIFEST}", number)
+        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(manifest_path)
         return manifest_path
 
+    def expire(self, layer: str, table: str, keep: int = 3) -> list[str]:
+        """Retention: remove all but the newest ``keep`` versions and the data they name; returns removed paths."""
+        versions = self.versions(layer, table)
+        stays, goes = versions[-max(1, keep):], versions[:-max(1, keep)]
+        held = {r.path.rpartition("/")[0] for v in stays for r in self._manifest(v) or [] if r.path}
+        data = f"{self.table_path(layer, table)}/data"
+        newest = int(stays[-1].rpartition(VERSION_PREFIX)[2]) if stays else -1
+        goes += [p for n in self._numbers(data) if n <= newest for p in [self._at(data, n)] if p not in held]
+        for path in goes:
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+        return goes
+
 
 def append_json(df: DataFrame, path: str) -> None:
     """Append-only JSON lines (audit events)."""

@@ -4,7 +4,9 @@ T1: landed payload files -> ``readStream`` -> per micro-batch: unwrap,
 normalise, stage, merge good rows into ``raw_tickets`` and bad rows into
 ``failed_records``. The stream checkpoint replaces the cursor: each file
 is processed once, and a retried epoch re-merges the same rows, which
-leaves the tables unchanged (merge by key into a new version).
+leaves the tables unchanged (merge by key into a new version). Copies of a
+ticket in one epoch are reduced to the newest; a copy in a later epoch
+replaces the stored one, whatever its time.
 
 T2: hourly region heatmap with a watermark. A window is emitted once the
 watermark passes its end, and duplicates are dropped within the watermark
@@ -20,15 +22,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from moodline.functions.casts import blank_to
 from moodline.operators import ingest, quality
-from moodline.plans.pipelines import COMPLETED, COMPLIANCE_TAGS, STARTED
+from moodline.plans.pipelines import COMPLETED, COMPLIANCE_TAGS, STARTED, merge_tickets
 from moodline.session import checkpoint_dir, configure
 from moodline.sources import landed, sinks
-from moodline.sources.schemas import FAILED_RECORDS
 
 PIPELINE, SOURCE = "tickets_pipeline", "ticket_api"
 
 
-def payload_stream(spark: SparkSession, landing: str, whole_files: bool = False,
+def payload_stream(spark: SparkSession, landing: str, whole_files: bool = True,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming S1: one row per payload (per file, or per line)."""
     reader = spark.readStream.format("text")
@@ -57,31 +58,21 @@ def merge_batch(store: sinks.TableStore, staging_root: str, audit_path: str | No
     def process(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         audit(spark, epoch_id, STARTED, "started", {"epoch": epoch_id})
-        records, bad_payloads = landed.unwrap_envelope(batch)
-        norm = ingest.normalize_tickets(records, load_id=f"{epoch_id:012d}")
+        norm = ingest.normalize_tickets(landed.unwrap_payloads(batch), load_id=f"{epoch_id:012d}")
         path = f"{staging_root}/epoch={epoch_id}"
         obs = Observation(f"t1-{run_prefix}-{epoch_id}")
         # A retried epoch rewrites its own stage.
         norm.observe(obs, F.count_if(F.col("error_message").isNull()).alias("records_processed"),
                      F.count_if(F.col("error_message").isNotNull()).alias("records_failed")
                      ).write.mode("overwrite").parquet(path)
-        staged = spark.read.parquet(path)
-        good = ingest.good_rows(staged).drop("_source", "_ordinal")
-        store.merge(good, "raw_zone", "raw_tickets", "ticket_id",
-                    [F.col("created_at").desc(), F.col("_row_id").desc()])
-        failed = ingest.failed_records(staged, PIPELINE, SOURCE).unionByName(
-            bad_payloads.select(F.sha2("raw_record", 256).alias("record_hash"),
-                                F.lit(PIPELINE).alias("pipeline_name"), F.lit(SOURCE).alias("source_name"),
-                                "raw_record", "error_message", F.current_timestamp().alias("failed_at")))
-        store.merge(failed.select(*FAILED_RECORDS.fieldNames()), "raw_zone", "failed_records",
-                    "record_hash", [F.col("failed_at").desc()])
+        merge_tickets(store, spark.read.schema(norm.schema).parquet(path), PIPELINE, SOURCE)
         audit(spark, epoch_id, COMPLETED, "success", dict(obs.get))
 
     return process
 
 
 def start_ticket_merge(spark: SparkSession, store: sinks.TableStore, landing: str,
-                       checkpoint_location: str | None = None, whole_files: bool = False,
+                       checkpoint_location: str | None = None, whole_files: bool = True,
                        max_files_per_trigger: int | None = None,
                        available_now: bool = True, processing_time: str | None = None,
                        audit_path: str | None = None) -> StreamingQuery:
@@ -111,11 +102,11 @@ def heatmap_stream(good_tickets: DataFrame, watermark: str = "1 hour") -> DataFr
 
 def start_heatmap(spark: SparkSession, landing: str, output: str, checkpoint_location: str | None = None,
                   watermark: str = "1 hour", max_files_per_trigger: int | None = None,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, whole_files: bool = True) -> StreamingQuery:
     """Landed payloads -> accepted tickets -> hourly heatmap, appended as Parquet."""
     configure(spark)
     ckpt = checkpoint_location or f"{checkpoint_dir(spark)}/streams/heatmap"
-    records, _bad = landed.unwrap_envelope(payload_stream(spark, landing, False, max_files_per_trigger))
+    records, _bad = landed.unwrap_envelope(payload_stream(spark, landing, whole_files, max_files_per_trigger))
     good = ingest.good_rows(ingest.normalize_tickets(records, load_id="stream").drop("_record"))
     writer = (heatmap_stream(good, watermark).writeStream.outputMode("append").format("parquet")
               .option("path", output).option("checkpointLocation", ckpt))

@@ -21,7 +21,10 @@ def test_csv_edge_cases(spark, scratch):
     path = f"{scratch}/orders.csv"
     with open(path, "w") as fh:
         fh.write(CSV)
-    rows = landed.read_orders_csv(spark, path)
+    import pytest
+    with pytest.raises(Exception, match="unpaired quotes"):
+        landed.read_orders_csv(spark, path).collect()
+    rows = landed.read_orders_csv(spark, path, multi_line=True)
     norm = {r.order_id: r for r in ingest.normalize_orders(rows, "l").collect()}
     assert set(norm) == {"o-1", "o-2", "o-3", "o-4"}
     assert norm["o-1"].error_message is None and norm["o-1"].is_delayed_order is True
@@ -41,8 +44,39 @@ def test_cli_ingest_and_models(spark, scratch):
         fh.write(CSV)
     wh = f"{scratch}/wh"
     assert main(["ingest-tickets", "--warehouse", wh, "--landing", land, "--initial-cursor", ""]) == 0
-    assert main(["ingest-orders", "--warehouse", wh, "--csv", f"{scratch}/orders.csv", "--buckets", "4"]) == 0
+    assert main(["ingest-orders", "--warehouse", wh, "--csv", f"{scratch}/orders.csv", "--buckets", "4",
+                 "--multi-line"]) == 0
     assert main(["run-models", "--warehouse", wh, "--as-of", "2026-03-05 00:00:00"]) == 0
     assert main(["export", "--warehouse", wh, "--table", "sentiment_heatmap", "--out", f"{scratch}/x"]) == 0
     out = spark.read.json(f"{scratch}/x").collect()
     assert [(r.region, r.ticket_count) for r in out] == [("south", 1)]
+    assert main(["metrics", "--warehouse", wh, "--out", f"{scratch}/m", "--as-of", "2026-03-05 00:00:00"]) == 0
+    assert spark.read.json(f"{scratch}/m/failed_ratio").count() == 2
+    assert main(["expire", "--warehouse", wh, "--layer", "staging", "--table", "stg_tickets"]) == 0
+
+
+def test_columns_go_by_each_files_header(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/a.csv", "w") as fh:
+        fh.write('order_id,customer_id,price\n1,c1,2.5\n2,"c,2",3\n')
+    with open(f"{scratch}/in/b.csv", "w") as fh:
+        fh.write("customer_id,note,order_id\r\nc3,n3,3\r\n\r\nc4,,4\r\n")
+    got = {r.order_id: (r.customer_id, r.price, r.note) for r in landed.read_orders_csv(spark, f"{scratch}/in").collect()}
+    assert got == {"1": ("c1", "2.5", None), "2": ("c,2", "3", None), "3": ("c3", None, "n3"), "4": ("c4", None, None)}
+    with open(f"{scratch}/bad.csv", "w") as fh:
+        fh.write("a,a\n1,2\n")
+    import pytest
+    with pytest.raises(ValueError, match="repeated column"):
+        landed.read_orders_csv(spark, f"{scratch}/bad.csv")
+
+
+def test_large_file_is_split(spark, scratch):
+    with open(f"{scratch}/big.csv", "w") as fh:
+        fh.write("order_id,customer_id\n")
+        fh.writelines(f"{i},c{i}\n" for i in range(200_000))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        rows = landed.read_orders_csv(spark, f"{scratch}/big.csv")
+        assert rows.rdd.getNumPartitions() > 4 and rows.select("order_id").distinct().count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -35,17 +35,19 @@ def test_ticket_ingestion_and_rerun(spark, scratch):
     raw = _table(store, "raw_tickets")
     good_ids = raw.select("ticket_id").distinct().count()
     assert raw.count() == good_ids                       # one row per key
-    fr = _table(store, "failed_records")
+    fr = pipelines.read_failed(store)
     n_failed = fr.count()
     assert n_failed == r1.failed
     snapshot = sorted(map(tuple, raw.drop("_record", "_load_id").collect()))
-    # Rerun of the same files: the tables do not change.
-    pipelines.run_ticket_ingestion(spark, store, [landing], audit_path=audit, run_id="run-2",
-                                   load_id="0002", whole_files=False, initial_cursor=None)
+    failed_at = {r.record_hash: r.failed_at for r in fr.collect()}
+    # Rerun of the same files: nothing is read again, the tables do not change.
+    r2 = pipelines.run_ticket_ingestion(spark, store, [landing], audit_path=audit, run_id="run-2",
+                                        load_id="0002", whole_files=False, initial_cursor=None)
+    assert (r2.received, r2.processed, r2.failed, r2.cursor) == (0, 0, 0, r1.cursor)
+    assert {r.record_hash: r.failed_at for r in pipelines.read_failed(store).collect()} == failed_at
     raw2 = _table(store, "raw_tickets")
     assert sorted(map(tuple, raw2.drop("_record", "_load_id").collect())) == snapshot
-    assert _table(store, "failed_records").count() == n_failed
-    assert len(store.versions("raw_zone", "raw_tickets")) == 2
+    assert len(store.versions("raw_zone", "raw_tickets")) == 1
     # Extra keys stay queryable in the kept record.
     assert raw2.filter(F.try_variant_get("_record", "$.metadata.channel", "string").isNotNull()).count() > 0
     # Audit: a started and a completed event per run, as JSON lines.
@@ -54,6 +56,18 @@ def test_ticket_ingestion_and_rerun(spark, scratch):
     done = ev.filter("event_type = 'pipeline_completed'").orderBy("run_id").collect()
     assert [d.status for d in done] == ["success", "success"]
     assert done[0].details.records_processed == r1.processed
+    runs = {r.run_id: r for r in quality.run_durations(quality.read_audit(spark, audit)).collect()}
+    assert (runs["run-1"].outcome, runs["run-1"].records_processed, runs["run-1"].records_failed) == (
+        "success", r1.processed, r1.failed)
+    assert runs["run-1"].duration_seconds > 0 and runs["run-2"].records_processed == 0
+    # A file landed later is the only one staged by the next run.
+    with open(f"{landing}/late.txt", "w") as fh:
+        fh.write('{"tickets":[{"ticket_id":"late","customer_id":"c","created_at":"2099-01-01T00:00:00Z",'
+                 '"sentiment_score":0.5},{"ticket_id":"old","customer_id":"c","created_at":"1999-01-01T00:00:00Z",'
+                 '"sentiment_score":0.5}]}')
+    r3 = pipelines.run_ticket_ingestion(spark, store, [landing], whole_files=False, initial_cursor=None)
+    assert (r3.received, r3.processed, r3.failed) == (1, 1, 0) and r3.cursor.startswith("2099")
+    assert _table(store, "raw_tickets").count() == raw2.count() + 1
 
 
 def test_bad_payload_is_dead_lettered(spark, scratch):
@@ -65,8 +79,8 @@ def test_bad_payload_is_dead_lettered(spark, scratch):
         fh.write('{"next_page_token": "x"}')
     store = TableStore(spark, f"{scratch}/wh")
     r = pipelines.run_ticket_ingestion(spark, store, f"{scratch}/land", initial_cursor=None)
-    assert (r.processed, r.failed) == (1, 0)
-    fr = _table(store, "failed_records").collect()
+    assert (r.processed, r.failed) == (1, 1)
+    fr = pipelines.read_failed(store).collect()
     assert [f.error_message for f in fr] == ["Unsupported ticket API response shape"]
     assert r.cursor.startswith("2026-03-01T10:00:00")
 
@@ -82,7 +96,7 @@ def test_order_ingestion_cursor_is_strict(spark, scratch):
     assert raw.count() == raw.select("order_id").distinct().count() == 750  # oracle latest_orders at sf0.001
     # Same file again: nothing is newer than the cursor, the table keeps its rows.
     r2 = pipelines.run_order_ingestion(spark, store, path)
-    assert r2.cursor == r1.cursor
+    assert r2.cursor == r1.cursor and (r1.processed, r2.processed) == (750, 0)
     assert _table(store, "raw_orders").count() == 750  # oracle latest_orders at sf0.001
 
 
@@ -147,7 +161,7 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, scratch):
 
 def test_ticket_ingestion_bucketed_equals_plain(spark, scratch):
     landing = _land_tickets(spark, scratch)
-    plain = TableStore(spark, f"{scratch}/plain")
+    plain = TableStore(spark, f"{scratch}/plain", merge_buckets=None)
     bucketed = TableStore(spark, f"{scratch}/bucketed", merge_buckets=16)
     for store in (plain, bucketed):
         for run in ("a", "b"):  # second run = rerun of the same files
@@ -156,7 +170,7 @@ def test_ticket_ingestion_bucketed_equals_plain(spark, scratch):
     cols = ["ticket_id", "customer_id", "created_at", "sentiment_score", "_row_id"]
     assert sorted(map(tuple, bucketed.read("raw_zone", "raw_tickets").select(*cols).collect())) == \
         sorted(map(tuple, plain.read("raw_zone", "raw_tickets").select(*cols).collect()))
-    assert bucketed.read("raw_zone", "failed_records").count() == plain.read("raw_zone", "failed_records").count()
+    assert pipelines.read_failed(bucketed).count() == pipelines.read_failed(plain).count() > 0
     assert pipelines.read_cursor(bucketed, "tickets", None) == pipelines.read_cursor(plain, "tickets", None)
 
 
@@ -168,3 +182,110 @@ def test_bucketed_read_merges_schemas(spark, scratch):
     store.merge(b, "raw_zone", "t", "k")
     got = {r.k: r.extra for r in store.read("raw_zone", "t").collect()}
     assert got == {"k1": None, "k2": None, "k3": "new"}
+
+
+def test_layouts_may_mix_without_losing_rows(spark, scratch):
+    def rows(lo, hi):
+        return spark.range(lo, hi).select(F.col("id").cast("string").alias("k"), "id")
+
+    def store(name, buckets):
+        return TableStore(spark, f"{scratch}/{name}", merge_buckets=buckets)
+
+    store("a", None).merge(rows(0, 100), "raw_zone", "t", "k")
+    store("a", 8).merge(rows(100, 110), "raw_zone", "t", "k")
+    assert store("a", None).read("raw_zone", "t").count() == 110
+    store("b", 8).merge(rows(0, 100), "raw_zone", "t", "k")
+    store("b", None).merge(rows(100, 150), "raw_zone", "t", "k")
+    assert store("b", 8).read("raw_zone", "t").count() == 150
+    store("c", 8).merge(rows(0, 100), "raw_zone", "t", "k")
+    store("c", 16).merge(rows(5, 6), "raw_zone", "t", "k")
+    assert store("c", 8).read("raw_zone", "t").count() == 100
+    # A full refresh of a bucketed table is what is read from then on.
+    store("c", 8).overwrite(rows(0, 3), "raw_zone", "t")
+    assert store("c", 8).read("raw_zone", "t").count() == 3
+    import pytest
+    with pytest.raises(ValueError, match="bucketed by"):
+        store("b", 8).merge(rows(0, 1), "raw_zone", "t", "id")
+    # An empty first batch keeps its schema.
+    store("d", 4).merge(rows(0, 0), "raw_zone", "t", "k")
+    assert store("d", 4).read("raw_zone", "t").columns == ["k", "id"]
+    store("d", 4).merge(rows(0, 2), "raw_zone", "t", "k")
+    assert store("d", 4).read("raw_zone", "t").count() == 2
+
+
+def test_retention_spares_what_is_read(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh", merge_buckets=4)
+    for i in range(5):
+        store.merge(spark.createDataFrame([(f"k{j}", i) for j in range(i, 9)], "k string, v int"), "raw_zone", "t", "k")
+        store.overwrite(spark.range(i + 1), "staging", "s")
+    before = sorted(map(tuple, store.read("raw_zone", "t").collect()))
+    assert store.expire("raw_zone", "t", keep=1) and store.expire("staging", "s", keep=2)
+    assert sorted(map(tuple, store.read("raw_zone", "t").collect())) == before
+    assert len(store.versions("raw_zone", "t")) == 1 and len(store.versions("staging", "s")) == 2
+    assert store.read("staging", "s").count() == 5
+
+
+def test_sources_keep_their_own_state(spark, scratch):
+    store = TableStore(spark, f"{scratch}/wh")
+    os.makedirs(f"{scratch}/land")
+    with open(f"{scratch}/land/a.json", "w") as fh:
+        fh.write("not json")
+    with open(f"{scratch}/land/b.json", "w") as fh:
+        fh.write('[{"ticket_id":1,"customer_id":"c","created_at":"2026-03-01","sentiment_score":1}]')
+    with open(f"{scratch}/orders.csv", "w") as fh:
+        fh.write("order_id,customer_id,order_purchase_timestamp\n,c,2026-03-01\no,c,2026-03-02\n")
+    t = pipelines.run_ticket_ingestion(spark, store, f"{scratch}/land")
+    o = pipelines.run_order_ingestion(spark, store, f"{scratch}/orders.csv")
+    assert (t.processed, t.failed, o.processed, o.failed) == (1, 1, 1, 1)
+    assert pipelines.read_cursor(store, "tickets", None) == t.cursor != o.cursor
+    assert sorted(r.pipeline_name for r in pipelines.read_failed(store).collect()) == [
+        "orders_pipeline", "tickets_pipeline"]
+
+
+def test_fail_policy_raises_before_any_merge_and_passes_clean_data(spark, scratch):
+    import pytest
+    good = '{"ticket_id":1,"customer_id":"c","created_at":"2026-03-01T00:00:00Z","sentiment_score":1}'
+    for name, text in (("clean", f"[{good}]"), ("record", f'[{good},{{"ticket_id":2}}]'), ("payload", '{"x":1}')):
+        os.makedirs(f"{scratch}/{name}")
+        with open(f"{scratch}/{name}/a.json", "w") as fh:
+            fh.write(text)
+        store = TableStore(spark, f"{scratch}/wh-{name}")
+        if name == "clean":
+            assert pipelines.run_ticket_ingestion(spark, store, f"{scratch}/{name}", on_malformed="fail").processed == 1
+            continue
+        with pytest.raises(Exception, match="Missing required field|Unsupported ticket API"):
+            pipelines.run_ticket_ingestion(spark, store, f"{scratch}/{name}", on_malformed="fail",
+                                           audit_path=f"{scratch}/audit-{name}", run_id=name)
+        assert store.read("raw_zone", "raw_tickets") is None and store.read("raw_zone", "failed_records__tickets") is None
+        run = quality.run_durations(quality.read_audit(spark, f"{scratch}/audit-{name}")).first()
+        assert run.outcome == "failure"
+
+
+def test_cursor_text_and_cursor_column(spark, scratch):
+    import pytest
+    with open(f"{scratch}/orders.csv", "w") as fh:
+        fh.write("order_id,customer_id,order_purchase_timestamp,order_delivered_customer_date\n"
+                 "a,c,2026-01-01,2026-03-01\nb,c,2026-01-02,\nc,c,2026-01-03,2026-01-05\n")
+    store = TableStore(spark, f"{scratch}/wh")
+    with pytest.raises(ValueError, match="Unsupported timestamp format: 01/02/2026"):
+        pipelines.run_order_ingestion(spark, store, f"{scratch}/orders.csv", initial_cursor="01/02/2026")
+    r = pipelines.run_order_ingestion(spark, store, f"{scratch}/orders.csv", initial_cursor="2026-02-01",
+                                      cursor_column="order_delivered_customer_date")
+    assert sorted(x.order_id for x in store.read("raw_zone", "raw_orders").collect()) == ["a", "b"]
+    assert r.cursor.startswith("2026-03-01")
+
+
+def test_metrics_over_stored_tables(spark, scratch):
+    from moodline.plans.metrics import warehouse_metrics
+    store = TableStore(spark, f"{scratch}/wh")
+    landing = _land_tickets(spark, scratch)
+    r = pipelines.run_ticket_ingestion(spark, store, landing, audit_path=f"{scratch}/audit", whole_files=False,
+                                       initial_cursor=None)
+    store.overwrite(derived.raw_orders_at(spark, SF_SMALL), "raw_zone", "raw_orders")
+    dag.run_models(spark, store, as_of="2024-02-01 00:00:00")
+    got = {k: df.collect() for k, df in warehouse_metrics(spark, store, "2024-02-01 00:00:00", f"{scratch}/audit").items()}
+    assert set(got) == {"failed_ratio", "failure_patterns", "layer_counts", "freshness", "staging_reconciliation",
+                        "contract_check", "sentiment_dod", "delayed_orders_dod", "newly_flagged", "owner_queue",
+                        "run_durations"}
+    assert {x.pipeline_name: x.failed for x in got["failed_ratio"]} == {"tickets_pipeline": r.failed, "orders_pipeline": 0}
+    assert all(x.passed for x in got["contract_check"]) and len(got["layer_counts"]) == 8

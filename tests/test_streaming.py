@@ -17,7 +17,7 @@ def test_stream_merge_matches_batch_and_restarts_cleanly(spark, scratch):
     ckpt = f"{scratch}/ckpt"
     audit = f"{scratch}/audit"
     start_ticket_merge(spark, store, landing, checkpoint_location=ckpt, max_files_per_trigger=1,
-                       audit_path=audit).awaitTermination()
+                       audit_path=audit, whole_files=False).awaitTermination()
     cols = ["ticket_id", "created_at", "sentiment_score", "_row_id"]
     streamed = sorted(map(tuple, store.read("raw_zone", "raw_tickets").select(*cols).collect()))
     recs, _ = landed.unwrap_envelope(derived.ticket_payloads(events))
@@ -29,7 +29,7 @@ def test_stream_merge_matches_batch_and_restarts_cleanly(spark, scratch):
     assert done.count() == 4 == ev.filter("event_type = 'pipeline_started'").count()  # 4 files, 1 per epoch
     assert done.agg(F.sum("details.records_processed")).first()[0] == good.count()
     versions = len(store.versions("raw_zone", "raw_tickets"))
-    start_ticket_merge(spark, store, landing, checkpoint_location=ckpt).awaitTermination()
+    start_ticket_merge(spark, store, landing, checkpoint_location=ckpt, whole_files=False).awaitTermination()
     assert len(store.versions("raw_zone", "raw_tickets")) == versions  # nothing new to process
 
 
@@ -37,8 +37,23 @@ def test_stream_heatmap_emits_closed_windows(spark, scratch):
     events = derived.read_table(spark, SF_SMALL, "events")
     landing = f"{scratch}/landing"
     derived.ticket_payloads(events).repartition(2, "_source").select("value").write.text(landing)
-    start_heatmap(spark, landing, f"{scratch}/out", checkpoint_location=f"{scratch}/ck").awaitTermination()
+    start_heatmap(spark, landing, f"{scratch}/out", checkpoint_location=f"{scratch}/ck",
+                  whole_files=False).awaitTermination()
     out = spark.read.parquet(f"{scratch}/out")
     assert out.count() > 0
     assert out.agg(F.max("ticket_count")).first()[0] >= 1
     assert set(out.columns) == {"region", "sentiment_date", "sentiment_hour", "avg_sentiment_score", "ticket_count"}
+
+
+def test_whole_files_stream_like_the_batch(spark, scratch):
+    import json
+    import os
+
+    from moodline.plans import pipelines
+    os.makedirs(f"{scratch}/land")
+    with open(f"{scratch}/land/a.json", "w") as fh:
+        json.dump({"data": [{"ticket_id": i, "customer_id": "c", "created_at": "2026-03-01T10:00:00Z",
+                             "sentiment_score": s} for i, s in ((1, "0.5"), (2, ""))]}, fh, indent=2)
+    store = TableStore(spark, f"{scratch}/wh")
+    start_ticket_merge(spark, store, f"{scratch}/land", checkpoint_location=f"{scratch}/ck").awaitTermination()
+    assert store.read("raw_zone", "raw_tickets").count() == 1 and pipelines.read_failed(store).count() == 1
