@@ -197,5 +197,5 @@ def mixed(docs: DataFrame, **parameters) -> DataFrame:
     own = docs.withColumn("__own", version)
     same = (F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
             & F.col("__own").eqNullSafe(F.col("__version")))
-    return (own.join(taken, same).dropDuplicates(["__id", "__source", "__version"])
+    return (own.join(taken.hint("merge"), same).dropDuplicates(["__id", "__source", "__version"])
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns))

@@ -196,7 +196,8 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
               .where("n > 1")
               .select("seed", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version"),
                       F.col("first.pos").alias("first_pos")))
-    later = (anchors.join(firsts, "seed")
+    # These tables grow with the documents: their joins are sort-merge joins at every size.
+    later = (anchors.join(firsts.hint("merge"), "seed")
              .where("doc_id <> first_doc or version <> first_version or pos <> first_pos")
              .select("doc_id", "version", "pos", "first_doc", "first_version",
                      (F.col("pos") - F.col("first_pos")).alias("shift")))
@@ -211,14 +212,14 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
                          F.expr("lo - shift").alias("left_at"), F.expr("hi - shift").alias("right_at"))
              .groupBy("doc_id", "version")
              .agg(F.collect_set("left_at").alias("lefts"), F.collect_set("right_at").alias("rights")))
-    near = written(texts.join(asked, ["doc_id", "version"])
+    near = written(texts.join(asked.hint("merge"), ["doc_id", "version"])
                    .mapInArrow(_contexts(reach), "doc_id long, version long, at int, left boolean, context binary")
                    .distinct())
 
     def beside(side: str, at: str) -> DataFrame:
         return near.where(F.col("left") == (side == "left")).select(
             F.col("doc_id").alias("first_doc"), F.col("version").alias("first_version"),
-            F.col("at").alias(at), F.col("context").alias(side))
+            F.col("at").alias(at), F.col("context").alias(side)).hint("merge")
 
     placed = runs.withColumn("left_at", F.expr("lo - shift")).withColumn("right_at", F.expr("hi - shift"))
     placed = placed.join(beside("left", "left_at"), ["first_doc", "first_version", "left_at"], "left")
@@ -236,7 +237,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
             select_words: int = SELECT_WORDS) -> DataFrame:
     """One row per repeated passage: doc_id, start_word, n_words, first_doc_id, first_start_word."""
     found = matches(docs, min_words, window, select_words)
-    return (_keyed(docs).join(found, ["doc_id", "version"])
+    return (_keyed(docs).join(found.hint("merge"), ["doc_id", "version"])
             .mapInArrow(_extended(window - 1, min_words, False),
                         "doc_id long, start_word int, n_words int, first_doc_id long, first_start_word int")
             .distinct())
@@ -248,7 +249,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = W
     found = (matches(docs, min_words, window, select_words)
              .select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), "matches"))
     keyed = docs.withColumn("__own", F.xxhash64(F.lit(4), "text"))
-    joined = keyed.join(found, (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__version")), "left")
+    joined = keyed.join(found.hint("merge"), (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__version")), "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return joined.select(*docs.columns, "matches").mapInArrow(
         _extended(window - 1, min_words, True), schema)
