@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from moodline.llm.tables import written
 
 BASE_CELLS = 12
-PER_TABLE = 8
-TABLE_CELLS = 24
+PER_TABLE = 4
+TABLE_CELLS = 12
 RETRIES = 2
 _ROUNDS = 10
 _LAST = -(1 << 63)  # stands for a null doc_id
@@ -45,31 +45,35 @@ def pieces(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
-def _in_cell(digest: str, cell: str, third: str) -> str:
-    """SQL: whether a digest enters a cell; each third of the table uses other bits of it."""
-    return f"pmod(shiftright({digest}, 20 * ({cell} div {third})), {third}) = {cell} % {third}"
+def _entry(sign: str, digest: str, cells: int) -> str:
+    """SQL: an entry with its check digest and its cell in each third (each third uses other bits)."""
+    third = cells // 3
+    places = ", ".join(f"'c{i}', cast(pmod(shiftright({digest}, {20 * i}), {third}L) as int) + {i * third}" for i in range(3))
+    return f"named_struct('s', {sign}, 'd', {digest}, 'h', xxhash64({digest}, 11), {places})"
 
 
-_CHECK = "xxhash64({0}, 11)"
+def _added(entries: str, cell: str, start: str, sign: str) -> str:
+    """SQL: a cell's content with those of the entries that belong in it put in (or taken out)."""
+    return f"""aggregate(filter({entries}, e -> e.c0 = {cell} or e.c1 = {cell} or e.c2 = {cell}), {start},
+        (s, e) -> named_struct('n', s.n {sign} e.s, 'k', s.k ^ e.d, 'h', s.h ^ e.h))"""
 
 
-def table_sql(entries: str, cells: str) -> str:
-    """SQL: the cells (n, key, check) of an array of entries (sign, digest)."""
-    update = f"""if({_in_cell('e.d', 'c', f'({cells} div 3)')},
-        named_struct('n', s.n + e.s, 'k', s.k ^ e.d, 'h', s.h ^ {_CHECK.format('e.d')}), s)"""
-    return f"""transform(sequence(0, {cells} - 1), c -> aggregate({entries},
-        named_struct('n', 0, 'k', 0L, 'h', 0L), (s, e) -> {update}))"""
+def table_sql(entries: str, cells: int) -> str:
+    """SQL: the cells (n, key, check) of an array of entries (sign s, digest d)."""
+    full = f"transform({entries}, x -> {_entry('x.s', 'x.d', cells)})"
+    empty = "named_struct('n', 0, 'k', 0L, 'h', 0L)"
+    return f"""transform(array({full}), f -> transform(sequence(0, {cells - 1}), c -> {_added('f', 'c', empty, '+')}))[0]"""
 
 
-def peel_sql(cells: str, count: str) -> str:
-    """SQL: number of digests that peeling recovers from ``cells``; -1 if something is left."""
-    pure = f"""array_distinct(transform(filter(st.cells, x -> abs(x.n) = 1 and x.h = {_CHECK.format('x.k')}),
-        x -> named_struct('s', x.n, 'd', x.k)))"""
-    taken = f"""transform(st.cells, (x, c) -> aggregate(p, x, (s, e) -> if({_in_cell('e.d', 'c', f'({count} div 3)')},
-        named_struct('n', s.n - e.s, 'k', s.k ^ e.d, 'h', s.h ^ {_CHECK.format('e.d')}), s)))"""
-    step = f"""transform(array({pure}), p -> if(size(p) = 0, st,
-        named_struct('cells', {taken}, 'got', st.got + size(p))))[0]"""
-    state = f"""aggregate(sequence(1, {_ROUNDS}), named_struct('cells', {cells}, 'got', 0), (st, r) -> {step})"""
+def peel_sql(table: str, cells: int) -> str:
+    """SQL: number of digests that peeling recovers from a table; -1 if something is left."""
+    pure = f"""array_distinct(transform(filter(st.cells, x -> abs(x.n) = 1 and x.h = xxhash64(x.k, 11)),
+        x -> {_entry('x.n', 'x.k', cells)}))"""
+    taken = f"transform(st.cells, (x, c) -> {_added('p', 'c', 'x', '-')})"
+    step = f"""if(not st.go, st, transform(array({pure}), p -> if(size(p) = 0,
+        named_struct('cells', st.cells, 'got', st.got, 'go', false),
+        named_struct('cells', {taken}, 'got', st.got + size(p), 'go', true)))[0])"""
+    state = f"""aggregate(sequence(1, {_ROUNDS}), named_struct('cells', {table}, 'got', 0, 'go', true), (st, r) -> {step})"""
     return f"""transform(array({state}), e -> if(exists(e.cells, x -> x.n <> 0 or x.k <> 0L or x.h <> 0L), -1, e.got))[0]"""
 
 
@@ -86,7 +90,7 @@ def difference_sql(left: str, right: str, per_table: int = PER_TABLE, cells: int
     bits = f"greatest(0, cast(ceil(log2(greatest(1, size({left}) + size({right})) / {float(per_table)})) as int))"
     attempt = "size(t)"  # all recovered digests are at most the entries
     for k in range(retries, -1, -1):
-        n = str(cells * 4 ** k)
+        n = cells * 4 ** k
         attempt = f"transform(array({peel_sql(table_sql('t', n), n)}), r{k} -> if(r{k} >= 0, r{k}, {attempt}))[0]"
     one = f"if(size(t) = 0, 0, {attempt})"
     inner = f"""aggregate(sequence(0, w.lo - 1), 0, (a, j) -> a + transform(array(
@@ -108,7 +112,7 @@ def likeness(left: str, right: str, **parameters) -> Column:
 def fingerprint(digests: str, cells: int = BASE_CELLS) -> Column:
     """The table as text: count:key:check of every cell, hexadecimal."""
     entries = f"transform({digests}, x -> named_struct('s', 1, 'd', x))"
-    return F.expr(f"""array_join(transform({table_sql(entries, str(cells))},
+    return F.expr(f"""array_join(transform({table_sql(entries, cells)},
         x -> concat(x.n, ':', lower(hex(x.k)), ':', lower(hex(x.h)))), '.')""")
 
 

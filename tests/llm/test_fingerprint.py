@@ -57,7 +57,7 @@ def test_edges(docs_of):
 def test_peeling_recovers_or_says_so(spark, cells, load, recovered):
     df = spark.range(20).select(F.transform(F.sequence(F.lit(1), F.lit(load)), lambda i: F.xxhash64(i, "id")).alias("x"))
     entries = "transform(x, d -> named_struct('s', if(d % 2 = 0, 1, -1), 'd', d))"
-    got = [r[0] for r in df.select(F.expr(fp.peel_sql(fp.table_sql(entries, str(cells)), str(cells)))).collect()]
+    got = [r[0] for r in df.select(F.expr(fp.peel_sql(fp.table_sql(entries, cells), cells))).collect()]
     assert (sum(g == load for g in got) >= 17) if recovered else set(got) == {-1}
 
 
