@@ -88,9 +88,14 @@ def _anchors(window: int, select_words: int, prefix: int):
     return run
 
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of each word hash, enough to compare words of two known places."""
+    return (hashes >> np.uint64(32)).astype(np.uint32)
+
+
 def _context(hashes: np.ndarray, at: int, reach: int, left: bool) -> bytes:
     part = hashes[max(0, at - reach):at][::-1] if left else hashes[at:at + reach]
-    return part.tobytes()
+    return _short(part).tobytes()
 
 
 def _contexts(reach: int):
@@ -117,9 +122,9 @@ def _contexts(reach: int):
 
 def _common(a: np.ndarray, b: bytes) -> int:
     """Length of the common prefix of word hashes."""
-    b = np.frombuffer(b, np.uint64)
+    b = np.frombuffer(b, np.uint32)
     n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
+    differ = np.flatnonzero(_short(a[:n]) != b[:n])
     return int(differ[0]) if len(differ) else n
 
 
@@ -191,7 +196,8 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
     texts = _keyed(docs)
     anchors = written(texts.mapInArrow(_anchors(window, select_words, prefix),
                                        "doc_id long, version long, pos int, seed long"))
-    firsts = (anchors.groupBy("seed")
+    # Written, so that the join with it can split a seed that many places share.
+    firsts = written(anchors.groupBy("seed")
               .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "version", "pos")).alias("first"))
               .where("n > 1")
               .select("seed", F.col("first.doc_id").alias("first_doc"), F.col("first.version").alias("first_version"),
