@@ -26,10 +26,10 @@ MOST_BITS_PER_BYTE = 7.0
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a learned language; a missing lang becomes the predicted one."""
-    found = language_id.predict(docs.withColumn("__text", F.col("text")), language_model(docs))
-    return (found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("bits_per_byte") <= MOST_BITS_PER_BYTE))
-            .withColumn("lang", F.coalesce("lang", "lang_pred")).withColumnRenamed("__text", "text")
-            .select(*docs.columns))
+    found = language_id.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), language_model(docs))
+    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("bits_per_byte") <= MOST_BITS_PER_BYTE))
+    lang = F.coalesce("row.lang", "lang_pred").alias("lang")
+    return kept.select(*(lang if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ Cases: a null text, or one without a letter, is ``und`` with score 0; without
 any labelled text everything is ``und``. Repeated rows give repeated results.
 The score is the winner's share of 2^(-code length), the lengths scaled to
 ``evidence_bytes`` bytes where the text is longer; ties go to the language that
-is first in code-point order.
+is first in code-point order. Input columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from moodline.llm.textbuf import chunks
 ships_by_value(__name__)
 
 UNDETERMINED = "und"
+RESULTS = ("lang_pred", "score", "bits_per_byte")
 ORDER = 3
 _PAD = 10  # texts are read as if line feeds stood before them
 DOCS_PER_LANGUAGE = 400
@@ -207,7 +208,7 @@ def _predictor(shared, evidence_bytes: int):
         for batch in batches:
             n = batch.num_rows
             best, score, per_byte = np.full(n, len(langs) - 1), np.zeros(n), np.zeros(n)
-            letters = batch.column("has_letter").to_numpy(zero_copy_only=False)
+            letters = batch.column("__letter").to_numpy(zero_copy_only=False)
             if len(langs) > 1:
                 for lo, hi, data, offsets in chunks(batch.column("text")):
                     bits = code_lengths(model, data, offsets)
@@ -220,8 +221,8 @@ def _predictor(shared, evidence_bytes: int):
                     best[lo:hi][ok] = won[ok]
                     score[lo:hi][ok] = (1.0 / odds.sum(axis=1))[ok]
                     per_byte[lo:hi][ok] = (least / size)[ok]
-            keep = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("text", "has_letter")]
-            names = [f.name for f in batch.schema if f.name not in ("text", "has_letter")]
+            keep = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("text", "__letter")]
+            names = [f.name for f in batch.schema if f.name not in ("text", "__letter")]
             yield pa.RecordBatch.from_arrays(
                 [*keep, pa.array(langs[best], pa.string()), pa.array(score), pa.array(per_byte)],
                 names=[*names, "lang_pred", "score", "bits_per_byte"])
@@ -232,8 +233,9 @@ def predict(docs: DataFrame, model: dict, evidence_bytes: int = EVIDENCE_BYTES)
     """``docs`` (text and any other columns) -> the other columns, lang_pred, score, bits_per_byte."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # bounded by max_contexts rows of at most 257 bytes
+    docs = docs.drop(*RESULTS)
     rest = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         "lang_pred string", "score double", "bits_per_byte double"])
-    ready = docs.withColumn("has_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    ready = docs.withColumn("__letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     return ready.mapInArrow(_predictor(shared, evidence_bytes), schema)

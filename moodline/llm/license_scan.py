@@ -12,7 +12,8 @@ mandatory run are tried, found by word hashes over whole texts.
 Base places are those where a base phrase's words stand consecutively.
 
 Cases: a null or empty text has no words and no labels. Ties cannot occur;
-repeated rows give repeated results. Extra columns pass through.
+repeated rows give repeated results. Extra columns pass through; those named
+like the results are replaced.
 """
 
 from __future__ import annotations
@@ -212,6 +213,7 @@ def scan(docs: DataFrame, base: dict[str, str] | None = None, templates: dict[st
 
     The score is 1 with an accepted template, 0.5 with base places alone, else 0.
     """
+    docs = docs.drop("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
     rest = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest),
                         "n_words long, n_base long, first_word long, last_word long",

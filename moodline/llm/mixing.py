@@ -63,6 +63,7 @@ def _sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sizes(docs: DataFrame) -> DataFrame:
     """``docs`` with its text replaced by size, its number of words."""
+    docs = docs.drop("size")
     rest = [f for f in docs.schema.fields if f.name != "text"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "size long"])
     return docs.mapInArrow(_sized, schema)

@@ -133,7 +133,7 @@ def _extended(reach: int, min_words: int, cut: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = [f.name for f in batch.schema]
-            lists = batch.column("matches")
+            lists = batch.column("__matches")
             texts: list[str | None] = []
             rows: list[tuple] = []
             for lo, hi, data, offsets in chunks(batch.column("text")):
@@ -171,8 +171,8 @@ def _extended(reach: int, min_words: int, cut: bool):
                     texts.append(b"".join(kept).decode("utf-8"))
             if cut:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names if n != "matches"],
-                    names=[n for n in names if n != "matches"])
+                    [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names if n != "__matches"],
+                    names=[n for n in names if n != "__matches"])
             else:
                 columns = list(zip(*rows, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -231,7 +231,7 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
     placed = placed.join(beside("left", "left_at"), ["first_doc", "first_version", "left_at"], "left")
     placed = placed.join(beside("right", "right_at"), ["first_doc", "first_version", "right_at"], "left")
     return written(placed.groupBy("doc_id", "version")
-                   .agg(F.collect_list(F.struct("lo", "hi", "shift", "first_doc", "left", "right")).alias("matches")))
+                   .agg(F.collect_list(F.struct("lo", "hi", "shift", "first_doc", "left", "right")).alias("__matches")))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -253,9 +253,9 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = W
                     select_words: int = SELECT_WORDS) -> DataFrame:
     """``docs`` with every repeat of an earlier passage cut from its text; all rows and columns stay."""
     found = (matches(docs, min_words, window, select_words)
-             .select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), "matches"))
+             .select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), "__matches"))
     keyed = docs.withColumn("__own", F.xxhash64(F.lit(4), "text"))
     joined = keyed.join(found.hint("merge"), (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__version")), "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.select(*docs.columns, "matches").mapInArrow(
+    return joined.select(*docs.columns, "__matches").mapInArrow(
         _extended(window - 1, min_words, True), schema)

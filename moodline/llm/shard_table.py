@@ -8,7 +8,8 @@ when a shard joins or leaves. Rows find their shard by one hash and one look-up
 in the broadcast table, whose size is the prime, not the data's.
 
 Cases: a null key is placed like the empty key, so equal keys always meet.
-Ties cannot occur. Extra columns pass through; an empty table stays empty. A
+Ties cannot occur. Extra columns pass through (slot and shard are replaced); an
+empty table stays empty. A
 key that holds a third of the rows holds one shard's place, as placement must
 be a function of the key; ``spread`` adds a salt where that is not wanted.
 """
@@ -62,8 +63,9 @@ def place(rows: DataFrame, key: str, shards: tuple[str, ...] = SHARDS, prime: in
         salt = F.pmod(F.xxhash64(*rows.columns), F.lit(spread))
         by = F.concat_ws("#", F.coalesce(by.cast("string"), F.lit("")), salt.cast("string"))
     table = rows.sparkSession.createDataFrame(
-        [(i, shards[s]) for i, s in enumerate(filled(shards, prime))], "slot long, shard string")
-    return rows.withColumn("slot", slot(by, prime)).join(F.broadcast(table), "slot")  # prime rows
+        [(i, shards[s]) for i, s in enumerate(filled(shards, prime))], "__slot long, shard string")
+    placed = rows.withColumn("__slot", slot(by, prime)).drop("slot", "shard")
+    return placed.join(F.broadcast(table), "__slot").withColumnRenamed("__slot", "slot")  # prime rows
 
 
 def write_shards(rows: DataFrame, path: str, key: str, files_per_shard: int = 1, **parameters) -> None:
