@@ -8,9 +8,10 @@ and words): any three undecided documents have a direction that changes
 neither total, and moving along it until one probability reaches 0 or 1
 decides a document. Documents fly in blocks of bounded size; what a block
 leaves undecided (at most two) flies again with other blocks' remains, until a
-source has a few left. Those land: all their 0/1 choices are tried, and the one
-that keeps the words, then the documents, nearest to what the probabilities
-promise is taken. Random choices are hashes of the row, so reruns agree.
+source has one block. Its last few documents (at most 14) land: all their 0/1
+choices are tried; of those that come within 0.1% of the block's words of the
+nearest to what the probabilities promise, the one nearest in documents is
+taken. Random choices are hashes of the row, so reruns agree.
 
 Cases: null texts have size 0; documents of size 0 never enter the mix. Null
 sources are a source of their own, last in order. Equal rows are told apart by
@@ -37,7 +38,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_REPEATS = 2.0
 BLOCK_ROWS = 4096
-LANDING = 8
+LANDING = 12
+TOLERANCE = 0.001
 _EPS = 1e-9
 
 
@@ -93,11 +95,14 @@ def targets(per_source: list[tuple[str | None, int]], weights: tuple[float, ...]
     return done
 
 
-def fly(prob: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
-    """Flight phase: decide all but at most two, keeping the sums of prob and of prob * size."""
+def fly(prob: np.ndarray, size: np.ndarray, draws: np.ndarray, keep: int = 0) -> np.ndarray:
+    """Flight phase: decide all but at most two, keeping the sums of prob and of prob * size.
+
+    The last ``keep`` documents stay as they are.
+    """
     prob = prob.copy()
     held: list[int] = []
-    for i in range(len(prob)):
+    for i in range(len(prob) - keep):
         if prob[i] < _EPS or prob[i] > 1 - _EPS:
             prob[i] = round(prob[i])
             continue
@@ -119,24 +124,25 @@ def fly(prob: np.ndarray, size: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return prob
 
 
-def land(prob: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Landing: the 0/1 choice nearest to the promised words, then documents."""
+def land(prob: np.ndarray, size: np.ndarray, tolerance: float = 1.0) -> np.ndarray:
+    """Landing: the 0/1 choice nearest to the promised words; of those as near, up to ``tolerance`` words, documents."""
     n = len(prob)
     if not n:
         return prob
     choices = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
     words, docs = np.abs(choices @ size - prob @ size), np.abs(choices.sum(1) - prob.sum())
-    return choices[np.lexsort((docs, np.round(words, 6)))[0]].astype(float)
+    return choices[np.lexsort((words, np.round(docs, 6), np.floor(words / tolerance)))[0]].astype(float)
 
 
 def _flight(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("draw", kind="stable")
     size = rows["size"].to_numpy(float)
     draws = (rows["draw"].to_numpy(np.int64).view(np.uint64) >> np.uint64(11)) / float(1 << 53)
-    prob = fly(rows["prob"].to_numpy(float), size, draws)
-    if rows["last"].iloc[0]:
+    last = bool(rows["last"].iloc[0])
+    prob = fly(rows["prob"].to_numpy(float), size, draws, min(LANDING, len(rows)) if last else 0)
+    if last:
         open_ = np.flatnonzero((prob > 0) & (prob < 1))
-        prob[open_] = land(prob[open_], size[open_])
+        prob[open_] = land(prob[open_], size[open_], max(1.0, TOLERANCE * size.sum()))
     return rows.assign(prob=prob)
 
 

@@ -27,6 +27,8 @@ def test_flight_keeps_both_totals():
 
 def test_landing_takes_the_nearest_choice():
     assert list(mx.land(np.array([0.5, 0.5]), np.array([10.0, 90.0]))) in ([0, 1], [1, 0])
+    assert list(mx.land(np.array([0.6, 0.6, 0.6]), np.array([10.0, 90.0, 50.0]))) == [0, 1, 0]
+    assert list(mx.land(np.array([0.5] * 4), np.array([30.0, 10.0, 10.0, 10.0]))) in ([1, 0, 0, 0], [0, 1, 1, 1])
     assert mx.land(np.array([0.9]), np.array([5.0])) == [1.0]
 
 
@@ -42,7 +44,7 @@ def test_query_reaches_targets_and_reruns_agree(spark):
         s[4] += r["size"]
         assert 0 <= r["taken"] <= 2 * r["size"]
     for target, taken, most, given, size in largest.values():
-        assert abs(taken - target) <= most and given == size
+        assert abs(taken - target) <= min(most, 0.01 * target) and given == size
     assert sum(x[0] for x in largest.values()) == pytest.approx(1.5 * sum(x[3] for x in largest.values()))
 
 
