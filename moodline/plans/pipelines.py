@@ -144,7 +144,7 @@ def _run(spark: SparkSession, store: sinks.TableStore, source: str, pipeline: st
             work(res, sorted(f.path for f in files), cursor)
             log = spark.createDataFrame([(f.path, f.modified, f.length, res.run_id) for f in files],
                                         "path string, modified timestamp, length long, run_id string")
-            store.merge(log, RAW, log_table(source), ["path"])
+            store.append(log.coalesce(1), RAW, log_table(source))
         res.cursor = read_cursor(store, source, None)
     except Exception as exc:
         done("failure", error=str(exc))

@@ -141,6 +141,12 @@ class TableStore:
         writer.parquet(path)
         return path
 
+    def append(self, df: DataFrame, layer: str, table: str) -> str:
+        """Add rows to the first and only version of a log table."""
+        path = self._at(self.table_path(layer, table), 0)
+        df.write.mode("append").parquet(path)
+        return path
+
     def merge(self, batch: DataFrame, layer: str, table: str, key: str | Sequence[str],
               order: Sequence[Column] | None = None) -> str:
         """Merge ``batch`` into the current version, write a new one."""
