@@ -6,7 +6,8 @@ its own component's sign prefers, scores each newly met vector in full, and
 stops as soon as the k-th score found beats the bound
 sum(query component x component at the list's present depth), which no unmet
 vector can exceed; equal bounds go on, as an unmet vector with a smaller id
-could tie. Lists are walked in steps of doubling depth. Each block gives its k
+could tie, or when no vector is left unmet. Lists are walked in steps of doubling
+depth. Each block gives its k
 best per query, and a last ranking over blocks gives the result.
 
 Cases: vectors that are null, empty, or hold null or non-finite components, and
@@ -68,7 +69,7 @@ def top_k(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, query: np.nda
         found_ids, found = np.concatenate([found_ids, ids[at]]), np.concatenate([found, vectors[at] @ query])
         best = np.lexsort((found_ids, -found))[:k]
         found_ids, found = found_ids[best], found[best]
-        if depth >= n or (len(found) == k and found[-1] > bound):
+        if met.all() or (len(found) == k and found[-1] > bound):
             return [(int(s), int(i)) for s, i in zip(found, found_ids, strict=True)]
         depth = min(n, depth * 2)
 
