@@ -20,8 +20,9 @@ from moodline.session import configure
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Noise costs 8 bits a byte and more; text of a learned language about half of that.
-MOST_BITS_PER_BYTE = 7.0
+# Text of a learned language costs 2 to 5 bits a byte, short texts that are mostly numbers 5 to 10; a script
+# that was never learned costs 15 and more.
+MOST_BITS_PER_BYTE = 12.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

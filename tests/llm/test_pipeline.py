@@ -23,9 +23,11 @@ def test_stages_one_by_one(spark):
 
 def test_rejects_and_empties(spark, docs_of):
     real = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(3).collect()]
-    docs = docs_of([(1, None), (2, "1234 !!"), *((10 + i, t) for i, t in enumerate(real))]).withColumnRenamed("rank", "r")
+    numbers = "Of on the erou 24.16.87.17 is. 4935048725946546"
+    docs = docs_of([(1, None), (2, "1234 !!"), (3, "Съешь же ещё этих мягких булок, да выпей чаю", None, "a"), (9, numbers),
+                    *((10 + i, t) for i, t in enumerate(real))]).withColumnRenamed("rank", "r")
     kept = cp.identify_language(spark, docs, SF_SMALL)
-    assert sorted(r["doc_id"] for r in kept.collect()) == [10, 11, 12]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [9, 10, 11, 12]
     for _, stage in cp.STAGES[1:]:
         assert stage(spark, docs.where("false"), SF_SMALL).count() == 0
 
