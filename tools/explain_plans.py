@@ -22,7 +22,10 @@ sys.path.insert(0, ROOT)
 from moodline.queries import REGISTRY  # noqa: E402
 from moodline.session import get_session  # noqa: E402
 
-STREAMING = {"stream_ticket_merge", "stream_heatmap_hourly", "orders_csv_roundtrip"}
+# Queries that run jobs of their own before their result can be read.
+STREAMING = {"stream_ticket_merge", "stream_heatmap_hourly", "orders_csv_roundtrip", "record_passthrough",
+             "bucketed_merge_orders", "mixed_layout_merge", "two_load_ingestion", "published_dashboards",
+             "run_durations"}
 
 
 def formatted(df) -> str:
