@@ -19,6 +19,7 @@ tokenizer gives them.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -38,13 +39,16 @@ END_ID = 1
 GRANULE = 16
 PIECES = ("doc_id long, text_key long, start long, length long, ids_crc32 long, doc_tokens long")
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# The rank file's reader recurses over white space and dies with its process on runs of about a million.
+LONG_SPACE = 50_000
+_SPACE = re.compile(r"\s+")
 
 
 class Tokenizer:
     """Ids of the ``tokenizers`` file at ``path``, read with its byte-level merges as ranks where that is the same.
 
     ``ranks`` is the same vocabulary as a rank file; texts that spell out an
-    added token go to the tokenizer itself.
+    added token or hold a very long run of white space go to the tokenizer itself.
     """
 
     def __init__(self, path: str, ranks: str | None, added: tuple[str, ...]):
@@ -56,7 +60,8 @@ class Tokenizer:
             self.fast = tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=table, special_tokens={})
 
     def ids(self, text: str) -> list[int]:
-        if self.fast is None or any(t in text for t in self.added):
+        long_space = len(text) >= LONG_SPACE and any(m.end() - m.start() >= LONG_SPACE for m in _SPACE.finditer(text))
+        if self.fast is None or long_space or any(t in text for t in self.added):
             if self.own is None:
                 from tokenizers import Tokenizer as Own
                 self.own = Own.from_file(self.path)

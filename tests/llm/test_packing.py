@@ -59,6 +59,14 @@ def test_ranks_give_the_tokenizers_ids(spark):
     assert [fast.ids(t) for t in texts] == [own.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\u00a0"])
+def test_long_runs_of_white_space(space):
+    path, ranks = queries.tokenizer_files()
+    text = "a" + space * 2_000_000 + "b"
+    fast, own = pk.Tokenizer(path, ranks, pk.added_tokens(path)), Tokenizer.from_file(path)
+    assert fast.ids(text) == own.encode(text, add_special_tokens=False).ids
+
+
 def test_linear_program_is_near_the_bound():
     rng = np.random.default_rng(3)
     sizes = np.arange(1, 65)
