@@ -9,13 +9,15 @@ are sorted by the hash of those words (the shuffle's sort), equal neighbours
 form one interval of the suffix array, and each is compared with the interval's
 first suffix in the order of (doc_id, position). Neighbouring kept suffixes of
 a text that match the same place are joined to one match, which is then
-extended left and right word by word. Matches of at least ``min_words`` words
-are repeats of an earlier passage; cutting them leaves each passage's first
-occurrence in place, as every cut points to a strictly smaller
-(doc_id, position). A text is compared with an interval's first place only: a
-passage of less than ``min_words + window`` words can go unseen where the first
-place of all its kept suffixes goes on differently, as with lines that one text
-repeats in changing order.
+extended left and right until the words differ (to the right: or until another
+repeat goes on). Passages whose first place of all seeds goes on differently are
+left by that: every window of ``min_words`` words that holds a repeated seed and
+lies in no match yet is sorted by the hash of all its words and compared with
+the first of its equals, and these matches are extended likewise. So every
+window of ``min_words`` words that stands earlier is found. Matches of at least
+``min_words`` words are repeats of an earlier passage; cutting them leaves each
+passage's first occurrence in place, as every cut points to a strictly smaller
+(doc_id, position).
 
 Cases: null, empty and short texts have no repeats. Repeats within one text
 count. Rows without doc_id take no part. Rows that share a doc_id are told
@@ -183,19 +185,78 @@ def _extended(reach: int, min_words: int, cut: bool):
     return run
 
 
-def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
-            select_words: int = SELECT_WORDS) -> DataFrame:
-    """Per (doc_id, version): list of matches with an earlier place, to be extended.
+def _lengthened(reach: int, min_words: int):
+    """Matches extended by up to ``reach`` words a side; open ones may go on."""
+    names = ("first_doc", "first_version", "shift")
 
-    A match holds word range [lo, hi), shift to the earlier place, first_doc,
-    and the earlier place's words to its left and right.
-    """
-    prefix = min_words - window + 1
-    if prefix < select_words or window + select_words - 1 > min_words:
-        raise ValueError("min_words must leave room for the window and the selecting words")
-    texts = _keyed(docs)
-    anchors = written(texts.mapInArrow(_anchors(window, select_words, prefix),
-                                       "doc_id long, version long, pos int, seed long"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, versions = batch.column("doc_id").to_pylist(), batch.column("version").to_pylist()
+            lists = batch.column("__matches")
+            for lo, hi, data, offsets in chunks(batch.column("text")):
+                found = words(data, offsets)
+                out: list[tuple] = []
+                for row in range(lo, hi):
+                    own = found.hash[found.first[row - lo]:found.first[row - lo + 1]]
+                    grown, ends = [], np.zeros(len(own) + 2, np.int32)
+                    for m in lists[row].as_py():
+                        more_left = _common(own[max(0, m["lo"] - reach):m["lo"]][::-1], m["left"] or b"")
+                        more_right = _common(own[m["hi"]:m["hi"] + reach], m["right"] or b"")
+                        a, b = m["lo"] - more_left, m["hi"] + more_right
+                        if b - a >= min_words:
+                            ends[a] += 1
+                            ends[b] -= 1
+                        grown.append((m, a, b, more_left == reach, more_right == reach))
+                    covered = np.cumsum(ends) > 0
+                    out += [(ids[row], versions[row], *(m[n] for n in names), a, b, m["begin"], m["end"],
+                             left or right and not covered[b]) for m, a, b, left, right in grown]
+                columns = list(zip(*out, strict=True)) or [()] * 10
+                kinds = [pa.int64()] * 4 + [pa.int32()] * 5 + [pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                                 names=["doc_id", "version", *names, "lo", "hi", "begin", "end", "open"])
+    return run
+
+
+def _open_windows(min_words: int, prefix: int):
+    """Hashes of the windows that hold a repeated seed and lie in no match of ``min_words`` words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, versions = batch.column("doc_id"), batch.column("version")
+            lists = batch.column("__matches")
+            for lo, hi, data, offsets in chunks(batch.column("text")):
+                found = words(data, offsets)
+                rows, starts, hashes = [], [], []
+                for row in range(lo, hi):
+                    own = found.hash[found.first[row - lo]:found.first[row - lo + 1]]
+                    if len(own) < min_words:
+                        continue
+                    asked = np.zeros(len(own) - min_words + 1, bool)
+                    held = lists[row].as_py()
+                    for m in held:
+                        asked[max(0, m["begin"] + prefix - min_words):m["end"] - prefix + 1] = True
+                    for m in held:
+                        if m["hi"] - m["lo"] >= min_words:
+                            asked[m["lo"]:m["hi"] - min_words + 1] = False
+                    at = np.flatnonzero(asked)
+                    if len(at):
+                        rows.append(np.full(len(at), row))
+                        starts.append(at)
+                        hashes.append(window_hash(own, min_words)[at])
+                if rows:
+                    take = pa.array(np.concatenate(rows))
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": ids.take(take), "version": versions.take(take),
+                        "pos": pa.array(np.concatenate(starts).astype(np.int32)),
+                        "seed": pa.array(np.concatenate(hashes).view(np.int64))})
+    return run
+
+
+_PLACE = ["doc_id", "version", "first_doc", "first_version", "shift"]
+_ANCHORS = "doc_id long, version long, pos int, seed long"
+
+
+def _runs(anchors: DataFrame, size: int) -> DataFrame:
+    """Word ranges [lo, hi) whose anchors (each ``size`` words) match the first place of their seed, at one shift."""
     # Written, so that the join with it can split a seed that many places share.
     firsts = written(anchors.groupBy("seed")
               .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "version", "pos")).alias("first"))
@@ -207,31 +268,79 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
              .where("doc_id <> first_doc or version <> first_version or pos <> first_pos")
              .select("doc_id", "version", "pos", "first_doc", "first_version",
                      (F.col("pos") - F.col("first_pos")).alias("shift")))
-    # Kept suffixes that match the same place and overlap make one match.
-    along = Window.partitionBy("doc_id", "version", "first_doc", "first_version", "shift").orderBy("pos")
-    begins = F.coalesce(F.col("pos") - F.lag("pos").over(along) > prefix, F.lit(True)).cast("int")
-    runs = written(later.distinct().withColumn("run", F.sum(begins).over(along))
-                   .groupBy("doc_id", "version", "first_doc", "first_version", "shift", "run")
-                   .agg(F.min("pos").alias("lo"), (F.max("pos") + F.lit(prefix)).alias("hi")).drop("run"))
-    reach = window - 1
-    asked = (runs.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"),
-                         F.expr("lo - shift").alias("left_at"), F.expr("hi - shift").alias("right_at"))
-             .groupBy("doc_id", "version")
-             .agg(F.collect_set("left_at").alias("lefts"), F.collect_set("right_at").alias("rights")))
-    near = written(texts.join(asked.hint("merge"), ["doc_id", "version"])
-                   .mapInArrow(_contexts(reach), "doc_id long, version long, at int, left boolean, context binary")
-                   .distinct())
-
-    def beside(side: str, at: str) -> DataFrame:
-        return near.where(F.col("left") == (side == "left")).select(
-            F.col("doc_id").alias("first_doc"), F.col("version").alias("first_version"),
-            F.col("at").alias(at), F.col("context").alias(side)).hint("merge")
-
-    placed = runs.withColumn("left_at", F.expr("lo - shift")).withColumn("right_at", F.expr("hi - shift"))
-    placed = placed.join(beside("left", "left_at"), ["first_doc", "first_version", "left_at"], "left")
-    placed = placed.join(beside("right", "right_at"), ["first_doc", "first_version", "right_at"], "left")
-    return written(placed.groupBy("doc_id", "version")
-                   .agg(F.collect_list(F.struct("lo", "hi", "shift", "first_doc", "left", "right")).alias("__matches")))
+    # Anchors that match the same place and overlap make one match.
+    along = Window.partitionBy(*_PLACE).orderBy("pos")
+    begins = F.coalesce(F.col("pos") - F.lag("pos").over(along) > size, F.lit(True)).cast("int")
+    return written(later.distinct().withColumn("run", F.sum(begins).over(along))
+                   .groupBy(*_PLACE, "run")
+                   .agg(F.min("pos").alias("lo"), (F.max("pos") + F.lit(size)).alias("hi")).drop("run")
+                   .withColumn("begin", F.col("lo")).withColumn("end", F.col("hi")))
+
+
+def _grown(texts: DataFrame, runs: DataFrame, reach: int, min_words: int) -> DataFrame:
+    """Matches extended word by word; those still open after ``reach`` words go on with eight times as many."""
+    done: DataFrame | None = None
+    while True:
+        asked = (runs.select(F.col("first_doc").alias("doc_id"), F.col("first_version").alias("version"),
+                             F.expr("lo - shift").alias("left_at"), F.expr("hi - shift").alias("right_at"))
+                 .groupBy("doc_id", "version")
+                 .agg(F.collect_set("left_at").alias("lefts"), F.collect_set("right_at").alias("rights")))
+        near = written(texts.join(asked.hint("merge"), ["doc_id", "version"])
+                       .mapInArrow(_contexts(reach), "doc_id long, version long, at int, left boolean, context binary")
+                       .distinct())
+
+        def beside(side: str, at: str, near: DataFrame = near) -> DataFrame:
+            return near.where(F.col("left") == (side == "left")).select(
+                F.col("doc_id").alias("first_doc"), F.col("version").alias("first_version"),
+                F.col("at").alias(at), F.col("context").alias(side)).hint("merge")
+
+        placed = runs.withColumn("left_at", F.expr("lo - shift")).withColumn("right_at", F.expr("hi - shift"))
+        placed = placed.join(beside("left", "left_at"), ["first_doc", "first_version", "left_at"], "left")
+        placed = placed.join(beside("right", "right_at"), ["first_doc", "first_version", "right_at"], "left")
+        held = placed.groupBy("doc_id", "version").agg(F.collect_list(F.struct(
+            "lo", "hi", "shift", "first_doc", "first_version", "begin", "end", "left", "right")).alias("__matches"))
+        grown = written(texts.join(held.hint("merge"), ["doc_id", "version"])
+                        .mapInArrow(_lengthened(reach, min_words),
+                                    "doc_id long, version long, first_doc long, first_version long, shift int, lo int, "
+                                    "hi int, begin int, end int, open boolean").distinct())
+        closed = grown.where("not open").drop("open")
+        done = closed if done is None else done.union(closed)
+        runs = grown.where("open").drop("open")
+        if not runs.limit(1).count():
+            return done
+        reach *= 8
+
+
+def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
+            select_words: int = SELECT_WORDS) -> DataFrame:
+    """Per (doc_id, version): list of matches with an earlier place, extended.
+
+    A match holds word range [lo, hi), shift to the earlier place and first_doc.
+    """
+    prefix = min_words - window + 1
+    if prefix < select_words or window + select_words - 1 > min_words:
+        raise ValueError("min_words must leave room for the window and the selecting words")
+    texts = _keyed(docs)
+    anchors = written(texts.mapInArrow(_anchors(window, select_words, prefix), _ANCHORS))
+    found = _grown(texts, _runs(anchors, prefix), window - 1, min_words)
+    held = found.groupBy("doc_id", "version").agg(
+        F.collect_list(F.struct("lo", "hi", "begin", "end")).alias("__matches"))
+    windows = written(texts.join(held.hint("merge"), ["doc_id", "version"])
+                      .mapInArrow(_open_windows(min_words, prefix), _ANCHORS).distinct())
+    more = _runs(windows, min_words)
+    if more.limit(1).count():
+        found = found.union(_grown(texts, more, window - 1, min_words))
+    # Overlapping matches with one place at one shift are one.
+    along = Window.partitionBy(*_PLACE).orderBy("lo", "hi")
+    before = F.max("hi").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    whole = (found.where(F.col("hi") - F.col("lo") >= min_words).select(*_PLACE, "lo", "hi").distinct()
+             .withColumn("begins", F.coalesce(F.col("lo") > before, F.lit(True)).cast("int"))
+             .withColumn("run", F.sum("begins").over(along)).groupBy(*_PLACE, "run")
+             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    nothing = F.lit(None).cast("binary")
+    return written(whole.groupBy("doc_id", "version")
+                   .agg(F.collect_list(F.struct("lo", "hi", "shift", "first_doc", nothing.alias("left"),
+                                                nothing.alias("right"))).alias("__matches")))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

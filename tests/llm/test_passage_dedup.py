@@ -65,6 +65,28 @@ def test_small_table_against_all_windows(spark):
     _check(rows, [tuple(r) for r in pd_.repeats(docs).collect()], across_only=True)
 
 
+def test_small_table_with_repeats_in_one_text(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    _check(rows, [tuple(r) for r in pd_.repeats(docs).collect()])
+
+
+def test_passage_whose_seeds_all_stand_first_in_fragments(docs_of):
+    rng = random.Random(4)
+
+    def fresh(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    p = fresh(400)
+    pieces = [p[a:a + 48] for a in range(0, 400, 23)]
+    rows = [(i, " ".join(fresh(5) + x + fresh(5))) for i, x in enumerate(pieces)]
+    rows += [(100, " ".join(fresh(9) + p + fresh(9))), (101, " ".join(fresh(3) + p + fresh(4))),
+             (102, " ".join(fresh(3) + p[100:180] + fresh(4)))]
+    got = sorted(tuple(r) for r in pd_.repeats(docs_of(rows)).collect())
+    _check(rows, got)
+    assert got == [(101, 3, 400, 100, 9), (102, 3, 80, 100, 109)]
+
+
 def test_cutting_keeps_each_window_once(docs_of):
     rows = _rows(3)
     docs = docs_of(rows)
