@@ -3,7 +3,9 @@
 Markup is cut into blocks at block-level tags. The first pass decides blocks by
 the place they stand in (menus, forms, adverts and the like are out), link
 density, length and the share of stop words: long blocks rich in stop words are
-main text, blocks made of links are not, and short or undecided ones wait. In
+main text, blocks made of links are not, and short or undecided ones wait. Stop
+words decide only on pages rich in them; on others, in a language without a list
+or full of numbers, blocks of some length with few links are main text. In
 the second pass a waiting block inherits the label of its nearest decided
 neighbours: both sides agree, or the nearer one wins, or, between two equally
 near, main text. Where a page marks its article (article, main or the roles of
@@ -61,6 +63,7 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?
     |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>""", re.S | re.X)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_DENSE = re.compile("[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 LONG, SHORT = 200, 70
@@ -170,6 +173,8 @@ def blocks(page: str) -> list[Block]:
             marked_out = False
         elif not inside:
             marked_out |= tag == "header" or "header" in _NAME.findall(m["more"].lower())
+        if tag in ("svg", "math") and m["more"].endswith("/"):
+            continue
         if tag in _RAW:
             shut = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             at = shut.end() if shut else end
@@ -184,29 +189,37 @@ def blocks(page: str) -> list[Block]:
     return done
 
 
-def stop_share(text: str) -> float:
+def stop_count(text: str) -> tuple[int, int]:
+    """(stop words, words)."""
     found = text.lower().split()
-    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in found) / len(found) if found else 0.0
+    return sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in found), len(found)
+
+
+def _extent(text: str) -> int:
+    """Characters, those of scripts that write a word in one or two of them counted three times."""
+    return len(text) + 2 * len(_DENSE.findall(text))
 
 
 def first_pass(found: list[Block]) -> list[bool | None]:
     """True: main text, False: not, None: waits for its neighbours."""
     marked = any(b.inside and not b.out for b in found)
     labels: list[bool | None] = []
-    for b in found:
+    undecided: list[tuple[int, int, int]] = []  # block, stop words, words
+    for i, b in enumerate(found):
         density = b.linked / max(1, len(b.text.replace(" ", "")))
         if b.out or marked and not b.inside:
             labels.append(False)
         elif density > (0.9 if b.inside else LINKS):
             labels.append(False)
-        elif len(b.text) < SHORT or b.heading:
-            labels.append(None)
         else:
-            share = stop_share(b.text)
-            if share >= STOP_HIGH or share >= STOP_LOW and len(b.text) >= LONG:
-                labels.append(True)
-            else:
-                labels.append(None if b.inside or share >= STOP_LOW else False)
+            labels.append(None)
+            if _extent(b.text) >= SHORT and not b.heading:
+                undecided.append((i, *stop_count(b.text)))
+    listed = sum(stop for _, stop, _ in undecided) >= STOP_HIGH * sum(n for *_, n in undecided)
+    for i, stop, n in undecided:
+        share = stop / n
+        if not listed or share >= STOP_HIGH or share >= STOP_LOW and len(found[i].text) >= LONG:
+            labels[i] = True
     return labels
 
 

@@ -40,6 +40,27 @@ def test_short_blocks_inherit_from_neighbours():
     assert labels("s", "s") == [False, False]
 
 
+@pytest.mark.parametrize("text", [
+    "Wczoraj wieczorem mieszkańcy miasteczka zebrali się przed ratuszem, żeby obejrzeć pokaz sztucznych ogni. " * 2,
+    "Вчера вечером жители городка собрались перед ратушей, чтобы посмотреть большой праздничный фейерверк.",
+    "Ieri sera gli abitanti della cittadina hanno guardato i fuochi davanti al municipio con molta gioia.",
+    "昨天晚上，小镇的居民聚集在市政厅前观看盛大的烟火表演，孩子们都非常高兴，大家一直待到深夜。"])
+def test_unmarked_page_in_an_unlisted_language(text):
+    page = (f"<body><nav><a href=/>{text}</a></nav><div><p>{text}</p><p>{text}</p></div>"
+            f"<p><a href=/x>{text}</a></p><footer>{text}</footer></body>")
+    assert hb.main_text(page).split("\n") == [text.strip()] * 2
+
+
+def test_blocks_without_stop_words_between_main_text_stay():
+    code = "x[17] = 42; y[18] = 43; z[19] = 44; print(x, y, z); " * 3
+    assert hb.main_text(f"<body><p>{LONG}</p><pre>{code}</pre><p>{LONG}</p>").split("\n")[1] == code.strip()
+
+
+@pytest.mark.parametrize("tag", ["svg", "math"])
+def test_self_closing_foreign_elements_are_empty(tag):
+    assert hb.main_text(f'<p>{LONG}</p><{tag} class="i"/><p>{LONG}</p><{tag}><p>no</p></{tag}>') == "\n".join([LONG.strip()] * 2)
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<!-- x", "</p></div>", "<script>x", "&am &#x41; &"])
 def test_broken_pages(page):
     hb.main_text(page)
