@@ -7,7 +7,9 @@ problem: fill sequences with classes so that few sequences meet the demand. Its
 linear program starts from one pattern per class; a knapsack dynamic program
 over the duals finds the pattern that lowers the objective most, until none
 does. The solution is rounded down, the rest is packed best-fit-decreasing on
-the histogram. Pieces are then ranked within their class, without gathering a
+the histogram. The patterns are then filled with exact lengths, and a share of
+the emptiest sequences is dealt to the room that is really free in the others,
+or anew; of several shares the one with the fewest sequences is taken. Pieces are then ranked within their class, without gathering a
 class in one task, and rank r of a class takes the r-th place that the patterns
 hold for it. The driver sees only the histogram, however many documents there are.
 
@@ -19,10 +21,11 @@ tokenizer gives them.
 from __future__ import annotations
 
 import base64
+import bisect
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -194,7 +197,83 @@ def patterns(demand: np.ndarray, sizes: np.ndarray, room: int) -> list[tuple[int
     return plan
 
 
-def places(plan: list[tuple[int, np.ndarray]], n_classes: int, first_sequence: int) -> dict:
+def realised(plan: list[tuple[int, np.ndarray]], members: list[list[list[int]]]) -> list[tuple[int, dict[int, int]]]:
+    """``plan`` with exact lengths; ``members``: per class [length, number of pieces], which are used up."""
+    out: list[tuple[int, dict[int, int]]] = []
+    for times, take in plan:
+        held = np.flatnonzero(take)
+        while times:
+            run = max(1, min(times, *(members[c][-1][1] // int(take[c]) for c in held)))
+            own: dict[int, int] = {}
+            for c in held:
+                need = int(take[c])
+                while need:
+                    length, n = members[c][-1]
+                    used = min(need, n // run)
+                    own[length] = own.get(length, 0) + used
+                    members[c][-1][1] -= used * run
+                    need -= used
+                    if not members[c][-1][1]:
+                        members[c].pop()
+            out.append((run, own))
+            times -= run
+    return out
+
+
+def refilled(plan: list[tuple[int, dict[int, int]]], keep: int, room: int) -> list[tuple[int, dict[int, int]]]:
+    """``plan`` with its ``keep`` fullest sequences; pieces of the others go to free room, then to new sequences."""
+    def used(own: dict[int, int]) -> int:
+        return sum(length * n for length, n in own.items())
+
+    kept, left = [], {}
+    for times, own in sorted(plan, key=lambda x: -used(x[1])):
+        stay = min(times, keep)
+        keep -= stay
+        if stay:
+            kept.append((stay, own))
+        for length, n in own.items():
+            if times > stay:
+                left[length] = left.get(length, 0) + n * (times - stay)
+    sizes = sorted(left)
+    out, at = [], len(kept) - 1
+    while sizes or at >= 0:
+        # The emptiest sequences first, each with the longest pieces that fit; without any, a new one.
+        times, own = kept[at] if at >= 0 else (sum(left.values()), {})
+        space, more = room - used(own), {}
+        place = bisect.bisect_right(sizes, space) - 1
+        while place >= 0:
+            n = min(left[sizes[place]], space // sizes[place])
+            more[sizes[place]] = n
+            space -= n * sizes[place]
+            place = min(place, bisect.bisect_right(sizes, space)) - 1
+        run = min(times, *(left[length] // n for length, n in more.items())) if more else times
+        out.append((run, {length: own.get(length, 0) + more.get(length, 0) for length in own.keys() | more.keys()}))
+        for length, n in more.items():
+            left[length] -= n * run
+            if not left[length]:
+                sizes.remove(length)
+        if at >= 0:
+            kept[at] = (times - run, own)
+            at -= times == run
+    return out
+
+
+def exact_plan(lengths: np.ndarray, demand: np.ndarray, room: int, granule: int) -> list[tuple[int, dict[int, int]]]:
+    """(times, {length: pieces}) that hold ``demand`` pieces of each of ``lengths`` (ascending, under ``room``)."""
+    if not len(lengths):
+        return []
+    kinds, of = np.unique(-(-lengths // granule), return_inverse=True)
+    members: list[list[list[int]]] = [[] for _ in kinds]
+    for c, length, n in zip(of, lengths, demand, strict=True):
+        members[c].append([int(length), int(n)])
+    whole = max(1, room // granule)
+    plan = realised(patterns(np.bincount(of, demand).astype(np.int64), np.minimum(kinds, whole), whole), members)
+    total = sum(times for times, _ in plan)
+    return min((refilled(plan, total * share // 16, room) for share in range(16, -1, -1)),
+               key=lambda x: sum(times for times, _ in x))
+
+
+def places(plan: Iterable[tuple[int, np.ndarray]], n_classes: int, first_sequence: int) -> dict:
     """Per class: ends of the rank ranges that each pattern's places take, and what they lead to."""
     out: dict[int, list] = {c: [] for c in range(n_classes)}
     ends = np.zeros(n_classes, np.int64)
@@ -251,13 +330,14 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, sequence: in
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
     spark = docs.sparkSession
     cut = written(pieces(docs, tokenizer, ranks, sequence, end_id)
-                  .withColumn("class", F.ceil(F.col("length") / granule).cast("int")))
+                  .withColumn("class", F.col("length").cast("int")))
     histogram = {r["class"]: r["n"] for r in cut.groupBy("class").agg(F.count("*").alias("n")).collect()}
-    full = -(-sequence // granule)
+    full = sequence
     kinds = np.array(sorted(c for c in histogram if c != full), np.int64)
     demand = np.array([histogram[int(c)] for c in kinds], np.int64)
     # A full class makes sequences of its own: ids 0 to n - 1.
-    plan = patterns(demand, kinds, sequence // granule)
+    plan = ((times, np.array([own.get(int(k), 0) for k in kinds], np.int64))
+            for times, own in exact_plan(kinds, demand, sequence, granule))
     table = places(plan, len(kinds), histogram.get(full, 0))
     by_class = {int(k): table[i] for i, k in enumerate(kinds)}
     by_class[full] = np.array([[histogram.get(full, 0)], [0], [0], [1], [0]], np.int64)

@@ -59,6 +59,28 @@ def test_ranks_give_the_tokenizers_ids(spark):
     assert [fast.ids(t) for t in texts] == [own.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_short_texts_leave_little_padding(docs_of):
+    rows = [(i, "word" + " word" * 15) for i in range(600)]
+    got = pk.pack(docs_of(rows), *queries.tokenizer_files()).collect()
+    _check(got, rows)
+    assert len({r["sequence_id"] for r in got}) == -(-sum(r["length"] for r in got) // 2048)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_exact_plan_holds_all_pieces(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.unique(rng.integers(1, 1000 if seed else 300, 900))
+    demand = rng.integers(1, 200, len(lengths))
+    plan = pk.exact_plan(lengths, demand, 2048, 16)
+    held = dict.fromkeys(lengths.tolist(), 0)
+    for times, own in plan:
+        assert times > 0 and sum(k * n for k, n in own.items()) <= 2048
+        for k, n in own.items():
+            held[k] += n * times
+    assert list(held.values()) == demand.tolist()
+    assert sum(t for t, _ in plan) <= 1.01 * lengths @ demand / 2048 + 1
+
+
 @pytest.mark.parametrize("space", [" ", "\n", "\u00a0"])
 def test_long_runs_of_white_space(space):
     path, ranks = queries.tokenizer_files()
