@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from moodline.llm import license_scan, shard_table
+from moodline.llm import license_scan, line_quality, shard_table
 
 
 def op3_shards() -> str:
@@ -75,5 +75,40 @@ def op6_topk() -> str:
     select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 5"""
 
 
+def op11_quality() -> str:
+    space, word = r"[^\x20\x09-\x0D]+", r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz0000000000"
+    own = line_quality
+    return f"""
+    with d as (select row_number() over () as r, doc_id, source, coalesce(text, '') as t,
+                      regexp_extract_all(coalesce(text, ''), '{space}') as w from documents),
+    win as (select r, i, w[i:i + {own.WINDOW - 1}] as x from (select r, w, unnest(range(1, len(w) - {own.WINDOW - 2})) as i from d)),
+    twice as (select r, i from (select *, count(*) over (partition by r, x) as n from win) where n > 1),
+    rep as (select r, count(distinct p) as n from (select r, unnest(range(i, i + {own.WINDOW})) as p from twice) group by r),
+    lines as (select r, source, t, line, len(regexp_extract_all(line, '{space}')) as n,
+                     array_to_string(regexp_extract_all(translate(line, '{upper}', '{lower}'), '{word}'), ' ') as form
+              from (select r, source, t, unnest(string_split(t, chr(10))) as line from d)),
+    dup as (select r, count(*) - count(distinct line) as n from lines where n > 0 group by r),
+    held as (select source, form, count(distinct t) as n from lines where form <> '' group by source, form),
+    hosts as (select source, count(distinct t) as n from d group by source),
+    high as (select h.source, h.form from held h join hosts s on h.source is not distinct from s.source
+             where h.n >= {own.LEAST_DOCUMENTS} and h.n > {own.SHARE}::double * s.n),
+    cut as (select l.r, count(distinct l.form) as lines, sum(l.n) as words from lines l
+            join high f on l.form = f.form and l.source is not distinct from f.source group by l.r),
+    base as (select d.r, doc_id, len(w) as n_words, len(array_to_string(w, '')) as word_chars,
+                    len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(dup.n, 0) as n_dup_lines,
+                    coalesce(rep.n, 0) as n_repeat_words, coalesce(cut.lines, 0) as n_removed_lines,
+                    coalesce(cut.words, 0) as n_removed_words
+             from d left join rep using (r) left join dup using (r) left join cut using (r)),
+    failed as (select *, n_words < {own.LEAST_WORDS} or 100 * n_repeat_words > {round(100 * own.MOST_REPEATED)} * n_words
+               as base_failed from base)
+    select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars,
+           cast(n_symbols as bigint) as n_symbols, cast(n_dup_lines as bigint) as n_dup_lines,
+           cast(n_repeat_words as bigint) as n_repeat_words, base_failed, cast(n_removed_lines as bigint) as n_removed_lines,
+           cast(n_removed_words as bigint) as n_removed_words,
+           not (base_failed or n_words - n_removed_words < {own.LEAST_LEFT}::double * n_words) as kept
+    from failed"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {fn.__name__: fn() for fn in (op3_shards, op5_licenses, op6_topk)}
+    return {fn.__name__: fn() for fn in (op3_shards, op5_licenses, op6_topk, op11_quality)}

@@ -12,6 +12,7 @@ from moodline.llm import (
     html_blocks,
     language_id,
     license_scan,
+    line_quality,
     mixing,
     near_dup,
     packing,
@@ -83,6 +84,11 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer, ranks)
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return line_quality.verdicts(docs).drop("source")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -96,4 +102,4 @@ def queries() -> dict[str, Query]:
 
     return {fn.__name__: ready(fn) for fn in (
         op1_fingerprints, op2_mix, op3_shards, op4_repeats, op5_licenses, op6_topk, op7_neardup, op8_language,
-        op9_extract, op10_pack, pipeline)}
+        op9_extract, op10_pack, op11_quality, pipeline)}

@@ -101,12 +101,13 @@ class Words:
         return np.diff(self.first)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = _IS_WORD, fold: np.ndarray = _LOWER) -> Words:
+    """Words of each text; ``inside`` and ``fold`` (256 entries) name word bytes and how they are folded for hashing."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(0, np.uint64), none, np.zeros(len(offsets), np.int64))
-    inside = _IS_WORD[data]
+    inside = inside[data]
     opens = np.empty(n + 1, bool)  # a text starts here
     opens[:] = False
     opens[offsets] = True
@@ -118,7 +119,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> Words:
     start, end = np.flatnonzero(begins), np.flatnonzero(ends)
     up, down = powers(_BASE, n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    value = _LOWER[data].astype(np.uint64)
+    value = fold[data].astype(np.uint64)
     value += np.uint64(1)
     value *= up[:n]
     np.cumsum(value, out=sums[1:])
@@ -146,3 +147,12 @@ def range_hash(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(hashes * up[:n], out=sums[1:])
     return mix((sums[first[1:]] - sums[first[:-1]]) * down[first[:-1]] + np.diff(first).astype(np.uint64))
+
+
+def byte_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte ranges [start, end) as strings."""
+    length = end - start
+    offsets = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(length, out=offsets[1:])
+    at = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, length)
+    return pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data[at])).cast(pa.string())
