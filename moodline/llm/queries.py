@@ -13,6 +13,7 @@ from moodline.llm import (
     language_id,
     license_scan,
     line_quality,
+    merkle_manifest,
     mixing,
     near_dup,
     packing,
@@ -89,6 +90,14 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.verdicts(docs).drop("source")
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    one_more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = merkle_manifest.leaf_digest([one_more if f == "n_chars" else F.col(f) for f in merkle_manifest.FIELDS])
+    return merkle_manifest.manifest(docs, seen=F.when(hit, tampered)).drop("proof")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -102,4 +111,5 @@ def queries() -> dict[str, Query]:
 
     return {fn.__name__: ready(fn) for fn in (
         op1_fingerprints, op2_mix, op3_shards, op4_repeats, op5_licenses, op6_topk, op7_neardup, op8_language,
-        op9_extract, op10_pack, op11_quality, pipeline)}
+        op9_extract, op10_pack, op11_quality,
+        op12_manifest, pipeline)}
