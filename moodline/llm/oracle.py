@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from moodline.llm import license_scan, line_quality, shard_table
+from moodline.llm import collocations, license_scan, line_quality, shard_table
 
 
 def op3_shards() -> str:
@@ -165,5 +165,36 @@ def op12_manifest() -> str:
     select doc_id, substr(g, 2) as lang, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from ends"""
 
 
+def op13_collocations() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    own = collocations
+    grams = " union all ".join(
+        f"select lang, {k} as len, w[i:i + {k - 1}] as p from (select lang, w, unnest(range(1, len(w) - {k - 2})) as i from pieces)"
+        for k in range(1, own.LONGEST + 1))
+    return f"""
+    with pieces as (
+        select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w
+        from (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                  translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents)),
+    f as (select lang, len, p, count(*)::hugeint as n from ({grams}) group by lang, len, p),
+    total as (select lang, sum(n)::bigint as n from f where len = 1 group by lang),
+    c as (select *, row_number() over () as c from f where len > 1 and n >= {own.LEAST}),
+    cuts as (select c.c, k, l.n as l, r.n as r, {own.SCALE} * c.n // (l.n + r.n) as score
+             from (select *, unnest(range(1, len)) as k from c) c
+             join f l on l.lang = c.lang and l.p = c.p[1:k] join f r on r.lang = c.lang and r.p = c.p[k + 1:c.len]),
+    low as (select * from cuts qualify row_number() over (partition by c order by score, k) = 1),
+    parts as (select lang, n, p[i:j] as p from (
+                  select lang, n, p, len, i, unnest(range(i + 1, len + 1)) as j from (
+                      select lang, n, p, len, unnest(range(1, len)) as i from c)) where j - i + 1 < len),
+    over as (select lang, p, max(n) as n from parts group by lang, p),
+    kept as (select c.lang, array_to_string(c.p, ' ') as phrase, c.n as a, low.l, low.r, low.score
+             from c join low using (c) left join over o on o.lang = c.lang and o.p = c.p
+             where o.n is null or 100 * o.n < 80 * c.n),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+    select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, total.n, score::bigint as score
+    from ranked join total using (lang) where rank <= {own.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {fn.__name__: fn() for fn in (op3_shards, op5_licenses, op6_topk, op11_quality, op12_manifest)}
+    return {fn.__name__: fn() for fn in (op3_shards, op5_licenses, op6_topk, op11_quality, op12_manifest,
+                                        op13_collocations)}

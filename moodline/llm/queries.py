@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moodline.llm import (
+    collocations,
     fingerprint,
     html_blocks,
     language_id,
@@ -98,6 +99,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.manifest(docs, seen=F.when(hit, tampered)).drop("proof")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents", "lang", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -112,4 +117,4 @@ def queries() -> dict[str, Query]:
     return {fn.__name__: ready(fn) for fn in (
         op1_fingerprints, op2_mix, op3_shards, op4_repeats, op5_licenses, op6_topk, op7_neardup, op8_language,
         op9_extract, op10_pack, op11_quality,
-        op12_manifest, pipeline)}
+        op12_manifest, op13_collocations, pipeline)}

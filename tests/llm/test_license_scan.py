@@ -39,7 +39,8 @@ def test_bad_template(bad):
         ls.compiled("x", bad)
 
 
-@pytest.mark.parametrize("name", ["op3_shards", "op5_licenses", "op6_topk", "op11_quality", "op12_manifest"])
+@pytest.mark.parametrize("name", ["op3_shards", "op5_licenses", "op6_topk", "op11_quality", "op12_manifest",
+                                  "op13_collocations"])
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings"):
