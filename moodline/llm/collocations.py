@@ -45,7 +45,8 @@ LONGEST = 4
 TOP = 2000
 TILE = 1024
 HEAD_TILES = 4  # tiles a side that may be counted densely
-FLUSH = 4 << 20  # pairs counted at once
+FLUSH = 3 << 20  # pairs counted at once
+RUN = 1 << 19  # ids worked on at once
 MOST_SENT = 1 << 21
 SCALE = 2_000_000
 
@@ -104,40 +105,42 @@ def _broken(key: np.ndarray, row: np.ndarray, found, data: np.ndarray, lo: int,
     return values, np.bincount(row - lo, minlength=hi - lo) + np.bincount(row[gap] - lo, minlength=hi - lo) + 1
 
 
-def _entries(batch: pa.RecordBatch, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, offsets per row) of a batch of texts, or of a batch of ids as pairs of neighbours."""
-    if "ids" in batch.schema.names:
-        column = batch.column("ids")
-        offsets = column.offsets.to_numpy().astype(np.int64)
-        ids = column.values.to_numpy().astype(np.int64)[offsets[0]:offsets[-1]]
+def _entries(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, entries per row) of runs of texts, or of ids as pairs of neighbours."""
+    if "ids" not in batch.schema.names:
+        for lo, hi, key, row, found, data in _text_keys(batch, seed):
+            yield _broken(key, row, found, data, lo, hi)
+        return
+    column = batch.column("ids")
+    offsets = column.offsets.to_numpy()
+    lo = 0
+    while lo < batch.num_rows:
+        hi = min(max(int(np.searchsorted(offsets, offsets[lo] + RUN, side="right")) - 1, lo + 1), batch.num_rows)
+        ids = column.values.to_numpy()[offsets[lo]:offsets[hi]].astype(np.int64)
         both = np.full(len(ids), -1, np.int64)
         if len(ids):
             both[:-1] = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] << 32 | ids[1:] & 0xFFFFFFFF, -1)
-        return both, offsets - offsets[0]
-    runs = [_broken(key, row, found, data, lo, hi) for lo, hi, key, row, found, data in _text_keys(batch, seed)]
-    offsets = np.zeros(batch.num_rows + 1, np.int64)
-    if runs:
-        np.cumsum(np.concatenate([n for _, n in runs]), out=offsets[1:])
-    return np.concatenate([v for v, _ in runs]) if runs else np.zeros(0, np.int64), offsets
+        yield both, np.diff(offsets[lo:hi + 1])
+        lo = hi
 
 
 def counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(pair, times) of pairs a << 32 | b: head tiles that hold enough pairs by bincount, others sorted."""
-    a, b = pairs >> 32, pairs & 0xFFFFFFFF
-    head = (a < TILE * HEAD_TILES) & (b < TILE * HEAD_TILES)
-    tile = (a[head] // TILE) * HEAD_TILES + b[head] // TILE
+    head = (pairs < TILE * HEAD_TILES << 32) & (pairs & 0xFFFFFFFF < TILE * HEAD_TILES)
+    in_head, rest = pairs[head], pairs[~head]
+    tile = ((in_head >> 32) // TILE * HEAD_TILES + (in_head & 0xFFFFFFFF) // TILE).astype(np.int16)
     full = np.bincount(tile, minlength=HEAD_TILES ** 2)
     dense = np.zeros(HEAD_TILES ** 2, bool)
     dense[full >= TILE * TILE // 8] = True
     keys, times = [], []
-    in_head = pairs[head]
     for k in np.flatnonzero(dense):
         own = in_head[tile == k]
         cells = np.bincount((own >> 32) % TILE * TILE + (own & 0xFFFFFFFF) % TILE, minlength=TILE * TILE)
         cell = np.flatnonzero(cells)
         keys.append((cell // TILE + k // HEAD_TILES * TILE) << 32 | cell % TILE + k % HEAD_TILES * TILE)
         times.append(cells[cell])
-    rest = np.concatenate([pairs[~head], in_head[~dense[tile]]])
+    rest = np.concatenate([rest, in_head[~dense[tile]]])
+    del in_head, tile
     own, n = np.unique(rest, return_counts=True)
     return np.concatenate([*keys, own]), np.concatenate([*times, n])
 
@@ -147,37 +150,40 @@ def _pair_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
     def told():
         keys, times = counted(np.concatenate(held))
+        held.clear()
         return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(times.astype(np.int64))], names=["_key", "_n"])
 
     for batch in batches:
-        pairs, _ = _entries(batch, 0)
-        held.append(pairs[pairs >= 0])
-        size += len(held[-1])
-        if size >= FLUSH:
-            yield told()
-            held, size = [], 0
+        for pairs, _ in _entries(batch, 0):
+            held.append(pairs[pairs >= 0])
+            size += len(held[-1])
+            if size >= FLUSH:
+                yield told()
+                size = 0
     if size:
         yield told()
 
 
-def _as_ids(found: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found.astype(np.int32)))], names=["ids"])
+def _lists(values: np.ndarray, sizes: np.ndarray, name: str) -> pa.RecordBatch:
+    offsets = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=[name])
 
 
 def _sent_encoder(keys: np.ndarray, ids: np.ndarray, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, offsets = _entries(batch, seed)
-            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            yield _as_ids(np.where(keys[at] == own, ids[at], -1), offsets)
+            for own, sizes in _entries(batch, seed):
+                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                yield _lists(np.where(keys[at] == own, ids[at], np.int32(-1)), sizes, "ids")
     return run
 
 
 def _key_lister(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, offsets = _entries(batch, seed)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(own))], names=["_keys"])
+            for own, sizes in _entries(batch, seed):
+                yield _lists(own, sizes, "_keys")
     return run
 
 
@@ -192,10 +198,9 @@ def _joined_encoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 order = np.argsort(known)
                 at = np.minimum(np.searchsorted(known, own, sorter=order), len(known) - 1)
                 ids = np.where(known[order[at]] == own, of[order[at]], -1)
-            out.append(ids)
-        offsets = np.zeros(len(out) + 1, np.int64)
-        np.cumsum([len(o) for o in out], out=offsets[1:])
-        yield _as_ids(np.concatenate(out) if out else np.zeros(0, np.int64), offsets)
+            out.append(ids.astype(np.int32))
+        if out:
+            yield _lists(np.concatenate(out), np.array([len(o) for o in out]), "ids")
 
 
 def _encoded(entries: DataFrame, table: DataFrame, size: int, seed: int, most_sent: int) -> DataFrame:
