@@ -45,8 +45,8 @@ LONGEST = 4
 TOP = 2000
 TILE = 1024
 HEAD_TILES = 4  # tiles a side that may be counted densely
-FLUSH = 3 << 20  # pairs counted at once
-RUN = 1 << 19  # ids worked on at once
+FLUSH = 3 << 19  # pairs counted at once
+RUN = 1 << 18  # ids worked on at once
 MOST_SENT = 1 << 21
 SCALE = 2_000_000
 
