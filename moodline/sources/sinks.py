@@ -1,38 +1,34 @@
 """Sinks: versioned full-refresh tables (S5), merge sink (S6), append-only
 JSON (S7), dashboard extracts (S10), layer namespaces (S9).
 
-Layout: ``<root>/<layer>/<table>/v<NNNNNNNNNN>/`` Parquet. A version is
-committed when Spark's job commit writes its ``_SUCCESS`` marker; readers
-take the newest committed version. A write never touches the version it
-reads (overwriting a Parquet path inside its own plan deletes the input
-before reading it), so a failed or killed job leaves the previous version
-current and a rerun starts clean. Two writers racing for the same version
-number fail on the existing path instead of mixing files.
-
-Merge targets are key-bucketed by default: rows are dealt to N buckets by a
-hash of the key, a data version holds only the buckets it rewrote, and a
-manifest version (``_manifest/v<N>``: one row per bucket -> directory, with
-the table's keys, bucket count and schema) says where each bucket's current
-files are. A merge reads and rewrites only the buckets its batch touches, so
-its cost follows the batch, not the table.
-
-The stored layout decides, not the constructor: a bucketed table keeps its
-keys and bucket count whatever ``merge_buckets`` says, a plain table that is
-merged with ``merge_buckets`` set is rewritten as bucketed once, and versions
-of both layouts share one counter, the newest being current.
-
-Contract: one writer per table at a time (runs of one pipeline are
-serialised by the scheduler). A failed or killed write leaves an orphan
-directory that is never read and never blocks later versions, but two
-*concurrent* merges into one table could each build on the same base, and
-the later commit would drop the earlier one's rows. Guarding that needs an
-atomic conditional commit, i.e. a table format (Delta / Iceberg).
+Full refresh: ``<root>/<layer>/<table>/v<NNNNNNNNNN>/`` Parquet. A version is
+committed when Spark's job commit writes its ``_SUCCESS`` marker; readers take
+the newest committed one. A refresh never touches the version it reads, so a
+failed or killed job leaves the previous version current and a rerun starts
+clean.
+
+Merge targets are one version that Spark partitions by a hash bucket of the
+key. The partition column's name holds the number of buckets and the keys
+(``_bucket_32__ticket_id``), so the folder describes itself and the layout it
+was made with is the one that later merges follow. A merge reads only the
+partitions its batch touches and replaces only those, by ``insertInto`` with
+dynamic partition overwrite into an external table of the session's catalog
+(one database per layer, S9). AQE's rebalancing sizes the files of each
+partition by their measured bytes, so a bucket of any size is written by as
+many tasks as it needs.
+
+Dynamic overwrite replaces partition folders one after another when the job
+commits. The merged rows are therefore written to ``_pending`` first and
+inserted from there; a merge that finds a committed ``_pending`` of a killed
+one inserts it again (the same rows into the same partitions) before it
+starts. One writer per table at a time (runs of one pipeline are serialised
+by the scheduler); a reader during the commit may see partitions of both
+states.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,33 +36,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from moodline.operators.merge import merge_by_key
-from moodline.session import checkpoint_dir
 
 LAYERS = ("raw_zone", "staging", "core", "enrichment", "dashboard")  # S9
 VERSION_PREFIX = "v"
 VERSION_DIGITS = 10
+BUCKET_PREFIX = "_bucket_"
+PENDING = "_pending"
+DEFAULT_BUCKETS = 32
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-BUCKET_COL = "_bucket"
-MANIFEST = "_manifest"
-DEFAULT_BUCKETS = 32
-MANIFEST_SCHEMA = "bucket int, path string, keys string, buckets int, schema string"
+def bucket_column(keys: Sequence[str], buckets: int) -> str:
+    return f"{BUCKET_PREFIX}{buckets}__{'__'.join(keys)}"
 
 
 class TableStore:
     """Tables under one root (local path, HDFS or object store URI).
 
     ``merge_buckets``: bucket count of merge targets created from now on
-    (None: plain, each merge rewrites the table). ``bucket_files``: tasks, and
-    so files, that write one bucket. Full-refresh tables are unaffected.
+    (None: plain, each merge is a full refresh).
     """
 
-    def __init__(self, spark: SparkSession, root: str, merge_buckets: int | None = DEFAULT_BUCKETS,
-                 bucket_files: int = 1):
+    def __init__(self, spark: SparkSession, root: str, merge_buckets: int | None = DEFAULT_BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.merge_buckets = merge_buckets
-        self.bucket_files = bucket_files
 
     # -- paths ---------------------------------------------------------
     def table_path(self, layer: str, table: str) -> str:
@@ -77,64 +71,91 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    def _numbers(self, base_path: str) -> dict[int, bool]:
-        """Version number -> committed, of the version directories in ``base_path``."""
-        fs, base = self._fs(base_path)
-        if not fs.exists(base):
-            return {}
-        return {int(name[1:]): fs.exists(st.getPath().suffix("/_SUCCESS"))
-                for st in fs.listStatus(base) for name in [st.getPath().getName()]
-                if st.isDirectory() and name.startswith(VERSION_PREFIX) and name[1:].isdigit()}
+    def _exists(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    def _folders(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+
+    def _numbers(self, base: str) -> list[int]:
+        return sorted(int(n[1:]) for n in self._folders(base) if n.startswith(VERSION_PREFIX) and n[1:].isdigit())
 
     @staticmethod
     def _at(base_path: str, number: int) -> str:
         return f"{base_path}/{VERSION_PREFIX}{number:0{VERSION_DIGITS}d}"
 
     def versions(self, layer: str, table: str) -> list[str]:
-        """Committed versions, oldest first: plain data or manifest paths."""
+        """Committed versions, oldest first."""
         base = self.table_path(layer, table)
-        found = [(n, self._at(b, n)) for b in (base, f"{base}/{MANIFEST}")
-                 for n, committed in self._numbers(b).items() if committed]
-        return [path for _, path in sorted(found)]
+        return [path for n in self._numbers(base) if self._exists(f"{(path := self._at(base, n))}/_SUCCESS")]
 
     def current(self, layer: str, table: str) -> str | None:
         v = self.versions(layer, table)
         return v[-1] if v else None
 
-    def _next_number(self, layer: str, table: str) -> int:
+    def _next(self, layer: str, table: str) -> str:
         base = self.table_path(layer, table)
-        return 1 + max((n for b in (base, f"{base}/{MANIFEST}", f"{base}/data") for n in self._numbers(b)), default=-1)
+        return self._at(base, max(self._numbers(base), default=-1) + 1)
 
-    def _manifest(self, path: str | None) -> list | None:
-        """Rows of a manifest version (one per bucket), or None for a plain one."""
-        if path is None or f"/{MANIFEST}/" not in path:
+    def _bucketing(self, path: str | None) -> tuple[str, int, list[str]] | None:
+        """Partition column, bucket count and keys of a merge target, by its folders."""
+        names = {n.partition("=")[0] for n in self._folders(path) if n.startswith(BUCKET_PREFIX)} if path else set()
+        if not names:
+            return None
+        column = names.pop()
+        buckets, *keys = column.removeprefix(BUCKET_PREFIX).split("__")
+        return column, int(buckets), keys
+
+    # -- catalog -------------------------------------------------------
+    def database(self, layer: str) -> str:
+        """The layer's database in the session's catalog (S9); stores with other roots have others."""
+        name = f"{layer}_{zlib.crc32(self.root.encode()):08x}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{self.root}/{layer}'")
+        return name
+
+    def catalog_table(self, layer: str, table: str) -> str | None:
+        """Name of a merge target as an external table of the session's catalog, registered where it isn't yet.
+
+        A catalog that outlives the session keeps it; else the folder's files tell its columns.
+        """
+        path = self.current(layer, table)
+        found = self._bucketing(path)
+        if found is None:
             return None
-        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).collect()
+        name = f"{self.database(layer)}.`{table}`"
+        if self.spark.catalog.tableExists(name.replace("`", "")):
+            about = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+            if about.get("Location", "").rstrip("/").endswith(path.rpartition(":")[2]):
+                return name
+            self.spark.sql(f"DROP TABLE {name}")  # external: its files stay
+        fields = self.spark.read.option("mergeSchema", True).parquet(path).schema.fields
+        columns = ", ".join(f"`{f.name}` {'int' if f.name == found[0] else f.dataType.simpleString()}" for f in fields)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{found[0]}`) LOCATION '{path}'")
+        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
 
     # -- read / write --------------------------------------------------
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame | None:
         """Current version, or None if the table has none yet."""
         path = self.current(layer, table)
-        manifest = self._manifest(path)
-        if manifest is not None:
-            return self._read_buckets(manifest, schema)
         if path is None:
             return None if schema is None else self.spark.createDataFrame([], schema)
+        found = self._bucketing(path)
+        if found is not None:
+            # The catalog knows the columns that later batches added; the folder is listed anew.
+            known = self.spark.table(self.catalog_table(layer, table)).schema
+            rows = self.spark.read.schema(known).parquet(path).drop(found[0])
+            return rows if schema is None else rows.select(*[
+                F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
         reader = self.spark.read
         return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
-    def _read_buckets(self, manifest: list, schema: StructType | None = None) -> DataFrame:
-        # Buckets may come from different versions; the manifest holds the schema of them all.
-        stored = StructType.fromJson(json.loads(manifest[0].schema)) if schema is None else schema
-        paths = [r.path for r in manifest if r.path]
-        if not paths:
-            return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).option("recursiveFileLookup", "true").parquet(*paths)
-
     def overwrite(self, df: DataFrame, layer: str, table: str,
                   partition_by: Sequence[str] = ()) -> str:
         """Full refresh into a new version; returns its path."""
-        path = self._at(self.table_path(layer, table), self._next_number(layer, table))
+        path = self._next(layer, table)
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -149,71 +170,84 @@ class TableStore:
 
     def merge(self, batch: DataFrame, layer: str, table: str, key: str | Sequence[str],
               order: Sequence[Column] | None = None) -> str:
-        """Merge ``batch`` into the current version, write a new one."""
+        """Merge ``batch`` into the current version; returns the version's path.
+
+        The batch is read twice (its buckets, then its rows), so it should be
+        staged. A plain table is dealt to buckets whole, as a new version, by
+        its first merge with ``merge_buckets``; an empty one stays plain.
+        """
         keys = [key] if isinstance(key, str) else list(key)
         path = self.current(layer, table)
-        manifest = self._manifest(path)
-        if manifest is None and not self.merge_buckets:
-            return self.overwrite(merge_by_key(self.read(layer, table), batch, keys, order), layer, table)
-        if manifest is not None and json.loads(manifest[0].keys) != keys:
-            raise ValueError(f"{layer}.{table} is bucketed by {manifest[0].keys}, not by {keys}")
-        plain = self.read(layer, table) if manifest is None and path is not None else None
-        return self._merge_bucketed(batch, layer, table, keys, order, manifest, plain)
-
-    # -- bucketed merge targets -------------------------------------------
-    def _merge_bucketed(self, batch: DataFrame, layer: str, table: str, keys: list[str],
-                        order: Sequence[Column] | None, manifest: list | None, plain: DataFrame | None) -> str:
-        n = manifest[0].buckets if manifest else self.merge_buckets
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
-        if order:
-            batch = merge_by_key(None, batch, keys, order)
-        # The batch is written once; its buckets, its keys and its rows are read from there.
-        staged_path = f"{checkpoint_dir(self.spark)}/merge-{uuid.uuid4().hex}"
-        batch.drop(BUCKET_COL).withColumn(BUCKET_COL, bucket).write.parquet(staged_path)
-        staged = self.spark.read.parquet(staged_path)
-        # Touched buckets: at most n values. A plain table is dealt to buckets whole.
-        touched = set(range(n)) if plain is not None else {
-            r[0] for r in staged.select(BUCKET_COL).distinct().collect()}
-        kept = [r for r in manifest or [] if r.bucket not in touched]
-        old = [r for r in manifest or [] if r.bucket in touched]
-        target = plain if plain is not None else self._read_buckets(old) if old else None
-        if target is not None:
-            target = target.withColumn(BUCKET_COL, bucket)
-        merged = merge_by_key(target, staged, keys)
-        schema = merged.drop(BUCKET_COL).schema
-        if manifest:
-            known = StructType.fromJson(json.loads(manifest[0].schema))
-            schema = StructType([*schema, *(f for f in known if f.name not in schema.fieldNames())])
-        base, number = self.table_path(layer, table), self._next_number(layer, table)
-        data_path = self._at(f"{base}/data", number)
-        salt = F.pmod(F.xxhash64(F.lit(1), *[F.col(k) for k in keys]), F.lit(self.bucket_files))
-        (merged.repartition(F.col(BUCKET_COL), salt).write.mode("errorifexists")
-         .partitionBy(BUCKET_COL).parquet(data_path))
-        fs, _ = self._fs(data_path)
-        filled = {b for b in touched if fs.exists(self._fs(f"{data_path}/{BUCKET_COL}={b}")[1])}
-        about = (json.dumps(keys), n, schema.json())
-        rows = [(r.bucket, r.path, *about) for r in kept] + [
-            (b, f"{data_path}/{BUCKET_COL}={b}", *about) for b in sorted(filled)]
-        # A table without rows keeps its layout and schema in a row without a path.
-        rows = rows or [(-1, None, *about)]
-        manifest_path = self._at(f"{base}/{MANIFEST}", number)
-        self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(manifest_path)
-        return manifest_path
+        found = self._bucketing(path)
+        if found is not None:
+            if found[2] != keys:
+                raise ValueError(f"{layer}.{table} is bucketed by {found[2]}, not by {keys}")
+            return self._merge_partitions(batch, layer, table, path, *found, order)
+        merged = merge_by_key(self.read(layer, table), batch, keys, order)
+        if not self.merge_buckets or (path is None and batch.isEmpty()):
+            return self.overwrite(merged, layer, table)
+        column = bucket_column(keys, self.merge_buckets)
+        dealt = merged.withColumn(column, _bucket(keys, self.merge_buckets)).hint("rebalance", F.col(column))
+        return self.overwrite(dealt, layer, table, [column])
+
+    def _merge_partitions(self, batch: DataFrame, layer: str, table: str, path: str, column: str, buckets: int,
+                          keys: list[str], order: Sequence[Column] | None) -> str:
+        self._insert_pending(layer, table, column)
+        own = _bucket(keys, buckets)
+        touched = [r[0] for r in batch.select(own.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
+        if not touched:
+            return path
+        known = self.spark.table(self.catalog_table(layer, table)).schema
+        target = self.spark.read.schema(known).parquet(path).where(F.col(column).isin(touched))
+        merged = merge_by_key(target, batch.withColumn(column, own), keys, order)
+        pending = f"{self.table_path(layer, table)}/{PENDING}"
+        merged.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(pending)
+        self._insert_pending(layer, table, column, merged.schema)
+        return path
+
+    def _insert_pending(self, layer: str, table: str, column: str, schema: StructType | None = None) -> None:
+        """Insert the merged rows of this merge, or of one that was killed, into their partitions."""
+        pending = f"{self.table_path(layer, table)}/{PENDING}"
+        fs, at = self._fs(pending)
+        if not self._exists(f"{pending}/_SUCCESS"):
+            return
+        name = self.catalog_table(layer, table)
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read.option("mergeSchema", True)
+        rows = reader.parquet(pending)
+        have = self.spark.table(name).columns
+        added = [f for f in rows.schema if f.name not in have]
+        if added:
+            self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+        columns = self.spark.table(name).columns
+        mode = self.spark.conf.get(OVERWRITE_MODE)
+        self.spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            rows.select(*[F.col(f"`{c}`") for c in columns]).write.insertInto(name, overwrite=True)
+        finally:
+            self.spark.conf.set(OVERWRITE_MODE, mode)
+        fs.delete(at, True)
+
+    def remove(self, path: str) -> None:
+        """Remove a staged folder that nothing reads any more."""
+        fs, p = self._fs(path)
+        fs.delete(p, True)
 
     def expire(self, layer: str, table: str, keep: int = 3) -> list[str]:
-        """Retention: remove all but the newest ``keep`` versions and the data they name; returns removed paths."""
-        versions = self.versions(layer, table)
-        stays, goes = versions[-max(1, keep):], versions[:-max(1, keep)]
-        held = {r.path.rpartition("/")[0] for v in stays for r in self._manifest(v) or [] if r.path}
-        data = f"{self.table_path(layer, table)}/data"
-        newest = int(stays[-1].rpartition(VERSION_PREFIX)[2]) if stays else -1
-        goes += [p for n in self._numbers(data) if n <= newest for p in [self._at(data, n)] if p not in held]
+        """Retention: remove all but the newest ``keep`` versions and, below the newest, those never committed."""
+        base, versions = self.table_path(layer, table), self.versions(layer, table)
+        if not versions:
+            return []
+        stays = set(versions[-max(1, keep):])
+        goes = [path for n in self._numbers(base) if (path := self._at(base, n)) not in stays and path < versions[-1]]
         for path in goes:
-            fs, p = self._fs(path)
-            fs.delete(p, True)
+            self.remove(path)
         return goes
 
 
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
 def append_json(df: DataFrame, path: str) -> None:
     """Append-only JSON lines (audit events)."""
     df.write.mode("append").json(path)

@@ -60,6 +60,7 @@ def test_ticket_ingestion_and_rerun(spark, scratch):
     assert (runs["run-1"].outcome, runs["run-1"].records_processed, runs["run-1"].records_failed) == (
         "success", r1.processed, r1.failed)
     assert runs["run-1"].duration_seconds > 0 and runs["run-2"].records_processed == 0
+    stored = raw2.count()  # a merge replaces partitions in place, so a frame read before it ends with it
     # A file landed later is the only one staged by the next run.
     with open(f"{landing}/late.txt", "w") as fh:
         fh.write('{"tickets":[{"ticket_id":"late","customer_id":"c","created_at":"2099-01-01T00:00:00Z",'
@@ -67,7 +68,7 @@ def test_ticket_ingestion_and_rerun(spark, scratch):
                  '"sentiment_score":0.5}]}')
     r3 = pipelines.run_ticket_ingestion(spark, store, [landing], whole_files=False, initial_cursor=None)
     assert (r3.received, r3.processed, r3.failed) == (1, 1, 0) and r3.cursor.startswith("2099")
-    assert _table(store, "raw_tickets").count() == raw2.count() + 1
+    assert _table(store, "raw_tickets").count() == stored + 1
 
 
 def test_bad_payload_is_dead_lettered(spark, scratch):
@@ -152,11 +153,52 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, scratch):
     want = sorted(map(tuple, merge_by_key(merge_by_key(None, first, "ticket_id", order), small,
                                           "ticket_id", order).collect()))
     assert got == want
-    # The second data version holds only the buckets the 3 keys hash to.
+    # The second merge replaced only the partitions that the 3 keys hash to, in the one version there is.
     import glob
-    data = sorted(glob.glob(f"{scratch}/wh/raw_zone/t/data/v*"))
-    assert len(data) == 2
-    assert 1 <= len(glob.glob(f"{data[1]}/_bucket=*")) <= 3 < len(glob.glob(f"{data[0]}/_bucket=*"))
+    assert len(store.versions("raw_zone", "t")) == 1
+    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{scratch}/wh/raw_zone/t/v*/_bucket_8__ticket_id=*/*.parquet")}
+    one = rows.filter(F.col("ticket_id") == "1")
+    store.merge(one, "raw_zone", "t", "ticket_id", order)
+    after = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{scratch}/wh/raw_zone/t/v*/_bucket_8__ticket_id=*/*.parquet")}
+    changed = {os.path.dirname(f) for f in files.keys() ^ after.keys() | {f for f in files if files[f] != after.get(f)}}
+    assert len(changed) == 1 < len({os.path.dirname(f) for f in after})
+    assert sorted(map(tuple, store.read("raw_zone", "t").collect())) == want
+    # The merge target is a table of the session's catalog, with the same rows.
+    assert spark.table(store.catalog_table("raw_zone", "t")).count() == len(want)
+
+
+def test_merge_after_a_killed_commit(spark, scratch):
+    """Partitions that were removed, but not yet replaced, come back from the pending rows."""
+    import glob
+    import shutil
+    store = TableStore(spark, f"{scratch}/wh", merge_buckets=4)
+    store.merge(spark.range(100).select("id", F.lit(1).alias("v")), "raw_zone", "t", "id")
+    path = store.current("raw_zone", "t")
+    newer = spark.range(50).select("id", F.lit(2).alias("v"))
+    # As left behind by a driver that died while it replaced the partitions.
+    spark.read.parquet(path).where("id >= 50").unionByName(newer.withColumn("_bucket_4__id", F.expr("pmod(xxhash64(id), 4)").cast("int"))) \
+        .write.partitionBy("_bucket_4__id").parquet(f"{scratch}/wh/raw_zone/t/_pending")
+    for part in glob.glob(f"{path}/_bucket_4__id=[01]"):
+        shutil.move(part, f"{scratch}/lost-{os.path.basename(part)}")
+    fresh = TableStore(spark, f"{scratch}/wh", merge_buckets=4)
+    fresh.merge(spark.range(200, 201).select("id", F.lit(3).alias("v")), "raw_zone", "t", "id")
+    got = {r.id: r.v for r in fresh.read("raw_zone", "t").collect()}
+    assert got == {**{k: 2 for k in range(50)}, **{k: 1 for k in range(50, 100)}, 200: 3}
+
+
+def test_a_large_bucket_is_written_by_many_tasks(spark, scratch):
+    import glob
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        store = TableStore(spark, f"{scratch}/wh", merge_buckets=1)
+        rows = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        store.merge(rows, "raw_zone", "t", "id")
+        store.merge(rows.where("id < 10"), "raw_zone", "t", "id")
+    finally:
+        spark.conf.unset(size)
+    assert len(glob.glob(f"{scratch}/wh/raw_zone/t/v*/_bucket_1__id=0/*.parquet")) > 4
+    assert store.read("raw_zone", "t").count() == 60_000
 
 
 def test_ticket_ingestion_bucketed_equals_plain(spark, scratch):
@@ -203,9 +245,12 @@ def test_layouts_may_mix_without_losing_rows(spark, scratch):
     # A full refresh of a bucketed table is what is read from then on.
     store("c", 8).overwrite(rows(0, 3), "raw_zone", "t")
     assert store("c", 8).read("raw_zone", "t").count() == 3
+    # Without bucketing it is a plain table, which the next merge deals to buckets again.
     import pytest
+    store("c", 8).merge(rows(3, 5), "raw_zone", "t", "k")
+    assert store("c", 8).read("raw_zone", "t").count() == 5
     with pytest.raises(ValueError, match="bucketed by"):
-        store("b", 8).merge(rows(0, 1), "raw_zone", "t", "id")
+        store("c", 8).merge(rows(0, 1), "raw_zone", "t", "id")
     # An empty first batch keeps its schema.
     store("d", 4).merge(rows(0, 0), "raw_zone", "t", "k")
     assert store("d", 4).read("raw_zone", "t").columns == ["k", "id"]
@@ -219,7 +264,7 @@ def test_retention_spares_what_is_read(spark, scratch):
         store.merge(spark.createDataFrame([(f"k{j}", i) for j in range(i, 9)], "k string, v int"), "raw_zone", "t", "k")
         store.overwrite(spark.range(i + 1), "staging", "s")
     before = sorted(map(tuple, store.read("raw_zone", "t").collect()))
-    assert store.expire("raw_zone", "t", keep=1) and store.expire("staging", "s", keep=2)
+    assert store.expire("raw_zone", "t", keep=1) == [] and len(store.expire("staging", "s", keep=2)) == 3
     assert sorted(map(tuple, store.read("raw_zone", "t").collect())) == before
     assert len(store.versions("raw_zone", "t")) == 1 and len(store.versions("staging", "s")) == 2
     assert store.read("staging", "s").count() == 5
