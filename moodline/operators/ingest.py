@@ -24,8 +24,6 @@ ORDER_REQUIRED = ("order_id", "customer_id", "order_purchase_timestamp")
 MISSING_FIELD = "Missing required field: "
 BAD_TIMESTAMP = "Unsupported timestamp format: "
 MALFORMED = "Malformed {field}: "
-# Between field texts, and in place of a NULL one, under the row hash.
-FIELD_SEPARATOR, NULL_FIELD = "\x1f", "\x1e"
 
 TICKET_COLUMNS = (
     "ticket_id", "customer_id", "created_at", "sentiment_score", "sentiment_label",
@@ -85,8 +83,8 @@ def normalize_tickets(records: DataFrame, load_id: str | Column, record_col: str
     does). ``customer`` / ``metadata`` objects overwrite the top-level
     region, tier, channel and priority, even with NULL; when absent or not
     objects, top-level keys stay. The whole record stays in ``_record``;
-    ``_row_id`` hashes the field texts (records that differ in other keys
-    only share it).
+    ``_row_id`` hashes its canonical text, so records that differ in any key
+    have different ids.
 
     Three stacked projections (field text -> typed values -> checks): each
     field is read from the VARIANT once and each guarded cast runs once,
@@ -112,7 +110,7 @@ def normalize_tickets(records: DataFrame, load_id: str | Column, record_col: str
         nested(metadata, "metadata", "priority", "priority").alias("priority"),
         nested(customer, "customer", "region", "customer_region").alias("customer_region"),
         nested(customer, "customer", "tier", "customer_tier").alias("customer_tier"),
-        r.alias("_record"), *extra, *payload)
+        r.alias("_record"), canonical_text(r).alias("_text"), *extra, *payload)
     typed = texts.select("*", safe_timestamp("created_at").alias("_ts"),
                          safe_double("sentiment_score").alias("_score"))
     checks = [(is_missing(F.col(f)), F.lit(MISSING_FIELD + f)) for f in TICKET_REQUIRED]
@@ -121,17 +119,14 @@ def normalize_tickets(records: DataFrame, load_id: str | Column, record_col: str
                                                       F.col("sentiment_score"))))
     error = F.coalesce("_bad_error", first_error(checks)) if payload else first_error(checks)
     checked = typed.select("*", _check_policy(error, on_malformed).alias("error_message"))
-    text = canonical_text(F.col("_record"))
     out = checked.select(
         "ticket_id", "customer_id", F.col("_ts").alias("created_at"),
         F.col("_score").alias("sentiment_score"), "sentiment_label", "status", "channel", "priority",
         "customer_region", "customer_tier",
         load.cast("string").alias("_load_id"),
-        row_hash(F.concat_ws(FIELD_SEPARATOR, *[F.coalesce(F.col(c), F.lit(NULL_FIELD)) for c in TICKET_COLUMNS])
-                 ).alias("_row_id"),
+        row_hash(F.col("_text")).alias("_row_id"),
         "_record",
-        # The record's text is made for dead letters only: serialising it costs more than all the checks.
-        F.when(F.col("error_message").isNotNull(), F.coalesce("_bad_text", text) if payload else text
+        F.when(F.col("error_message").isNotNull(), F.coalesce("_bad_text", "_text") if payload else F.col("_text")
                ).alias("raw_record"),
         "error_message", *extra)
     return _with_seq(out)

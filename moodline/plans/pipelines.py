@@ -3,7 +3,7 @@
 One run: list the landed files that no earlier run has processed -> read them
 once -> normalise, apply the cursor, and **stage** accepted and rejected rows
 and unparseable payloads in one frame (Parquet under the shared checkpoint
-folder, counters taken by ``observe`` during that single write) -> good rows
+folder, removed after the run; counters, also of the rows the cursor skips, taken by ``observe`` during that single write) -> good rows
 merged into the raw table, bad rows merged into the source's dead letters ->
 cursor state and file log advanced only after both merges -> audit events.
 Staging cuts the lineage, so both branches read the same rows and a lost
@@ -20,7 +20,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from moodline.operators import ingest, quality
@@ -59,6 +59,7 @@ class RunResult:
     received: int = 0
     processed: int = 0
     failed: int = 0
+    skipped: int = 0  # accepted rows older than the cursor
     cursor: str | None = None
     tables: dict[str, str] = field(default_factory=dict)
 
@@ -98,12 +99,17 @@ def unprocessed(store: sinks.TableStore, source: str, paths: str | list[str]) ->
                                                 ["path", "modified", "length"], "left_anti")
 
 
-def _stage(spark: SparkSession, df: DataFrame, run_id: str, obs: Observation) -> DataFrame:
-    path = f"{checkpoint_dir(spark)}/staged/{run_id}-{uuid.uuid4().hex}"  # a repeated run id stages anew
-    df.observe(obs, F.count_if(F.col("error_message").isNull()).alias("accepted"),
-               F.count_if(F.col("error_message").isNotNull()).alias("failed")
-               ).write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _stage(spark: SparkSession, norm: DataFrame, passes: Column, res: RunResult) -> tuple[DataFrame, str]:
+    """Rejected rows and accepted ones that pass the cursor, written once; the counters come from that write."""
+    path = f"{checkpoint_dir(spark)}/staged/{res.run_id}-{uuid.uuid4().hex}"  # a repeated run id stages anew
+    good, obs = F.col("error_message").isNull(), Observation(f"stage-{uuid.uuid4().hex}")
+    (norm.withColumn("_passes", F.coalesce(passes, F.lit(False)))
+     .observe(obs, F.count_if(good & F.col("_passes")).alias("accepted"), F.count_if(good & ~F.col("_passes")).alias("skipped"),
+              F.count_if(~good).alias("failed"))
+     .where(~good | F.col("_passes")).drop("_passes").write.mode("errorifexists").parquet(path))
+    res.processed, res.failed, res.skipped = (obs.get[c] for c in ("accepted", "failed", "skipped"))
+    res.received = res.processed + res.failed + res.skipped
+    return spark.read.schema(norm.schema).parquet(path), path
 
 
 def merge_tickets(store: sinks.TableStore, staged: DataFrame, pipeline: str, source: str) -> dict[str, str]:
@@ -134,7 +140,8 @@ def _run(spark: SparkSession, store: sinks.TableStore, source: str, pipeline: st
     def done(status: str, **more) -> None:
         elapsed = (dt.datetime.now(dt.timezone.utc) - began).total_seconds()
         _audit(spark, audit_path, pipeline, res.run_id, COMPLETED, status,
-               {"records_processed": res.processed, "records_failed": res.failed, "elapsed_seconds": elapsed, **more})
+               {"records_processed": res.processed, "records_failed": res.failed, "records_skipped": res.skipped,
+                "elapsed_seconds": elapsed, **more})
 
     _audit(spark, audit_path, pipeline, res.run_id, STARTED, "started", {"dataset": RAW, "source": str(paths)})
     try:
@@ -168,14 +175,10 @@ def run_ticket_ingestion(spark: SparkSession, store: sinks.TableStore, landing:
         payloads = (landed.read_ticket_payloads(spark, files) if whole_files else
                     spark.read.text(files).select("value", F.col("_metadata.file_path").alias("_source")))
         norm = ingest.normalize_tickets(landed.unwrap_payloads(payloads), res.load_id, on_malformed=on_malformed)
-        norm = norm.filter(F.col("error_message").isNotNull()
-                           | ingest.passes_cursor(norm, "created_at", cursor, inclusive=True))
-        obs = Observation(f"tickets-{res.run_id}")
-        staged = _stage(spark, norm, res.run_id, obs)
-        res.processed, res.failed = obs.get["accepted"], obs.get["failed"]
-        res.received = res.processed + res.failed
+        staged, stage = _stage(spark, norm, ingest.passes_cursor(norm, "created_at", cursor, inclusive=True), res)
         res.tables |= merge_tickets(store, staged, pipeline, "ticket_api")
         _advance_cursor(store, ingest.good_rows(staged), "tickets", "created_at")
+        store.remove(stage)
 
     return _run(spark, store, "tickets", pipeline, landing, audit_path, run_id, load_id, initial_cursor, work)
 
@@ -196,13 +199,8 @@ def run_order_ingestion(spark: SparkSession, store: sinks.TableStore, csv_path:
     def work(res: RunResult, files: list[str], cursor: str | None) -> None:
         rows = landed.read_orders_csv(spark, files, multi_line)
         norm = ingest.normalize_orders(rows, res.load_id, on_malformed=on_malformed, strict_ids=strict_ids)
-        norm = norm.filter(F.col("error_message").isNotNull()
-                           | ingest.passes_cursor(norm, cursor_column, cursor, inclusive=False))
-        obs = Observation(f"orders-{res.run_id}")
-        staged = _stage(spark, norm, res.run_id, obs)
+        staged, stage = _stage(spark, norm, ingest.passes_cursor(norm, cursor_column, cursor, inclusive=False), res)
         good = ingest.good_rows(staged)
-        res.failed = obs.get["failed"]
-        res.received = obs.get["accepted"] + res.failed
         res.processed = good.agg(F.count_distinct("order_id")).first()[0]
         latest = ingest.latest_per_key(good, "order_id", "order_purchase_timestamp")
         res.tables["raw_orders"] = store.merge(latest.drop("_source", "_ordinal"), RAW, "raw_orders", "order_id")
@@ -210,5 +208,6 @@ def run_order_ingestion(spark: SparkSession, store: sinks.TableStore, csv_path:
             ingest.failed_records(staged, pipeline, "orders_csv"), RAW, failed_table("orders"), "record_hash",
             [F.col("failed_at").desc()])
         _advance_cursor(store, good, "orders", cursor_column)
+        store.remove(stage)
 
     return _run(spark, store, "orders", pipeline, csv_path, audit_path, run_id, load_id, initial_cursor, work)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moodline.functions.casts import safe_timestamp
 from moodline.functions.records import canonical_text
 from moodline.operators import dashboard, facts, ingest, merge, quality, risk, staging
 from moodline.plans import pipelines
@@ -204,6 +205,24 @@ def q_failed_tickets(spark, sf_dir):
                                  TICKET_SOURCE, failed_at=_ts(AS_OF))
 
 
+@query("timestamp_forms")
+def q_timestamp_forms(spark, sf_dir):
+    """Each event's time written in one of twelve forms (two of them not accepted), and parsed."""
+    events = derived.read_table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("t"))
+    clock, day = F.date_format("t", "HH:mm:ss"), F.date_format("t", "yyyy-MM-dd")
+    week = F.concat(F.expr("extract(YEAROFWEEK FROM t)").cast("string"), F.lit("-W"), F.lpad(F.expr("extract(WEEK FROM t)").cast("string"), 2, "0"),
+                    F.lit("-"), F.expr("extract(DAYOFWEEK_ISO FROM t)").cast("string"))
+    compact = F.date_format("t", "yyyyMMdd'T'HHmmss")
+    forms = [F.concat(day, F.lit("T"), clock, F.lit("Z")), F.concat(week, F.lit("T"), clock), F.concat(day, F.lit(" "), clock, F.lit(" +00:00")),
+             compact, F.concat(day, F.lit("T"), F.date_format("t", "HHmm")), F.concat(day, F.lit("T"), clock, F.lit(",5")),
+             F.concat(compact, F.lit("Z")), F.concat(day, F.lit("X"), clock), F.concat(day, F.lit("T"), clock, F.lit("+05:30:15")),
+             F.concat(F.lit("\t"), day, F.lit("T"), F.date_format("t", "HH"), F.lit(" ")), F.concat(day, F.lit("T"), clock, F.lit("+24:00")),
+             F.concat(day, F.lit("T"), clock, F.lit("z"))]
+    k = F.col("event_id") % len(forms)
+    text = F.coalesce(*[F.when(k == i, form) for i, form in enumerate(forms)])
+    return events.select("event_id", text.alias("text")).select("event_id", "text", safe_timestamp("text").alias("instant"))
+
+
 @query("tickets_after_cursor")
 def q_tickets_after_cursor(spark, sf_dir):
     """Accepted tickets at or after the cursor."""
@@ -280,16 +299,27 @@ def q_orders_csv(spark, sf_dir):
     """Orders landed as CSV files with different headers, read by name, normalised, newest per order.
 
     Even keys land in the declared column order, odd ones reversed and with a
-    further column; the row hash leaves that column out.
+    further column, whose text holds quotes, commas and line breaks for some
+    rows (Spark's reader of whole lines would break them); the row hash leaves
+    that column out. Lines equal to a file's header are rows without a valid
+    time, hence rejected.
     """
     path = _scratch(spark, "landing/orders")
     rows = _landed_orders(spark, sf_dir)
     key = F.col("_ordinal") % 2
     even, odd = rows.filter(key == 0).drop("_ordinal"), rows.filter(key == 1)
     even.write.option("header", True).csv(path)
-    (odd.select(*reversed(even.columns), F.col("_ordinal").alias("line_no"))
-     .write.mode("append").option("header", True).csv(path))
-    rows = landed.read_orders_csv(spark, path).drop("line_no")
+    n = F.col("_ordinal") % 10
+    note = (F.when(n == 1, "two\nlines").when(n == 3, 'a "quoted" word,\n\nand "more"\n').when(n == 5, ",").otherwise(F.col("_ordinal").cast("string")))
+    (odd.select(*reversed(even.columns), note.alias("note"))
+     .write.mode("append").option("header", True).option("escape", '"').csv(path))
+    header = even.limit(0).unionByName(even.sparkSession.createDataFrame([tuple(even.columns)] * 2, even.schema))
+    header.coalesce(1).write.mode("append").option("header", True).csv(path)
+    rows = landed.read_orders_csv(spark, path)
+    repeated = rows.where(F.col("order_id") == "order_id").count()
+    if repeated != 2:
+        raise ValueError(f"{repeated} of 2 lines equal to the header were read")
+    rows = rows.drop("note")
     good = ingest.good_rows(ingest.normalize_orders(rows, load_id=ORDER_LOAD_ID))
     # Copies of an order are told apart by their rows here, as they lie in different files.
     latest = staging.keep_latest(good, "order_id", [F.col("order_purchase_timestamp").desc(), F.col("_row_id").asc()])

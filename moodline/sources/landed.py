@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -43,49 +43,126 @@ def _column_names(header: str) -> list[str]:
     return names
 
 
+# One field with its comma, and a quoted field that the line does not close, as the source's CSV reader splits them:
+# quotes count at a field's start only, "" is a quote, text after the closing quote belongs to the field.
+_IN_QUOTES = r'[^"]*+(?:""[^"]*+)*+'
+_FIELD = r'(?:"' + _IN_QUOTES + r'"[^,]*+|[^",][^,]*+)?+,'
+OPENS_QUOTE = r"^(?:" + _FIELD + r')*+"' + _IN_QUOTES + r"\z"
+STAYS_QUOTED = r"^" + _IN_QUOTES + r'(?:"[^,]*+,(?:' + _FIELD + r')*+"' + _IN_QUOTES + r")?+\z"
+
+
+def _place() -> Column:
+    return F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                    F.monotonically_increasing_id().alias("i"))
+
+
+def _csv_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines as they stand (a carriage return stays), and what each does to the state outside / inside quotes."""
+    quoted = F.contains("value", F.lit('"'))
+    return spark.read.text(paths, lineSep="\n").select("value", _place().alias("_ordinal")).select(
+        "value", "_ordinal", F.col("_ordinal.f").alias("_source"), F.col("_ordinal.b").alias("_block"),
+        (quoted & F.col("value").rlike(OPENS_QUOTE)).alias("_opens"),
+        (~quoted | F.col("value").rlike(STAYS_QUOTED)).alias("_stays"))
+
+
 def read_orders_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Orders CSV files with a header row each, every column read as text.
 
     Columns go by each file's own header: files whose headers differ in order
-    or in extra columns are read per header and united by name. Files are
-    split between tasks at line ends. A field that holds a line break needs
-    ``multi_line``, which reads each file in one task; without it, a line
-    whose quotes do not pair up fails the read instead of being misread.
+    or in extra columns are read per header and united by name; only a file's
+    first line is its header. All files are split between tasks. One scan
+    finds the headers and the files in which a quoted field goes on over a line
+    end; these are put together by :func:`_whole_records`, the others are read
+    line by line. Text after a closing quote keeps the field's quotes, as
+    Spark's parser has it. ``multi_line`` reads each file in one task instead, by
+    Spark's own reader. A file whose last quote is never closed fails the read.
     ``_source`` and ``_ordinal`` record where each row came from, so "first
     seen" ties break by file order.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
-                     F.monotonically_increasing_id().alias("i"))
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_source"),
-                                          place.alias("_ordinal"))
-    firsts = (lines.where("_ordinal.b = 0 and value <> ''").groupBy("_source")
-              .agg(F.min_by("value", "_ordinal.i").alias("header"))
-              .groupBy("header").agg(F.collect_list("_source").alias("files")))
+    lines = _csv_lines(spark, paths)
+    named = (F.col("_block") == 0) & (F.trim("value", F.lit(" \r\t")) != "")
+    files = (lines.groupBy("_source")
+             .agg(F.min_by(F.when(named, F.rtrim("value", F.lit("\r"))), F.when(named, F.col("_ordinal.i"))).alias("header"),
+                  F.bool_or("_opens").alias("spans")).where("header is not null")
+             .groupBy("header", "spans").agg(F.collect_list("_source").alias("files")))
     out: DataFrame | None = None
-    for header, files in sorted((r.header, sorted(r.files)) for r in firsts.collect()):  # one row per header
+    for header, spans, group in sorted((r.header, r.spans, sorted(r.files)) for r in files.collect()):  # two rows per header
         names = _column_names(header)
         schema = StructType([StructField(n, StringType()) for n in names])
-        if multi_line:
-            rows = (spark.read.schema(schema).csv(files, header=True, multiLine=True, escape='"')
-                    .select(*[F.col(f"`{n}`") for n in names], F.col("_metadata.file_path").alias("_source"),
-                            place.alias("_ordinal")))
+        if spans and not multi_line:
+            rows = _whole_records(_csv_lines(spark, group)).select(
+                F.from_csv("_record", schema.toDDL(), {"escape": '"'}).alias("r"), "_source", "_ordinal").select(
+                "r.*", "_source", "_ordinal")
         else:
-            own = spark.read.text(files).select("value", F.col("_metadata.file_path").alias("_source"),
-                                                place.alias("_ordinal"))
-            unpaired = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-            checked = F.when(unpaired % 2 == 0, F.col("value")).otherwise(F.raise_error(F.concat(
-                F.lit("unpaired quotes (a field with line breaks needs multi_line) in "), "_source",
-                F.lit(": "), "value")))
-            rows = (own.where((F.col("value") != header) & (F.col("value") != ""))
-                    .select(F.from_csv(checked, schema.toDDL(), {"escape": '"'}).alias("r"), "_source", "_ordinal")
-                    .select("r.*", "_source", "_ordinal"))
+            rows = (spark.read.schema(schema).csv(group, header=True, multiLine=multi_line, escape='"')
+                    .select(*[F.col(f"`{n}`") for n in names], F.col("_metadata.file_path").alias("_source"),
+                            _place().alias("_ordinal")))
         out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
     if out is None:
         return lines.select("_source", "_ordinal").where("false")
     return out
 
 
+def _composed(rows: DataFrame, within: list[str], order: str, fixed: Column, flips: Column) -> DataFrame:
+    """Running composition of two-state steps: adds _fixed (the state after the last step that sets one) and
+    _flips (the flips since), up to and with each row, and _fixed0, _flips0 before it."""
+    w = Window.partitionBy(*within).orderBy(order)
+    told = (rows.withColumns({"_set": fixed, "_flip": flips}).withColumns({
+        "_fixed": F.last("_set", ignorenulls=True).over(w), "_run": F.count("_set").over(w)}))
+    own = Window.partitionBy(*within, "_run").orderBy(order)
+    # The row that sets a state starts its run: its own flip does not count.
+    told = told.withColumn("_flips", F.sum(F.when(F.col("_set").isNull(), F.col("_flip")).otherwise(0)).over(own) % 2)
+    before = {f"{c}0": F.lag(c).over(w) for c in ("_fixed", "_flips")}
+    return told.withColumns(before).withColumn("_flips0", F.coalesce("_flips0", F.lit(0))).drop("_set", "_flip", "_run")
+
+
+def _whole_records(lines: DataFrame) -> DataFrame:
+    """Lines of split files -> CSV records after each file's header: _record, _source, _ordinal.
+
+    Whether a line begins inside quotes depends on all lines before it. Every
+    line is a step between two states; steps are composed within a split, and
+    the splits' compositions along the file (one row per split). So each split
+    learns the state it begins in, and only lines of records that span lines
+    are gathered, by the place of the record's first line.
+    """
+    split = ["_source", "_block"]
+    state = F.when(F.col("_opens") == F.col("_stays"), F.col("_opens").cast("int"))
+    steps = _composed(lines, split, "_ordinal", state, (F.col("_opens") & ~F.col("_stays")).cast("int"))
+    text = F.trim("value", F.lit(" \r\t")) != ""
+    ends = steps.groupBy(*split).agg(F.max_by(F.struct("_fixed", "_flips"), "_ordinal").alias("_end"),
+                                     F.min(F.when(text, F.col("_ordinal"))).alias("_first"))
+    ends = ends.select(*split, "_first", F.col("_end._fixed").alias("_k"), F.col("_end._flips").alias("_s"))
+    file = ["_source"]
+    chain = _composed(ends, file, "_block", F.when(F.col("_k").isNotNull(), (F.col("_k") + F.col("_s")) % 2), F.col("_s"))
+    whole = Window.partitionBy(*file)
+    end = (F.coalesce("_fixed", F.lit(0)) + F.col("_flips")) % 2
+    open_end = F.max_by(end, "_block").over(whole)
+    start = F.when(open_end == 1, F.raise_error(F.concat(F.lit("unpaired quotes: the last quoted field is never closed in "), "_source"))
+                   ).otherwise((F.coalesce("_fixed0", F.lit(0)) + F.col("_flips0")) % 2)
+    begun = chain.select(*split, start.alias("_start"), F.min("_first").over(whole).alias("_header"))
+
+    def inside(fixed: str, flips: str) -> Column:
+        return (F.coalesce(fixed, "_start") + F.col(flips)) % 2
+
+    told = steps.join(begun, split).withColumns({"_in": inside("_fixed0", "_flips0"), "_out": inside("_fixed", "_flips")})
+    w = Window.partitionBy(*split).orderBy("_ordinal")
+    told = told.withColumn("_own", F.last(F.when(F.col("_in") == 0, F.col("_ordinal")), ignorenulls=True).over(w))
+    before = Window.partitionBy(*file).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (told.groupBy(*split).agg(F.max(F.when(F.col("_in") == 0, F.col("_ordinal"))).alias("_last"))
+               .select(*split, F.last("_last", ignorenulls=True).over(before).alias("_carried")))
+    kept = told.select(*split, "value", "_ordinal", "_in", "_out", "_own", "_header")
+    single = kept.where("_in = 0 and _out = 0 and _ordinal <> _header").select(
+        F.col("value").alias("_record"), "_source", "_ordinal")
+    spanning = (kept.where("_in = 1 or _out = 1").join(carried, split)
+                .groupBy("_source", F.coalesce("_own", "_carried").alias("_ordinal"), "_header")
+                .agg(F.array_sort(F.collect_list(F.struct(F.col("_ordinal").alias("o"), "value"))).alias("_lines"))
+                .where("_ordinal <> _header")
+                .select(F.array_join("_lines.value", "\n").alias("_record"), "_source", "_ordinal"))
+    records = single.unionByName(spanning).withColumn("_record", F.rtrim("_record", F.lit("\r")))
+    return records.where(F.trim("_record", F.lit(" \t")) != "")
+
+
 def envelope_records(payload: Column) -> Column:
     """S3: the record list of a parsed payload, or NULL for a bad shape.
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,3 +52,44 @@ def test_sql_and_column_builds_agree(spark):
     rows = df.select(casts.safe_timestamp("s").alias("a"), casts.safe_timestamp(F.col("s")).alias("b"),
                      casts.safe_double("s").alias("c"), casts.safe_double(F.col("s")).alias("d")).collect()
     assert all(r.a == r.b and r.c == r.d for r in rows)
+
+
+# The formats that the source tries after the ISO forms.
+FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%S.%f")
+
+
+def _python(text):
+    """The instant in microseconds as Python's own parser reads it, else None."""
+    found = None
+    try:
+        found = dt.datetime.fromisoformat(text.strip().replace("Z", "+00:00"))
+    except ValueError:
+        for form in FORMATS:
+            try:
+                found = dt.datetime.strptime(text, form)
+                break
+            except ValueError:
+                pass
+    if found is None:
+        return None
+    zone = dt.timezone.utc
+    found = found.replace(tzinfo=zone) if found.tzinfo is None else found
+    at = (found - dt.datetime(1970, 1, 1, tzinfo=zone)) // dt.timedelta(microseconds=1)
+    return at if dt.datetime(1, 1, 1) <= dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=at) else None
+
+
+def test_timestamps_as_python_reads_them(spark):
+    dates = ("2024-02-01", "20240201", "2024-W05-3", "2024W053", "2024-W05", "2024W05", "2024-W53-1", "2020-W53-7", "2024-W00-1",
+             "2024-02-30", "0000-01-01", "2024-2-1", "2024-02", "2024-W05-8", "0001-01-03", "9999-12-30", "24-02-01")
+    seps = ("", "T", " ", "X", "t", "-", "\u00e9", "  ", "1", "Z")
+    times = ("", "10", "10:05", "10:05:07", "10:05:07.5", "10:05:07,123456789", "1005", "100507", "100507.25", "10:0507", "1005:07",
+             "24:00", "25:00", "10:60", "10:05:60", "10.5", "10:05.5", "1:2:3", "1:2:3.5", "10:05:")
+    zones = ("", "Z", " Z", "+02:00", "-0530", "+05:30:15", "+05:30:15.123456", "+23:59", "+24:00", "-00:00", "+1", "+01", "X+01:00",
+             "+05:99", " -01", "z", "+01:00x")
+    texts = {"".join(p) for p in itertools.product(dates, seps, times, zones)}
+    texts |= {" 2024-02-01 10:00:00 ", "\t2024-02-01\n", " 2024-02-01T10:00\u3000", "2024-2-1 1:2:3 ", " 2024-2-1 1:2:3", "2024-2-1\t1:2:3",
+              "2024-2-1   1:2:3", "2024-12-31T5:6:7.1", "", "abc", "2024-W05-10:00", "2024-W05-1010:00", "2024W0531000", "2024W05310",
+              "2024W05T10", "2024W053T10:00Z"}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "s string").repartition(8)
+    got = {r.s: r.t for r in df.select("s", F.unix_micros(casts.safe_timestamp("s")).alias("t")).collect()}
+    assert [(t, _python(t), got[t]) for t in sorted(texts) if _python(t) != got[t]] == []

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from moodline.operators import quality
 from moodline.plans import dag, pipelines
+from moodline.session import checkpoint_dir
 from moodline.sources import derived
 from moodline.sources.sinks import TableStore
 from tests.conftest import SF_SMALL
@@ -32,6 +33,7 @@ def test_ticket_ingestion_and_rerun(spark, scratch):
     r1 = pipelines.run_ticket_ingestion(spark, store, [landing], audit_path=audit, run_id="run-1",
                                         load_id="0001", whole_files=False, initial_cursor=None)
     assert r1.received == r1.processed + r1.failed and r1.failed > 0
+    assert not os.listdir(f"{checkpoint_dir(spark).removeprefix('file:')}/staged")  # a run's stage goes with the run
     raw = _table(store, "raw_tickets")
     good_ids = raw.select("ticket_id").distinct().count()
     assert raw.count() == good_ids                       # one row per key
@@ -67,7 +69,8 @@ def test_ticket_ingestion_and_rerun(spark, scratch):
                  '"sentiment_score":0.5},{"ticket_id":"old","customer_id":"c","created_at":"1999-01-01T00:00:00Z",'
                  '"sentiment_score":0.5}]}')
     r3 = pipelines.run_ticket_ingestion(spark, store, [landing], whole_files=False, initial_cursor=None)
-    assert (r3.received, r3.processed, r3.failed) == (1, 1, 0) and r3.cursor.startswith("2099")
+    # The older ticket of that file is skipped, and counted.
+    assert (r3.received, r3.processed, r3.failed, r3.skipped) == (2, 1, 0, 1) and r3.cursor.startswith("2099")
     assert _table(store, "raw_tickets").count() == stored + 1
 
 
