@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from moodline.functions.records import variant_path
 from moodline.sources.schemas import AUDIT_EVENTS
@@ -49,6 +50,46 @@ def contract_check(records: DataFrame, required: Sequence[str], record_col: str
     return agg.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
 
 
+def payload_shape(records: DataFrame, record_col: str = "record") -> dict[str, str]:
+    """Path -> type of all records together (``a.b`` for nested keys, ``a[]`` for list items).
+
+    One aggregate; what reaches the driver is one type, as large as the
+    number of different paths. A path whose records differ in type has the
+    common one, VARIANT where there is none.
+    """
+    told = records.agg(F.schema_of_variant_agg(record_col).alias("s")).first().s
+    kind = records.sparkSession.createDataFrame([], f"r {told.replace('OBJECT<', 'STRUCT<')}").schema["r"].dataType
+    out: dict[str, str] = {}
+
+    def walk(path: str, t: DataType) -> None:
+        if isinstance(t, StructType):
+            out[path] = "OBJECT"
+            for f in t.fields:
+                walk(f"{path}.{f.name}" if path else f.name, f.dataType)
+        elif isinstance(t, ArrayType):
+            out[path] = "ARRAY"
+            walk(f"{path}[]", t.elementType)
+        else:
+            out[path] = t.simpleString().upper()
+
+    walk("", kind)
+    out.pop("", None)
+    return out
+
+
+def payload_drift(records: DataFrame, contract: dict[str, str], record_col: str = "record") -> DataFrame:
+    """V7 / P5: paths of a landing drop that the contract (path -> type) lacks, misses or types otherwise.
+
+    Rows of path, change (added, missing, retyped), declared and found type;
+    paths that hold only nulls have no type to compare and count as present.
+    """
+    found = payload_shape(records, record_col)
+    rows = [(p, "added", None, t) for p, t in found.items() if p not in contract]
+    rows += [(p, "missing", t, None) for p, t in contract.items() if p not in found]
+    rows += [(p, "retyped", contract[p], t) for p, t in found.items() if p in contract and t != contract[p] and "VOID" not in (t, contract[p])]
+    return records.sparkSession.createDataFrame(sorted(rows, key=lambda r: r[:2]), "path string, change string, declared string, found string")
+
+
 # ---------------------------------------------------------------- V8 / V9
 
 def audit_event(spark: SparkSession, pipeline_name: str, run_id: str, event_type: str, status: str,
@@ -119,6 +160,35 @@ def failure_patterns(failed: DataFrame, k: int = 10) -> DataFrame:
     return counts.orderBy(F.col("failures").desc(), "pipeline_name", "error_class").limit(k)
 
 
+def message_template(message: Column) -> Column:
+    """An error text without its values: numbers, quoted text and what follows the rule's colon."""
+    return F.regexp_replace(F.regexp_replace(error_class(message), r"""'[^']*'|"[^"]*\"""", "?"), r"\d+", "#")
+
+
+def failure_sketches(failed: DataFrame, items: int = 10_000) -> DataFrame:
+    """K2 on unbounded error texts: per day of failure, a heavy-hitter sketch of pipeline and message template.
+
+    A sketch holds at most ``items`` templates whatever the number of texts;
+    sketches of days are kept and combined (:func:`failure_patterns_of`).
+    """
+    item = F.concat_ws("\x1f", "pipeline_name", message_template(F.col("error_message")))
+    return (failed.select(F.to_date("failed_at").alias("failed_on"), item.alias("_item")).groupBy("failed_on")
+            .agg(F.expr(f"approx_top_k_accumulate(_item, {int(items)})").alias("sketch")))
+
+
+def failure_patterns_of(sketches: DataFrame, k: int = 10, items: int = 10_000) -> DataFrame:
+    """K2 from kept sketches: the ``k`` most frequent templates of all days.
+
+    Counts are exact while the days together hold fewer than three quarters
+    of ``items`` templates; beyond that a count is too high by at most the
+    rows divided by a third of ``items``.
+    """
+    top = (sketches.agg(F.expr(f"approx_top_k_combine(sketch, {int(items)})").alias("sketch"))
+           .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {int(k)})")).alias("t")))
+    parts = F.split("t.item", "\x1f")
+    return top.select(parts[0].alias("pipeline_name"), parts[1].alias("message_template"), F.col("t.count").alias("failures"))
+
+
 def freshness(sources: Sequence[tuple[str, DataFrame, str, int]], as_of: Column) -> DataFrame:
     """K3: per table, newest event time, lag behind ``as_of`` and SLA check.
 
@@ -203,6 +273,17 @@ def newly_flagged(high_risk: DataFrame) -> DataFrame:
             .select("customer_id", "snapshot_date", "risk_score", "risk_band"))
 
 
+def flag_changes(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """K6 against the previous run: customers and days that entered or left the flagged set, or changed band."""
+    keys = ["customer_id", "snapshot_date"]
+    before = previous.select(*keys, F.col("risk_band").alias("previous_band"), F.lit(True).alias("_was"))
+    after = current.select(*keys, F.col("risk_band").alias("current_band"), F.lit(True).alias("_is"))
+    change = (F.when(F.col("_was").isNull(), "entered").when(F.col("_is").isNull(), "left")
+              .when(~F.col("previous_band").eqNullSafe(F.col("current_band")), "band_changed"))
+    return (before.join(after, keys, "full").select(*keys, "previous_band", "current_band", change.alias("change"))
+            .where("change is not null"))
+
+
 def owner_queue(high_risk_table: DataFrame, spark: SparkSession) -> DataFrame:
     """K8: risk queue with the owning team per band (3-row broadcast map)."""
     owners = spark.createDataFrame(list(BAND_OWNERS), "risk_band string, owner string")

@@ -61,6 +61,9 @@ def warehouse_metrics(spark: SparkSession, store: TableStore, as_of: str | None
         out["delayed_orders_dod"] = quality.delayed_orders_dod(have["stg_orders"])
     if "high_risk_customers" in have:
         out["newly_flagged"] = quality.newly_flagged(have["high_risk_customers"])
+    runs = store.versions("enrichment", "high_risk_customers")
+    if len(runs) > 1:
+        out["newly_flagged_by_run"] = quality.flag_changes(*(spark.read.parquet(run) for run in runs[-2:]))
     if "high_risk_table" in have:
         out["owner_queue"] = quality.owner_queue(have["high_risk_table"], spark)
     if audit_path:

@@ -112,11 +112,14 @@ def _stage(spark: SparkSession, norm: DataFrame, passes: Column, res: RunResult)
     return spark.read.schema(norm.schema).parquet(path), path
 
 
-def merge_tickets(store: sinks.TableStore, staged: DataFrame, pipeline: str, source: str) -> dict[str, str]:
-    """Merge staged tickets: accepted rows by ticket_id, rejected ones by payload hash."""
+def merge_tickets(store: sinks.TableStore, staged: DataFrame, pipeline: str, source: str, newest: bool = False) -> dict[str, str]:
+    """Merge staged tickets: accepted rows by ticket_id, rejected ones by payload hash.
+
+    With ``newest`` a stored ticket that is newer than the staged copy stays.
+    """
     return {"raw_tickets": store.merge(
                 ingest.good_rows(staged).drop("_source", "_ordinal"), RAW, "raw_tickets", "ticket_id",
-                [F.col("created_at").desc(), F.col("_row_id").desc()]),
+                [F.col("created_at").desc(), F.col("_row_id").desc()], newest),
             "failed_records": store.merge(
                 ingest.failed_records(staged, pipeline, source).select(*FAILED_RECORDS.fieldNames()),
                 RAW, failed_table("tickets"), "record_hash", [F.col("failed_at").desc()])}

@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from moodline.functions.casts import safe_timestamp
 from moodline.functions.records import canonical_text
 from moodline.operators import dashboard, facts, ingest, merge, quality, risk, staging
+from moodline.plans import dag
+from moodline.plans import incremental as incremental_plan
 from moodline.plans import pipelines
 from moodline.session import checkpoint_dir, configure
 from moodline.sources import derived, landed, sinks
 from moodline.sources.sinks import TableStore
+from moodline.streaming.newest import ProgressAudit, start_newest_tickets, stream_progress
 from moodline.streaming.tickets import start_heatmap, start_ticket_merge
 
 # Fixed refresh time injected into M4/M5 so results are reproducible
@@ -185,6 +188,17 @@ def q_unwrap(spark, sf_dir):
                        canonical_text(F.col("record")).alias("record_text"))
 
 
+@query("whole_file_payloads")
+def q_whole_files(spark, sf_dir):
+    """S1 in its default form: each payload page is a file of its own, read whole."""
+    path = _scratch(spark, "landing/pages")
+    pages = derived.ticket_payloads(derived.read_table(spark, sf_dir, "events"))
+    pages.select("value", F.col("_source").alias("page")).repartition("page").write.partitionBy("page").text(path)
+    records, _ = landed.unwrap_envelope(landed.read_ticket_payloads(spark, path))
+    return records.select(F.regexp_extract("_source", r"page=([^/]+)/", 1).alias("page"), F.col("_ordinal.p").alias("_pos"),
+                          canonical_text(F.col("record")).alias("record_text"))
+
+
 @query("normalized_tickets")
 def q_normalized_tickets(spark, sf_dir):
     """V1 + V3 + P4: every record, typed, with its first error (or NULL)."""
@@ -384,6 +398,40 @@ def q_mixed_layout_merge(spark, sf_dir):
     return TableStore(spark, root).read("raw_zone", "raw_orders").select(*ORDER_OUT)
 
 
+def _two_ticket_loads(spark, sf_dir):
+    good = _good_tickets(spark, sf_dir).drop("_source", "_ordinal")
+    return good.filter(F.col("created_at") < _ts(FIRST_LOAD_BEFORE)), good.filter(F.col("created_at") >= _ts(SECOND_LOAD_FROM))
+
+
+def _incremental_tickets(spark, sf_dir, table):
+    store = TableStore(spark, _scratch(spark, "warehouse"), merge_buckets=8)
+    for i, part in enumerate(_two_ticket_loads(spark, sf_dir), 1):
+        incremental_plan.merge_and_refresh_tickets(store, part, f"{table}-load-{i}-{uuid.uuid4().hex}")
+    return incremental_plan.result(store, table)
+
+
+@query("incremental_fact")
+def q_incremental_fact(spark, sf_dir):
+    """A1 / M3 kept up to date over two overlapping loads: new rows added, replaced ones retracted."""
+    return _incremental_tickets(spark, sf_dir, "_sentiment_state")
+
+
+@query("incremental_heatmap")
+def q_incremental_heatmap(spark, sf_dir):
+    """A3 / M6 kept up to date over two overlapping loads."""
+    return _incremental_tickets(spark, sf_dir, "_heatmap_state")
+
+
+@query("incremental_order_daily")
+def q_incremental_orders(spark, sf_dir):
+    """A2 kept up to date over two overlapping loads."""
+    store = TableStore(spark, _scratch(spark, "warehouse"), merge_buckets=8)
+    for i, part in enumerate(_first_and_second(spark, sf_dir), 1):
+        latest = staging.keep_latest(part, "order_id", _order_order()).drop("_ordinal")
+        incremental_plan.merge_and_refresh_orders(store, latest, f"load-{i}-{uuid.uuid4().hex}")
+    return incremental_plan.result(store, "_order_state")
+
+
 TWO_LOAD_INITIAL = "2024-01-05T00:00:00Z"
 
 
@@ -500,6 +548,47 @@ def q_newly_flagged(spark, sf_dir):
     return quality.newly_flagged(_high_risk(spark, sf_dir))
 
 
+@query("newly_flagged_by_run")
+def q_newly_flagged_by_run(spark, sf_dir):
+    """K6 between two runs of the models: over the tickets of the first load, then over all."""
+    store = TableStore(spark, _scratch(spark, "warehouse"))
+    store.overwrite(derived.raw_orders_at(spark, sf_dir), "raw_zone", "raw_orders")
+    events = derived.read_table(spark, sf_dir, "events")
+    for part in (events.filter(F.col("ts") < _ts(FIRST_LOAD_BEFORE)), events):
+        store.overwrite(derived.raw_tickets(part), "raw_zone", "raw_tickets")
+        dag.run_models(spark, store, as_of=AS_OF)
+    before, after = (spark.read.parquet(v) for v in store.versions("enrichment", "high_risk_customers"))
+    return quality.flag_changes(before, after)
+
+
+@query("payload_drift")
+def q_payload_drift(spark, sf_dir):
+    """V7 + P5: the second landing drop against the first one's shape; its records rename a key and retype another."""
+    events = derived.read_table(spark, sf_dir, "events")
+
+    def records(drop):
+        return landed.unwrap_envelope(derived.ticket_payloads(events.filter(drop)))[0]
+
+    first, second = records(F.col("ts") < _ts(FIRST_LOAD_BEFORE)), records(F.col("ts") >= _ts(FIRST_LOAD_BEFORE))
+    text = F.regexp_replace(F.replace(F.to_json("record"), F.lit('"status":'), F.lit('"state":')), '"ticket_id":([0-9]+)', '"ticket_id":"$1"')
+    return quality.payload_drift(second.select(F.parse_json(text).alias("record")), quality.payload_shape(first))
+
+
+@query("failure_templates")
+def q_failure_templates(spark, sf_dir):
+    """K2 from daily heavy-hitter sketches over message templates, combined; exact at these sizes."""
+    days = ingest.failed_records(_normalized_tickets(spark, sf_dir), TICKET_PIPELINE, TICKET_SOURCE, failed_at=_ts(AS_OF)).unionByName(
+        ingest.failed_records(_normalized_orders(spark, sf_dir), ORDER_PIPELINE, ORDER_SOURCE, failed_at=_ts(RERUN_AT)))
+    return quality.failure_patterns_of(quality.failure_sketches(days), k=50)
+
+
+@query("bucketed_staging")
+def q_bucketed_staging(spark, sf_dir):
+    """M1 over a raw table that is stored by ticket: no exchange below the dedupe."""
+    store = TableStore(spark, _scratch(spark, "warehouse"))
+    return staging.stg_tickets(store.overwrite_bucketed(derived.raw_tickets_at(spark, sf_dir), "raw_zone", "raw_tickets", "ticket_id", 8))
+
+
 @query("delayed_orders_dod")
 def q_delayed_dod(spark, sf_dir):
     """K7: delayed orders per day with day-over-day change."""
@@ -536,6 +625,30 @@ def q_run_durations(spark, sf_dir):
         (F.col("duration_seconds") > 0).alias("took_time"))
 
 
+@query("default_refresh_time")
+def q_default_refresh(spark, sf_dir):
+    """Without a given time, M4 carries the time of the query, one for all rows."""
+    found = risk.high_risk_customers(_fact(spark, sf_dir), _order_daily(spark, sf_dir))
+    now = F.current_timestamp()
+    return found.select("customer_id", "snapshot_date", (F.col("refreshed_at") == now).alias("one_time"),
+                        F.col("refreshed_at").between(F.lit("2024-01-01").cast("timestamp"), now).alias("not_ahead"))
+
+
+@query("generated_run_ids")
+def q_generated_run_ids(spark, sf_dir):
+    """Runs without a given id make their own, one for both events of a run."""
+    root = _scratch(spark, "warehouse")
+    store, landing, audit = TableStore(spark, root, merge_buckets=8), f"{root}/landing", f"{root}/audit"
+    events = derived.read_table(spark, sf_dir, "events")
+    for half in (0, 1):
+        _land_lines(derived.ticket_payloads(events.filter(F.expr("event_id div 50 % 2") == half)), landing)
+        pipelines.run_ticket_ingestion(spark, store, landing, audit_path=audit, whole_files=False, initial_cursor=None)
+    is_uuid = F.col("run_id").rlike(r"^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    events = quality.read_audit(spark, audit).groupBy("pipeline_name", "run_id").agg(F.count("*").alias("events"))
+    return events.groupBy("pipeline_name").agg(F.count("*").alias("runs"), F.min("events").alias("events_per_run"),
+                                               F.bool_and(is_uuid).alias("all_uuid"))
+
+
 # ------------------------------------------------------------ end to end
 
 @query("e2e_high_risk_customers")
@@ -569,6 +682,45 @@ def q_stream_merge(spark, sf_dir):
     return store.read("raw_zone", "raw_tickets").select(*out)
 
 
+@query("stream_ticket_newest")
+def q_stream_newest(spark, sf_dir):
+    """T1, newest wins: the newer copy of every other ticket lands in the first drop, the older one later."""
+    root = _scratch(spark, "warehouse")
+    store, landing = TableStore(spark, root, merge_buckets=8), f"{root}/landing"
+    events = derived.read_table(spark, sf_dir, "events")
+    drop = F.expr("(event_id + event_id div 2) % 2")
+    for copy in (0, 1):
+        _land_lines(derived.ticket_payloads(events.filter(drop == copy)), landing)
+        start_newest_tickets(spark, store, landing, checkpoint_location=f"{root}/_checkpoints/newest",
+                             whole_files=False).awaitTermination()
+    return store.read("raw_zone", "raw_tickets").select(*[c for c in TICKET_OUT if c != "_load_id"])
+
+
+LATE_FROM = "2024-01-20 00:00:00"
+
+
+@query("stream_late_rows")
+def q_stream_late(spark, sf_dir):
+    """T2 + V8: a drop of new events, then one of old events; rows the watermark drops are counted per drop."""
+    root = _scratch(spark, "heatmap")
+    events = derived.read_table(spark, sf_dir, "events")
+    out = None
+    for name, drop in (("new", F.col("ts") >= _ts(LATE_FROM)), ("old", F.col("ts") < _ts(LATE_FROM))):
+        _land_lines(derived.ticket_payloads(events.filter(drop)), f"{root}/landing")
+        listener = ProgressAudit(spark, f"{root}/audit/{name}")
+        spark.streams.addListener(listener)
+        try:
+            start_heatmap(spark, f"{root}/landing", f"{root}/out", checkpoint_location=f"{root}/_ckpt",
+                          whole_files=False).awaitTermination()
+            spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        finally:
+            spark.streams.removeListener(listener)
+        progress = stream_progress(quality.read_audit(spark, f"{root}/audit/{name}"))
+        told = progress.agg(F.sum("late_rows").alias("late_rows")).select(F.lit(name).alias("landed"), "late_rows")
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 @query("stream_heatmap_hourly")
 def q_stream_heatmap(spark, sf_dir):
     """Watermarked hourly heatmap over the streamed payloads.

@@ -99,12 +99,15 @@ class TableStore:
         base = self.table_path(layer, table)
         return self._at(base, max(self._numbers(base), default=-1) + 1)
 
+    def _partitioning(self, path: str | None) -> str | None:
+        """Partition column of a version, by its folders."""
+        return next((n.partition("=")[0] for n in self._folders(path) if "=" in n), None) if path else None
+
     def _bucketing(self, path: str | None) -> tuple[str, int, list[str]] | None:
         """Partition column, bucket count and keys of a merge target, by its folders."""
-        names = {n.partition("=")[0] for n in self._folders(path) if n.startswith(BUCKET_PREFIX)} if path else set()
-        if not names:
+        column = self._partitioning(path)
+        if column is None or not column.startswith(BUCKET_PREFIX):
             return None
-        column = names.pop()
         buckets, *keys = column.removeprefix(BUCKET_PREFIX).split("__")
         return column, int(buckets), keys
 
@@ -116,13 +119,13 @@ class TableStore:
         return name
 
     def catalog_table(self, layer: str, table: str) -> str | None:
-        """Name of a merge target as an external table of the session's catalog, registered where it isn't yet.
+        """Name of a partitioned table as an external table of the session's catalog, registered where it isn't yet.
 
         A catalog that outlives the session keeps it; else the folder's files tell its columns.
         """
         path = self.current(layer, table)
-        found = self._bucketing(path)
-        if found is None:
+        column = self._partitioning(path)
+        if column is None:
             return None
         name = f"{self.database(layer)}.`{table}`"
         if self.spark.catalog.tableExists(name.replace("`", "")):
@@ -131,8 +134,8 @@ class TableStore:
                 return name
             self.spark.sql(f"DROP TABLE {name}")  # external: its files stay
         fields = self.spark.read.option("mergeSchema", True).parquet(path).schema.fields
-        columns = ", ".join(f"`{f.name}` {'int' if f.name == found[0] else f.dataType.simpleString()}" for f in fields)
-        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{found[0]}`) LOCATION '{path}'")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{column}`) LOCATION '{path}'")
         self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         return name
 
@@ -162,6 +165,21 @@ class TableStore:
         writer.parquet(path)
         return path
 
+    def overwrite_bucketed(self, df: DataFrame, layer: str, table: str, key: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+        """S5 as a bucketed and sorted table of the session's catalog, whose rows are read without an exchange by key.
+
+        Dedupes and merges by ``key`` (W1, W2, J2) then need no shuffle. Files
+        are a new version like any other and can be read by path; what tells
+        Spark of the buckets is the catalog, so the table that it knows is
+        returned.
+        """
+        path = self._next(layer, table)
+        name = f"{self.database(layer)}.`{table}_by_{key}`"
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the last version's files stay
+        (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path)
+         .saveAsTable(name.replace("`", "")))
+        return self.spark.table(name)
+
     def append(self, df: DataFrame, layer: str, table: str) -> str:
         """Add rows to the first and only version of a log table."""
         path = self._at(self.table_path(layer, table), 0)
@@ -169,7 +187,7 @@ class TableStore:
         return path
 
     def merge(self, batch: DataFrame, layer: str, table: str, key: str | Sequence[str],
-              order: Sequence[Column] | None = None) -> str:
+              order: Sequence[Column] | None = None, newest: bool = False) -> str:
         """Merge ``batch`` into the current version; returns the version's path.
 
         The batch is read twice (its buckets, then its rows), so it should be
@@ -182,8 +200,8 @@ class TableStore:
         if found is not None:
             if found[2] != keys:
                 raise ValueError(f"{layer}.{table} is bucketed by {found[2]}, not by {keys}")
-            return self._merge_partitions(batch, layer, table, path, *found, order)
-        merged = merge_by_key(self.read(layer, table), batch, keys, order)
+            return self._merge_partitions(batch, layer, table, path, *found, order, newest)
+        merged = merge_by_key(self.read(layer, table), batch, keys, order, newest)
         if not self.merge_buckets or (path is None and batch.isEmpty()):
             return self.overwrite(merged, layer, table)
         column = bucket_column(keys, self.merge_buckets)
@@ -191,21 +209,41 @@ class TableStore:
         return self.overwrite(dealt, layer, table, [column])
 
     def _merge_partitions(self, batch: DataFrame, layer: str, table: str, path: str, column: str, buckets: int,
-                          keys: list[str], order: Sequence[Column] | None) -> str:
-        self._insert_pending(layer, table, column)
+                          keys: list[str], order: Sequence[Column] | None, newest: bool) -> str:
+        self._insert_pending(layer, table)
         own = _bucket(keys, buckets)
         touched = [r[0] for r in batch.select(own.alias("b")).distinct().collect()]  # at most ``buckets`` numbers
         if not touched:
             return path
         known = self.spark.table(self.catalog_table(layer, table)).schema
         target = self.spark.read.schema(known).parquet(path).where(F.col(column).isin(touched))
-        merged = merge_by_key(target, batch.withColumn(column, own), keys, order)
-        pending = f"{self.table_path(layer, table)}/{PENDING}"
-        merged.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(pending)
-        self._insert_pending(layer, table, column, merged.schema)
+        merged = merge_by_key(target, batch.withColumn(column, own), keys, order, newest)
+        self._replace(merged, layer, table, column)
         return path
 
-    def _insert_pending(self, layer: str, table: str, column: str, schema: StructType | None = None) -> None:
+    def _replace(self, rows: DataFrame, layer: str, table: str, column: str) -> None:
+        pending = f"{self.table_path(layer, table)}/{PENDING}"
+        rows.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(pending)
+        self._insert_pending(layer, table, rows.schema)
+
+    def replace_partitions(self, rows: DataFrame, layer: str, table: str, column: str) -> None:
+        """Replace the partitions of ``column`` that ``rows`` has; others stay. ``rows`` may read the same table.
+
+        A later call first finishes one that was killed while it committed (:meth:`finish`).
+        """
+        path = self.current(layer, table)
+        if path is None:
+            self.overwrite(rows.hint("rebalance", F.col(column)), layer, table, [column])
+        elif self._partitioning(path) is None:  # an empty first version has no partitions yet
+            self.overwrite(rows.unionByName(self.read(layer, table), allowMissingColumns=True), layer, table, [column])
+        else:
+            self._replace(rows, layer, table, column)
+
+    def finish(self, layer: str, table: str) -> None:
+        """Insert what a killed replacement had still to commit, if anything."""
+        self._insert_pending(layer, table)
+
+    def _insert_pending(self, layer: str, table: str, schema: StructType | None = None) -> None:
         """Insert the merged rows of this merge, or of one that was killed, into their partitions."""
         pending = f"{self.table_path(layer, table)}/{PENDING}"
         fs, at = self._fs(pending)

@@ -66,6 +66,7 @@ def merge_batch(store: sinks.TableStore, staging_root: str, audit_path: str | No
                      F.count_if(F.col("error_message").isNotNull()).alias("records_failed")
                      ).write.mode("overwrite").parquet(path)
         merge_tickets(store, spark.read.schema(norm.schema).parquet(path), PIPELINE, SOURCE)
+        store.remove(path)
         audit(spark, epoch_id, COMPLETED, "success", dict(obs.get))
 
     return process
