@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodline.llm import ships_by_value
-from moodline.llm.tables import written
+from moodline.llm.tables import bucketed, written
 from moodline.llm.textbuf import chunks, window_hash, words
 
 ships_by_value(__name__)
@@ -320,7 +320,7 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
     prefix = min_words - window + 1
     if prefix < select_words or window + select_words - 1 > min_words:
         raise ValueError("min_words must leave room for the window and the selecting words")
-    texts = _keyed(docs)
+    texts = bucketed(_keyed(docs), "doc_id", "version")  # joined by these again and again
     anchors = written(texts.mapInArrow(_anchors(window, select_words, prefix), _ANCHORS))
     found = _grown(texts, _runs(anchors, prefix), window - 1, min_words)
     held = found.groupBy("doc_id", "version").agg(
