@@ -67,7 +67,8 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.classes(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return near_dup.every_document(docs, near_dup.classes(docs))
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
