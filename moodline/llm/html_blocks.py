@@ -8,9 +8,14 @@ words decide only on pages rich in them; on others, in a language without a list
 or full of numbers, blocks of some length with few links are main text. In
 the second pass a waiting block inherits the label of its nearest decided
 neighbours: both sides agree, or the nearer one wins, or, between two equally
-near, main text. Where a page marks its article (article, main or the roles of
-those names), blocks outside it are out and blocks inside it are never out for
-want of stop words.
+near, main text; on a page without any main text so far, all waiting blocks are.
+Where a page marks its article (article, main or the roles of those names),
+blocks outside it are out and blocks inside it are main text unless they stand
+in a place that is out.
+
+Words in a class or id (``sidebar``, ``comments``) put an element out, but not one
+that only tells of its page (``has-sidebar``, ``search-result-page``), holds the
+marked article or, comments apart, holds most of the page's text.
 
 Cases: null and empty pages give an empty text. Unclosed and crossed tags,
 comments and references are read as browsers do; text is never dropped for its
@@ -58,10 +63,13 @@ comments consent cookie cookies disqus footer gdpr masthead menu modal nav navba
 overlay pagination popup promo promoted promotion recommended related replies reply share sharing sidebar signup
 social sponsor sponsored subscribe subscription toolbar widget complementary contentinfo search alert dialog
 """.split())
+# Beside one of those words in one name, they tell of a page or a state; readers' words.
+_STATE_WORDS = frozenset("has have with without no not page layout site body enabled open".split())
+_READER_WORDS = frozenset("comment comments disqus reply replies".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?
-    |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>""", re.S | re.X)
+    |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>"']++|"[^"]{0,2000}+"|'[^']{0,2000}+')*+|[^>]*+)>""", re.S | re.X)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _DENSE = re.compile("[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -80,28 +88,52 @@ class Block:
     heading: bool
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """(marks what is not main text, marks an article)."""
-    out = inside = False
+MOST = 0.5  # of a page's text, in an element that is therefore not out for its name
+
+
+def _named_out(value: str) -> tuple[bool, bool]:
+    """(a name of this class or id puts its element out, as readers' words)."""
+    out = readers = False
+    for name in value.split():
+        parts = {w.lower() for w in _NAME.findall(name)}
+        if parts & _OUT_WORDS and not parts & _STATE_WORDS:
+            out, readers = True, readers or bool(parts & _READER_WORDS)
+    return out, readers
+
+
+def _marks(attributes: str) -> tuple[bool, bool, bool, bool]:
+    """(hidden or of a role that is out, out by name, by readers' words, marks an article)."""
+    out = named = readers = inside = False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             out = True
         elif name == "style":
             out |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
+        elif name == "role":
+            out |= value.lower() in _OUT_WORDS
+            inside |= value.lower() in ("main", "article")
         else:
-            found = {w.lower() for w in _NAME.findall(value)}
-            out |= bool(found & _OUT_WORDS)
-            inside |= name == "role" and value.lower() in ("main", "article")
-    return out, inside
+            found, by = _named_out(value)
+            named, readers = named or found, readers or by
+    return out, named, readers, inside
 
 
 def blocks(page: str) -> list[Block]:
     done: list[Block] = []
+    held: list[int] = []  # per block: the nearest element around it that is out by name, -1: none
     parts: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # tag, out, inside an article
+    # tag, out, inside an article, nearest element that is out by name
+    stack: list[tuple[str, bool, bool, int]] = []
+    places: dict[str, list[int]] = {}  # open tags by name
+    open_blocks: list[int] = []
     out = inside = False
+    named = -1
+    around: list[int] = []  # of every element that is out by name: the next one around it
+    readers: list[bool] = []  # and whether by readers' words
+    cleared: set[int] = set()  # those that are not out, after all
+    article = False
     links = 0
     breaks = 0
 
@@ -111,14 +143,19 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 done.append(Block(text, linked, out, inside, any(t in _HEADINGS for t, *_ in stack[-3:])))
+                held.append(named)
             parts.clear()
         linked = 0
 
     def pop_to(at: int) -> None:
-        nonlocal out, inside, links
-        links -= sum(1 for t, *_ in stack[at:] if t == "a")
-        del stack[at:]
-        out, inside = stack[-1][1:] if stack else (False, False)
+        nonlocal out, inside, links, named
+        while len(stack) > at:
+            tag = stack.pop()[0]
+            links -= tag == "a"
+            places[tag].pop()
+            if open_blocks and open_blocks[-1] == len(stack):
+                open_blocks.pop()
+        out, inside, named = stack[-1][1:] if stack else (False, False, -1)
 
     def add(text: str) -> None:
         nonlocal linked, breaks
@@ -130,23 +167,24 @@ def blocks(page: str) -> list[Block]:
                 breaks = 0
 
     at, end = 0, len(page)
+    last = page.rfind(">")
     while at < end:
-        m = _TOKEN.search(page, at)
+        # Beyond the last closing bracket no tag ends, and nothing but a comment is left to find.
+        m = _TOKEN.search(page, at) if at <= last else re.compile(r"<!--.*|<[!?].*", re.S).search(page, at)
         if m is None:
             add(page[at:])
             break
         add(page[at:m.start()])
         at = m.end()
-        tag = m["tag"]
+        tag = m["tag"] if at <= last + 1 and m.re is _TOKEN else None
         if tag is None:
             continue
         tag = tag.lower()
         if m["end"]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if tag in _BLOCK:
                 close()
-            if place is not None and (tag in _BLOCK or not any(t in _BLOCK for t, *_ in stack[place + 1:])):
-                pop_to(place)
+            if places.get(tag) and (tag in _BLOCK or not open_blocks or open_blocks[-1] < places[tag][-1]):
+                pop_to(places[tag][-1])
             continue
         if tag == "br":
             breaks += 1
@@ -168,11 +206,20 @@ def blocks(page: str) -> list[Block]:
                     break
         if tag in _VOID:
             continue
-        marked_out, marked_in = _marks(m["more"]) if m["more"] else (False, False)
+        marked_out, by_name, by_readers, marked_in = _marks(m["more"]) if m["more"] else (False,) * 4
+        starts_article = marked_in or tag in ("article", "main")
         if tag in ("html", "body", "article", "main"):
             marked_out = False
         elif not inside:
             marked_out |= tag == "header" or "header" in _NAME.findall(m["more"].lower())
+        if starts_article and not out and not marked_out and not article and not by_name:
+            k = named
+            while k >= 0:  # what holds the article is not out for its name
+                cleared.add(k)
+                k = around[k]
+            article = True
+        if tag in ("html", "body", "article", "main"):
+            by_name = False
         if tag in ("svg", "math") and m["more"].endswith("/"):
             continue
         if tag in _RAW:
@@ -181,11 +228,30 @@ def blocks(page: str) -> list[Block]:
             continue
         if m["more"].endswith("/"):
             continue
-        stack.append((tag, out or marked_out or tag in _OUT_TAGS,
-                      inside or marked_in or tag in ("article", "main")))
-        out, inside = stack[-1][1:]
+        if by_name:
+            readers.append(by_readers)
+            around.append(named)
+            named = len(around) - 1
+        places.setdefault(tag, []).append(len(stack))
+        if tag in _BLOCK:
+            open_blocks.append(len(stack))
+        stack.append((tag, out or marked_out or tag in _OUT_TAGS, inside or starts_article, named))
+        out, inside, named = stack[-1][1:]
         links += tag == "a"
     close()
+    total = sum(len(b.text) for b in done if not b.out)
+    size = [0] * (len(around) + 1)  # the last entry gathers what lies in none
+    for b, k in zip(done, held, strict=True):
+        if not b.out:
+            size[k] += len(b.text)
+    for k in range(len(around) - 1, -1, -1):  # elements come after those around them
+        size[around[k]] += size[k]
+    named_out = [False] * (len(around) + 1)
+    for k, outer in enumerate(around):
+        own = k not in cleared and (article or readers[k] or size[k] <= MOST * total)
+        named_out[k] = own or named_out[outer]
+    for b, k in zip(done, held, strict=True):
+        b.out |= named_out[k]
     return done
 
 
@@ -209,7 +275,7 @@ def first_pass(found: list[Block]) -> list[bool | None]:
         density = b.linked / max(1, len(b.text.replace(" ", "")))
         if b.out or marked and not b.inside:
             labels.append(False)
-        elif density > (0.9 if b.inside else LINKS):
+        elif density > LINKS and not b.inside:
             labels.append(False)
         else:
             labels.append(None)
@@ -260,7 +326,10 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(page)
-    keep = second_pass(found, first_pass(found))
+    labels = first_pass(found)
+    keep = second_pass(found, labels)
+    if not any(keep):
+        keep = [label is None for label in labels]
     return "\n".join(b.text for b, k in zip(found, keep, strict=True) if k)
 
 

@@ -56,6 +56,30 @@ def test_blocks_without_stop_words_between_main_text_stay():
     assert hb.main_text(f"<body><p>{LONG}</p><pre>{code}</pre><p>{LONG}</p>").split("\n")[1] == code.strip()
 
 
+@pytest.mark.parametrize("wrapper", ['class="layout has-sidebar"', 'class="post with-comments"', 'id="search-result-page"', 'class="widget"'])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_what_holds_the_article_is_not_out_for_its_name(wrapper, tag):
+    page = (f"<body><div {wrapper}><{tag}><p>{LONG}</p><p><a href=x>{LONG}</a></p><ul><li><a href=y>one</a><li><a href=z>two</a></ul>"
+            f"<div class='share-buttons'>Share</div></{tag}><div class='comment-list'><article class='comment'><p>{LONG}</p></article></div></div>")
+    assert hb.main_text(page).split("\n") == [LONG.strip(), LONG.strip(), "one", "two"]
+
+
+def test_names_on_unmarked_pages():
+    rest = f"<div class='left-sidebar'><p>{LONG}</p></div><div id='comments'>{f'<p>{LONG}</p>' * 9}</div>"
+    assert hb.main_text(f"<body><div class='social-news'><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div></body>").count("story") == 3
+    assert hb.main_text(f"<body><div class='page no-sidebar'><p>{LONG}</p></div>{rest}") == LONG.strip()
+    assert hb.main_text("<p>Hello world.</p>") == "Hello world."
+    assert hb.main_text("<nav>Menu</nav><p><a href=x>Link</a></p>") == ""
+
+
+@pytest.mark.parametrize("piece", ["<div></span>", '<a x="', "<div><b></i>", "<div class='a b'><i>x</u></p>", "</div>", "<b><i></b>", '<a x=">', "<!-", "<p"])
+def test_long_broken_pages_take_linear_time(piece):
+    import time
+    start = time.process_time()
+    hb.main_text(piece * (5_000_000 // len(piece)))
+    assert time.process_time() - start < 60
+
+
 @pytest.mark.parametrize("tag", ["svg", "math"])
 def test_self_closing_foreign_elements_are_empty(tag):
     assert hb.main_text(f'<p>{LONG}</p><{tag} class="i"/><p>{LONG}</p><{tag}><p>no</p></{tag}>') == "\n".join([LONG.strip()] * 2)
