@@ -14,7 +14,8 @@ Cases: vectors that are null, empty, or hold null or non-finite components, and
 rows without vec_id, take no part. Rows that repeat a vec_id with one vector
 are one row; a query never meets rows of its own vec_id. Shorter vectors count
 as padded with zeros. Ties go to the smaller vec_id. Components beyond 2^20 in
-size are scored with Python's integers; scores must fit 64 bits.
+size are scored with Python's integers; a score that does not fit 64 bits counts, and is given, as the least or
+largest that does.
 """
 
 from __future__ import annotations
@@ -74,6 +75,9 @@ def top_k(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, query: np.nda
         depth = min(n, depth * 2)
 
 
+_LEAST, _MOST = -2 ** 63, 2 ** 63 - 1  # a score beyond counts as the bound it passes
+
+
 def _block(k: int):
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
@@ -92,7 +96,7 @@ def _block(k: int):
             x, q = matrix(vectors["v"]), matrix(queries["v"])
             ids, lists = vectors["vec_id"].to_numpy(np.int64), sorted_lists(x)
             for own, vector in zip(queries["vec_id"].to_numpy(np.int64), q, strict=True):
-                out += [(int(own), i, s) for s, i in top_k(x, ids, lists, vector, own, k)]
+                out += [(int(own), i, min(max(s, _LEAST), _MOST)) for s, i in top_k(x, ids, lists, vector, own, k)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
     return run
 

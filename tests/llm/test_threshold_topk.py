@@ -43,6 +43,14 @@ def test_ties_and_unusable_vectors(spark):
     assert _got(df.where("false")) == set()
 
 
+def test_scores_beyond_64_bits_are_bounded(spark):
+    big = float(2 ** 54)  # 2^62 once scaled
+    rows = [(0, [big, big]), (1, [big, 0.0]), (2, [-big, -big]), (3, [0.25, 0.5]), (4, [2 * big, big])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["rank"], r["vec_id"], r["score"]) for r in tt.search(df, tt.F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert [v for _, v, _ in got] == [1, 3, 4, 2] and [s for *_, s in got] == [2 ** 63 - 1] * 3 + [-2 ** 63]
+
+
 @pytest.mark.parametrize("skew", [False, True])
 def test_stops_early_only_when_exact(skew):
     rng = np.random.default_rng(4)
