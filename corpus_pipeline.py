@@ -3,19 +3,20 @@
 ``STAGES`` runs language identification, near-duplicate removal, removal of
 repeated passages, source mixing and packing, in that order. Every stage works
 on all its predecessor kept; its result is written and read again for the next.
-All but the last return the columns of ``documents``.
+All but the last return the columns of ``documents``. Tables that a stage wrote
+on its way are removed when the next one starts, unless its input reads them.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moodline.llm import language_id, mixing, near_dup, packing, passage_dedup
+from moodline.llm import language_id, mixing, near_dup, packing, passage_dedup, tables
 from moodline.llm.queries import language_model, tokenizer_files
-from moodline.llm.tables import written
 from moodline.session import configure
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -68,9 +69,30 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL: str | None = None
 
 
+_left: list[str] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    """``stage``, which first removes what the stages before it left in the checkpoint folder."""
+    @functools.wraps(stage)
+    def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        gone = [path for path in _left if not any(f"/{path.rpartition('/')[2]}/" in f for f in read)]
+        tables.remove(spark, *gone)
+        _left[:] = [path for path in _left if path not in gone]
+        with tables.scope() as paths:
+            found = stage(spark, docs, sf_dir)
+        _left.extend(paths)
+        return found
+    return tidied
+
+
+STAGES = [(name, _tidy(stage)) for name, stage in STAGES]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        docs = tables.written(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
