@@ -311,16 +311,15 @@ def _grown(texts: DataFrame, runs: DataFrame, reach: int, min_words: int) -> Dat
         reach *= 8
 
 
-def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
+def matches(texts: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
             select_words: int = SELECT_WORDS) -> DataFrame:
-    """Per (doc_id, version): list of matches with an earlier place, extended.
+    """Per (doc_id, version) of ``keyed_texts``: list of matches with an earlier place, extended.
 
     A match holds word range [lo, hi), shift to the earlier place and first_doc.
     """
     prefix = min_words - window + 1
     if prefix < select_words or window + select_words - 1 > min_words:
         raise ValueError("min_words must leave room for the window and the selecting words")
-    texts = bucketed(_keyed(docs), "doc_id", "version")  # joined by these again and again
     anchors = written(texts.mapInArrow(_anchors(window, select_words, prefix), _ANCHORS))
     found = _grown(texts, _runs(anchors, prefix), window - 1, min_words)
     held = found.groupBy("doc_id", "version").agg(
@@ -343,16 +342,19 @@ def matches(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
                                                 nothing.alias("right"))).alias("__matches")))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return (docs.where("doc_id is not null and text is not null")
-            .select("doc_id", F.xxhash64(F.lit(4), "text").alias("version"), "text"))
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """Texts in buckets of (doc_id, version), by which they are joined again and again; the version is the text's hash."""
+    keyed = (docs.where("doc_id is not null and text is not null")
+             .select("doc_id", F.xxhash64(F.lit(4), "text").alias("version"), "text"))
+    return bucketed(keyed, "doc_id", "version")
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
             select_words: int = SELECT_WORDS) -> DataFrame:
     """One row per repeated passage: doc_id, start_word, n_words, first_doc_id, first_start_word."""
-    found = matches(docs, min_words, window, select_words)
-    return (_keyed(docs).join(found.hint("merge"), ["doc_id", "version"])
+    texts = keyed_texts(docs)
+    found = matches(texts, min_words, window, select_words)
+    return (texts.join(found.hint("merge"), ["doc_id", "version"])
             .mapInArrow(_extended(window - 1, min_words, False),
                         "doc_id long, start_word int, n_words int, first_doc_id long, first_start_word int")
             .distinct())
@@ -361,7 +363,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW,
                     select_words: int = SELECT_WORDS) -> DataFrame:
     """``docs`` with every repeat of an earlier passage cut from its text; all rows and columns stay."""
-    found = (matches(docs, min_words, window, select_words)
+    found = (matches(keyed_texts(docs), min_words, window, select_words)
              .select(F.col("doc_id").alias("__id"), F.col("version").alias("__version"), "__matches"))
     keyed = docs.withColumn("__own", F.xxhash64(F.lit(4), "text"))
     joined = keyed.join(found.hint("merge"), (F.col("doc_id") == F.col("__id")) & (F.col("__own") == F.col("__version")), "left")
