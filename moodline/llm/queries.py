@@ -42,7 +42,7 @@ def tokenizer_files() -> tuple[str, str]:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return fingerprint.fingerprints(read_table(spark, sf_dir, "documents", "doc_id", "text")).drop("edited_diff", "next_diff")
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,8 +57,23 @@ def test_edges(docs_of):
 def test_peeling_recovers_or_says_so(spark, cells, load, recovered):
     df = spark.range(20).select(F.transform(F.sequence(F.lit(1), F.lit(load)), lambda i: F.xxhash64(i, "id")).alias("x"))
     entries = "transform(x, d -> named_struct('s', if(d % 2 = 0, 1, -1), 'd', d))"
-    got = [r[0] for r in df.select(F.expr(fp.peel_sql(fp.table_sql(entries, cells), cells))).collect()]
-    assert (sum(g == load for g in got) >= 17) if recovered else set(got) == {-1}
+    rows = df.select("x", F.expr(fp.peel_sql(fp.table_sql(entries, cells), cells)).alias("got")).collect()
+    whole = [r["got"] is not None and sorted((e["d"], e["s"]) for e in r["got"])
+             == sorted((d, -1 if d % 2 else 1) for d in r["x"]) for r in rows]
+    assert (sum(whole) >= 17) if recovered else {r["got"] for r in rows} == {None}
+
+
+@pytest.mark.parametrize("parameters", [{}, {"retries": 0, "cells": 3}, {"per_table": 500, "cells": 6, "retries": 1}])
+def test_difference_is_the_set_difference(spark, parameters):
+    """Also where every peeling fails and the last resort compares digest by digest."""
+    sides = [(list(range(i, 3 * i)), list(range(2 * i, 2 * i + n))) for i, n in ((0, 0), (1, 4), (5, 9), (40, 1), (300, 310))]
+    sides.append((list(range(500)), list(range(1, 503))))
+    df = spark.createDataFrame(sides, "a array<long>, b array<long>").select(
+        *(F.transform(c, lambda x: F.xxhash64(x)).alias(c) for c in ("a", "b")))
+    df = df.select("*", fp.table("a").alias("ta"), fp.table("b").alias("tb"))
+    for r in df.select("a", "b", fp.difference("a", "b", "ta", "tb", **parameters).alias("got")).collect():
+        a, b = set(r["a"]), set(r["b"])
+        assert sorted((e["s"], e["d"]) for e in r["got"]) == sorted([(1, d) for d in a - b] + [(-1, d) for d in b - a])
 
 
 def test_next_ids(spark):
