@@ -60,6 +60,104 @@ TEMPLATES = {
     "isc-text": "permission to use copy modify and [[or]] distribute this software for any purpose with or without "
                 "fee is hereby granted provided that the above copyright notice and this permission notice appear in "
                 "all copies",
+    "mit-full": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and "
+        "associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do "
+        "so subject to the following conditions the above copyright notice and this permission notice "
+        "[[including the next paragraph]] shall be included in all copies or substantial portions of the "
+        "software the software is provided as is without warranty of any kind express or implied "
+        "including but not limited to the warranties of merchantability fitness for a particular purpose "
+        "and noninfringement in no event shall {{holders:10}} be liable for any claim damages or other "
+        "liability whether in an action of contract tort or otherwise arising from out of or in "
+        "connection with the software or the use or other dealings in the software"),
+    "bsd-2-full": (
+        "redistribution and use in source and binary forms with or without modification are permitted "
+        "provided that the following conditions are met {{number:1}} redistributions of source code must "
+        "retain the above copyright notice this list of conditions and the following disclaimer "
+        "{{number:1}} redistributions in binary form must reproduce the above copyright notice this list "
+        "of conditions and the following disclaimer in the documentation and or other materials provided "
+        "with the distribution this software is provided by {{holders:12}} as is and any express or "
+        "implied warranties including but not limited to the implied warranties of merchantability and "
+        "fitness for a particular purpose are disclaimed in no event shall {{holders:12}} be liable for "
+        "any direct indirect incidental special exemplary or consequential damages including but not "
+        "limited to procurement of substitute goods or services loss of use data or profits or business "
+        "interruption however caused and on any theory of liability whether in contract strict liability "
+        "or tort including negligence or otherwise arising in any way out of the use of this software "
+        "even if advised of the possibility of such damage"),
+    "bsd-3-full": (
+        "redistribution and use in source and binary forms with or without modification are permitted "
+        "provided that the following conditions are met {{number:1}} redistributions of source code must "
+        "retain the above copyright notice this list of conditions and the following disclaimer "
+        "{{number:1}} redistributions in binary form must reproduce the above copyright notice this list "
+        "of conditions and the following disclaimer in the documentation and or other materials provided "
+        "with the distribution {{number:1}} neither the name of {{holders:12}} nor the names of "
+        "{{holders:4}} contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission this software is provided by {{holders:12}} as is and "
+        "any express or implied warranties including but not limited to the implied warranties of "
+        "merchantability and fitness for a particular purpose are disclaimed in no event shall "
+        "{{holders:12}} be liable for any direct indirect incidental special exemplary or consequential "
+        "damages including but not limited to procurement of substitute goods or services loss of use "
+        "data or profits or business interruption however caused and on any theory of liability whether "
+        "in contract strict liability or tort including negligence or otherwise arising in any way out of "
+        "the use of this software even if advised of the possibility of such damage"),
+    "isc-full": (
+        "permission to use copy modify and [[or]] distribute this software for any purpose with or "
+        "without fee is hereby granted provided that the above copyright notice and this permission "
+        "notice appear in all copies the software is provided as is and {{holders:8}} disclaims all "
+        "warranties with regard to this software including all implied warranties of merchantability and "
+        "fitness in no event shall {{holders:8}} be liable for any special direct indirect or "
+        "consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in "
+        "connection with the use or performance of this software"),
+    "zlib-full": (
+        "this software is provided as is without any express or implied warranty in no event will the "
+        "{{holders:6}} be held liable for any damages arising from the use of this software permission is "
+        "granted to anyone to use this software for any purpose including commercial applications and to "
+        "alter it and redistribute it freely subject to the following restrictions {{number:1}} the "
+        "origin of this software must not be misrepresented you must not claim that you wrote the "
+        "original software if you use this software in a product an acknowledgment in the product "
+        "documentation would be appreciated but is not required {{number:1}} altered source versions must "
+        "be plainly marked as such and must not be misrepresented as being the original software "
+        "{{number:1}} this notice may not be removed or altered from any source distribution"),
+    "apache-header-full": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in "
+        "compliance with the license you may obtain a copy of the license at {{url:8}} unless required by "
+        "applicable law or agreed to in writing software distributed under the license is distributed on "
+        "an as is basis without warranties or conditions of any kind either express or implied see the "
+        "license for the specific language governing permissions and limitations under the license"),
+    "gpl-header-full": (
+        "is free software you can redistribute it and or modify it under the terms of the gnu general "
+        "public license as published by the free software foundation either version {{number:1}} of the "
+        "license or [[at your option]] any later version {{program:6}} is distributed in the hope that it "
+        "will be useful but without any warranty without even the implied warranty of merchantability or "
+        "fitness for a particular purpose see the gnu general public license for more details you should "
+        "have received a copy of the gnu general public license along with {{program:6}} if not"),
+    "lgpl-header-full": (
+        "is free software you can redistribute it and or modify it under the terms of the gnu lesser "
+        "general public license as published by the free software foundation either version {{number:2}} "
+        "of the license or [[at your option]] any later version {{program:6}} is distributed in the hope "
+        "that it will be useful but without any warranty without even the implied warranty of "
+        "merchantability or fitness for a particular purpose see the gnu lesser general public license "
+        "for more details"),
+    "agpl-header-full": (
+        "is free software you can redistribute it and or modify it under the terms of the gnu affero "
+        "general public license as published by the free software foundation either version {{number:1}} "
+        "of the license or [[at your option]] any later version {{program:6}} is distributed in the hope "
+        "that it will be useful but without any warranty without even the implied warranty of "
+        "merchantability or fitness for a particular purpose see the gnu affero general public license "
+        "for more details"),
+    "mpl-header": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of "
+        "the mpl was not distributed with this file you can obtain one at {{url:8}}"),
+    "unlicense": (
+        "this is free and unencumbered software released into the public domain anyone is free to copy "
+        "modify publish use compile sell or distribute this software either in source code form or as a "
+        "compiled binary for any purpose commercial or non commercial and by any means"),
+    "cc-notice": (
+        "licensed under [[a]] [[the]] creative commons attribution [[noncommercial]] [[sharealike]] "
+        "[[noderivatives]] [[noderivs]] {{number:2}} [[international]] [[unported]] [[generic]] license"),
 }
 
 ANY = 0

@@ -33,6 +33,50 @@ def test_mandatory_wording_must_match_exactly():
     assert not _accepts(gpl, "licensed under the GNU Lesser General Public License")
 
 
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+   disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of Example, Inc. nor the names of its contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT
+SHALL EXAMPLE, INC. BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)
+HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def test_whole_wordings():
+    three, two = ls.TEMPLATES["bsd-3-full"], ls.TEMPLATES["bsd-2-full"]
+    clause = BSD[BSD.index("3. Neither"):BSD.index("THIS SOFTWARE")]
+    assert _accepts(three, BSD) and not _accepts(two, BSD)
+    assert _accepts(two, BSD.replace(clause, "")) and not _accepts(three, BSD.replace(clause, ""))
+    assert _accepts(three, BSD.replace("1. ", "").replace("2. ", "* ").replace("3. ", "(c) "))
+    assert not _accepts(three, BSD.replace("TORT", "FORT")) and not _accepts(three, BSD[:-10])
+    assert not _accepts(three, BSD.replace("EXAMPLE, INC.", "x " * 13))
+
+
+@pytest.mark.parametrize("label", sorted(ls.TEMPLATES))
+def test_each_template_accepts_its_own_wording_only(label):
+    """With every optional part in and out, replaceable ones filled and empty; not with a mandatory word changed."""
+    import re
+
+    template = ls.TEMPLATES[label]
+    with_all = re.sub(r"[{][{]\w+:(\d+)[}][}]", lambda m: "x " * int(m[1]), template.replace("[[", "").replace("]]", ""))
+    bare = re.sub(r"[{][{].*?[}][}]", "", re.sub(r"\[\[.*?\]\](?!\])", "", template))
+    if "]]" not in bare:  # a nested optional part
+        assert _accepts(template, bare)
+        for k in (0, len(bare.split()) // 2, len(bare.split()) - 1):
+            changed = bare.split()
+            changed[k] = "qqq"
+            assert not _accepts(template, " ".join(changed))
+    assert _accepts(template, with_all)
+
+
 @pytest.mark.parametrize("bad", ["[[a b", "{{x:3}}"])
 def test_bad_template(bad):
     with pytest.raises(ValueError):
