@@ -194,8 +194,13 @@ def mix(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = S
 
 
 def mixed(docs: DataFrame, **parameters) -> DataFrame:
-    """``docs`` as the mix takes them: a document stands in it as often as it is taken, others go."""
-    version = F.xxhash64(F.lit(2), "text")
+    """``docs`` as the mix takes them: a document stands in it as often as it is taken, others go.
+
+    Rows that differ in any column (of a type that has a hash) are documents of their own.
+    """
+    hashed = [f"`{f.name}`" for f in docs.schema.fields
+              if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    version = F.xxhash64(F.lit(2), *hashed, *(F.col(c).isNull() for c in hashed))
     sized = sizes(docs.select("doc_id", "source", version.alias("version"), "text"))
     taken = (mix(sized, **parameters).groupBy("doc_id", "source", "version")
              .agg(F.sum("copies").cast("int").alias("__copies")).where("__copies > 0")

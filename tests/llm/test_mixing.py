@@ -65,3 +65,12 @@ def test_edges(docs_of):
     assert out.columns == docs.columns and all(r["text"] for r in out.collect())
     assert mx.mix(mx.sizes(docs)).count() == 6
     assert mx.mixed(docs.where("false")).count() == 0
+
+
+def test_mixed_keeps_rows_that_differ_elsewhere(docs_of):
+    """Rows equal in doc_id, source and text but not in lang stand for themselves; equal rows are counted."""
+    rows = [(1, "a b c", lang, "s") for lang in ("en", "de", "fr", None)] + [(2, "d e", "en", "s")] * 3
+    out = mx.mixed(docs_of(rows).select("doc_id", "text", "lang", "source")).collect()
+    taken = {(r["doc_id"], r["lang"]) for r in out}
+    # 150% of the source's words are taken and none more than twice, so at least three of four versions stand in the mix
+    assert len({lang for i, lang in taken if i == 1}) >= 3
