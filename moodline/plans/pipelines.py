@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from moodline.operators import ingest, quality
 from moodline.session import checkpoint_dir, configure
-from moodline.sources import landed, sinks
+from moodline.sources import landed, pages, sinks
 from moodline.sources.schemas import FAILED_RECORDS
 
 RAW = "raw_zone"
@@ -167,18 +167,29 @@ def run_ticket_ingestion(spark: SparkSession, store: sinks.TableStore, landing:
                          audit_path: str | None = None, run_id: str | None = None,
                          load_id: str | None = None, whole_files: bool = True,
                          on_malformed: str = "dead_letter",
-                         initial_cursor: str | None = INITIAL_TICKETS_CURSOR) -> RunResult:
+                         initial_cursor: str | None = INITIAL_TICKETS_CURSOR, page_source: bool = False) -> RunResult:
     """T1 in batch form: new landed ticket payloads -> raw_tickets + dead letters.
 
-    ``on_malformed='fail'`` raises while staging, before any merge.
+    ``on_malformed='fail'`` raises while staging, before any merge. With
+    ``page_source`` whole pages come through the ``ticket_pages`` data source,
+    which applies the cursor itself: older records are skipped and counted
+    there, before validation.
     """
     pipeline = "tickets_pipeline"
 
     def work(res: RunResult, files: list[str], cursor: str | None) -> None:
-        payloads = (landed.read_ticket_payloads(spark, files) if whole_files else
-                    spark.read.text(files).select("value", F.col("_metadata.file_path").alias("_source")))
-        norm = ingest.normalize_tickets(landed.unwrap_payloads(payloads), res.load_id, on_malformed=on_malformed)
+        seen = None
+        if page_source:
+            rows, seen = pages.read_pages(spark, files, cursor)
+        else:
+            payloads = (landed.read_ticket_payloads(spark, files) if whole_files else
+                        spark.read.text(files).select("value", F.col("_metadata.file_path").alias("_source")))
+            rows = landed.unwrap_payloads(payloads)
+        norm = ingest.normalize_tickets(rows, res.load_id, on_malformed=on_malformed)
         staged, stage = _stage(spark, norm, ingest.passes_cursor(norm, "created_at", cursor, inclusive=True), res)
+        if seen is not None:
+            res.skipped += seen.get["skipped"]
+            res.received += seen.get["skipped"]
         res.tables |= merge_tickets(store, staged, pipeline, "ticket_api")
         _advance_cursor(store, ingest.good_rows(staged), "tickets", "created_at")
         store.remove(stage)

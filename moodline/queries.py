@@ -20,7 +20,7 @@ from moodline.plans import dag
 from moodline.plans import incremental as incremental_plan
 from moodline.plans import pipelines
 from moodline.session import checkpoint_dir, configure
-from moodline.sources import derived, landed, sinks
+from moodline.sources import derived, landed, pages, sinks
 from moodline.sources.sinks import TableStore
 from moodline.streaming.newest import ProgressAudit, start_newest_tickets, stream_progress
 from moodline.streaming.tickets import start_heatmap, start_ticket_merge
@@ -130,6 +130,7 @@ TICKET_CURSOR = "2024-01-15T00:00:00Z"        # I1, boundary kept
 ORDER_CURSOR = "2024-01-15T00:00:00+00:00"    # I2, strictly newer
 FIRST_LOAD_BEFORE = "2024-01-20 00:00:00"      # merge target: earlier load
 SECOND_LOAD_FROM = "2024-01-10 00:00:00"       # merge batch: overlapping re-delivery
+PAGE_CURSOR = "2024-01-15 00:00:00"          # the same instant, as a condition
 RERUN_AT = "2024-02-02 00:00:00"
 TICKET_PIPELINE, TICKET_SOURCE = "tickets_pipeline", "ticket_api"
 ORDER_PIPELINE, ORDER_SOURCE = "orders_pipeline", "orders_csv"
@@ -199,6 +200,33 @@ def q_whole_files(spark, sf_dir):
                           canonical_text(F.col("record")).alias("record_text"))
 
 
+def _land_pages(spark, sf_dir) -> str:
+    path = _scratch(spark, "landing/pages")
+    payloads = derived.ticket_payloads(derived.read_table(spark, sf_dir, "events"))
+    payloads.select("value", F.col("_source").alias("page")).repartition("page").write.partitionBy("page").text(path)
+    return path
+
+
+@query("page_source_after_cursor")
+def q_page_source(spark, sf_dir):
+    """S1 + S3 + I1 as a data source: the cursor is a condition pushed into it."""
+    pages.register(spark)
+    rows = spark.read.format(pages.FORMAT).load(_land_pages(spark, sf_dir)).where(F.col("created_at") >= _ts(PAGE_CURSOR))
+    return rows.select(F.regexp_extract("_source", r"page=([^/]+)/", 1).alias("page"), "_pos", "created_at",
+                       canonical_text(F.try_parse_json("record")).alias("record_text"))
+
+
+@query("page_source_ingestion")
+def q_page_ingestion(spark, sf_dir):
+    """S1 + I1 + A6: a run over whole-file pages through the data source; its audit event counts what the cursor skipped."""
+    root = _scratch(spark, "warehouse")
+    pipelines.run_ticket_ingestion(spark, TableStore(spark, root, merge_buckets=8), _land_pages(spark, sf_dir),
+                                   audit_path=f"{root}/audit", run_id="pages-1", load_id="load-1", page_source=True,
+                                   initial_cursor=TICKET_CURSOR)
+    done = spark.read.json(f"{root}/audit").where("event_type = 'pipeline_completed'")
+    return done.select("status", *(F.col(f"details.records_{c}").cast("long").alias(c) for c in ("processed", "failed", "skipped")))
+
+
 @query("normalized_tickets")
 def q_normalized_tickets(spark, sf_dir):
     """V1 + V3 + P4: every record, typed, with its first error (or NULL)."""
