@@ -16,7 +16,7 @@ def _lower(t):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
 
 
-def brute_classes(rows: list[tuple[int, str | None]]) -> dict[int, int]:
+def brute_classes(rows: list[tuple[int, str | None]], most: float = 3.0) -> dict[int, int]:
     n = len(rows)
     bags = {}
     for i, t in rows:
@@ -26,7 +26,7 @@ def brute_classes(rows: list[tuple[int, str | None]]) -> dict[int, int]:
     df = Counter(s for b in bags.values() for s in b)
 
     def weight(s, tf):
-        idf = 1 + math.log(min(3.0, n / df[s]))
+        idf = 1 + math.log(min(most, n / df[s]))
         return math.exp(round(16 * math.log((1 + math.log(tf)) * idf)) / 16)
 
     weighed = {i: {s: weight(s, c) for s, c in b.items()} for i, b in bags.items()}
@@ -139,6 +139,35 @@ def test_common_shingles_get_their_exact_idf(docs_of):
     assert len(idf["gram"]) == 4 and idf["idf"] == pytest.approx([1 + math.log(60 / 40)] * 4)
 
 
+def test_rare_shingles_get_their_exact_idf(spark, docs_of, monkeypatch):
+    """Every shingle weighs by the documents that hold it, whatever blocks and ranges count it."""
+    words = [f"s{j}" for j in range(53)]
+    rows = [(i, " ".join(words[:25] + [f"w{i}"] + words[25:])) for i in range(4)]
+    rows += [(100 + i, " ".join(f"u{i}x{j}" for j in range(60))) for i in range(200)]
+    rows += [(300, None), (None, rows[0][1])]
+    docs = docs_of(rows).repartition(7)
+    # Four texts that differ in one word: alike by counts, not once that word's shingles weigh by ln(N / 1).
+    named = [r for r in rows if r[0] is not None]
+    saturated = {r["doc_id"]: r["class_id"] for r in nd.classes(docs).collect()}
+    assert len(set(saturated.values())) == 201
+    monkeypatch.setattr(nd, "BLOCK_BYTES", 2000)
+    exact = {r["doc_id"]: r["class_id"] for r in nd.classes(docs, common_share=0).collect()}
+    assert exact == brute_classes(named, math.inf) and len(set(exact.values())) == 204
+    weights = nd.Weights(docs, 0)
+    assert weights.n == 206 and weights.df.select("block").distinct().count() > 4
+    got = {}
+    for r in weights.df.collect():
+        df = np.frombuffer(r["df"], np.int64).tolist()
+        got |= {(r["range"], r["grams"][6 * i:6 * i + 6]): n for i, n in enumerate(df)}
+    assert sorted(got.values()) == [2] * 5 + [5] * 45
+
+
+def test_exact_idf_matches_brute_force(docs_of):
+    rows = _texts()
+    got = {r["doc_id"]: r["class_id"] for r in nd.classes(docs_of(rows), small_bucket=4, common_share=0).collect()}
+    assert got == brute_classes(rows, math.inf)
+
+
 def test_sampling_collides_as_often_as_the_similarity():
     import numpy as np
     rng = np.random.default_rng(3)
