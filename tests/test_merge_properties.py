@@ -79,3 +79,12 @@ def test_merge_matches_brute_force(spark, target, batch):
     got = merge.merge_by_key(t, frame(batch, 100), "k", _order()).collect()
     assert {r.k: r.v for r in got} == {k: v for k, (_, v) in want.items()}
     assert len(got) == len(want)
+
+
+def test_records_of_a_merge_are_parsed_once(spark, scratch):
+    from moodline import queries
+    spark.range(300).selectExpr("id as event_id", "cast(timestamp'2024-01-05 00:00:00' + make_dt_interval(cast(id % 20 as int)) as timestamp_ntz) as ts",
+                                "id % 7 as user_id", "'view' as event_type").write.parquet(f"{scratch}/events.parquet")
+    merged = queries.REGISTRY["merge_tickets"](spark, scratch)
+    assert "parse_json" not in merged._jdf.queryExecution().analyzed().toString()
+    assert merged.count() == merged.select("ticket_id").distinct().count() > 100
