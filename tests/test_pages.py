@@ -113,3 +113,16 @@ def test_stream_reads_each_page_once(spark, landing, scratch):
         f.write('[{"id": 5}]')
     assert drain() == [*first, ("z.json", 0)]
     assert drain() == [*first, ("z.json", 0)]
+
+
+def test_landed_pages_lie_in_few_folders(spark, scratch):
+    rows = [(f'[{{"id": {i}}}]', f"page-{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "value string, page string").repartition(3)
+    for _ in range(2):  # landing again replaces files
+        pages.land(df, f"{scratch}/land")
+    found = [(d, n) for d, _, names in os.walk(f"{scratch}/land") for n in names if not n.startswith(".")]
+    assert sorted(n for _, n in found) == sorted(f"page=page-{i}.json" for i in range(300))
+    assert len({d for d, _ in found}) <= pages.FOLDERS
+    texts = landed.read_ticket_payloads(spark, f"{scratch}/land/*")
+    assert sorted(r.value.strip() for r in texts.collect()) == sorted(v for v, _ in rows)
+    assert spark.read.format(pages.FORMAT).load(f"{scratch}/land").count() == 300
