@@ -120,3 +120,32 @@ def test_only_the_first_line_is_the_header(spark, scratch):
         fh.write('id,note\n1,"open\n2,x\n')
     with pytest.raises(Exception, match="unpaired quotes"):
         landed.read_orders_csv(spark, f"{scratch}/c.csv").collect()
+
+
+def test_records_that_span_chunks_of_lines(spark, scratch, monkeypatch):
+    import csv
+
+    from moodline.sources import landed
+    monkeypatch.setattr(landed, "CHUNK_LINES", 4)
+    rows = [(str(i), "x" if i % 3 else "\n".join(f'l{k} "q",' for k in range(i % 11 + 1))) for i in range(60)]
+    with open(f"{scratch}/c.csv", "w", newline="") as f:
+        csv.writer(f, lineterminator="\n").writerows([("id", "note"), *rows])
+    got = landed.read_orders_csv(spark, f"{scratch}/c.csv")
+    assert got.schema["_ordinal"].dataType.fieldNames() == ["f", "b", "i"]
+    assert sorted((r.id, r.note) for r in got.collect()) == sorted(rows)
+
+
+def test_composed_steps_share_one_sort(spark):
+    from pyspark.sql import functions as F
+
+    from moodline.sources import landed
+    steps = [(i, (None, None, 1, None, 0)[i % 5], (0, 1, 0, 1, 0)[i * 7 % 5] if i % 5 not in (2, 4) else 0) for i in range(40)]
+    rows = spark.createDataFrame([("a", *s) for s in steps], "f string, n int, s int, x int")
+    out = landed._composed(rows, ["f"], ["n"], F.col("s"), F.col("x"))
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Sort [") + out._jdf.queryExecution().executedPlan().toString().count("Sort [") == 1
+    fixed, flips, told = None, 0, {}
+    for n, s, x in steps:
+        before = fixed, flips
+        fixed, flips = (s, 0) if s is not None else (fixed, (flips + x) % 2)
+        told[n] = (fixed, flips, *before)
+    assert {r.n: (r._fixed, r._flips, r._fixed0, r._flips0) for r in out.collect()} == told
