@@ -57,3 +57,18 @@ def test_whole_files_stream_like_the_batch(spark, scratch):
     store = TableStore(spark, f"{scratch}/wh")
     start_ticket_merge(spark, store, f"{scratch}/land", checkpoint_location=f"{scratch}/ck").awaitTermination()
     assert store.read("raw_zone", "raw_tickets").count() == 1 and pipelines.read_failed(store).count() == 1
+
+
+def test_newest_copies_stay_when_tickets_share_a_bucket(spark, scratch, monkeypatch):
+    import json
+
+    from moodline.streaming import newest
+    monkeypatch.setattr(newest, "BUCKETS", 2)
+    store = TableStore(spark, f"{scratch}/wh", merge_buckets=2)
+    for day in ({i: 5 for i in range(10)}, {i: 4 + 2 * (i % 2) for i in range(10)}):
+        lines = [(json.dumps([{"ticket_id": i, "customer_id": "c", "created_at": f"2026-03-0{d}T10:00:00Z", "sentiment_score": s}
+                              for s in ("0.5", "n/a")]),) for i, d in day.items()]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(f"{scratch}/land")
+        newest.start_newest_tickets(spark, store, f"{scratch}/land", checkpoint_location=f"{scratch}/ck", whole_files=False).awaitTermination()
+    got = {int(r.ticket_id): r.created_at.day for r in store.read("raw_zone", "raw_tickets").collect()}
+    assert got == {i: 6 if i % 2 else 5 for i in range(10)}
