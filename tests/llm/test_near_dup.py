@@ -183,6 +183,48 @@ def test_sampling_collides_as_often_as_the_similarity():
     assert (keys[0] == keys[1]).mean() == pytest.approx(expect, abs=0.04)
 
 
+def test_large_buckets_of_near_misses_are_not_paired_all_with_all(docs_of, monkeypatch):
+    """Texts round one passage, most too different by their own words: pairs verified grow with the texts."""
+    passage = [f"p{j}" for j in range(200)]
+    rows = [" ".join(passage + [f"o{i}x{j}" for j in range(3 + i % 30)]) for i in range(150)]
+    rows += [r + " end" for r in rows[20:30]]
+    rows = list(enumerate(rows))
+    compared, verified = [], nd._verified
+
+    def counting(pairs, sets):
+        found = verified(pairs, sets)
+        compared.append(found.count())
+        return found
+
+    monkeypatch.setattr(nd, "_verified", counting)
+    got = {r["doc_id"]: r["class_id"] for r in nd.classes(docs_of(rows), bands=4, rows=1, common_share=0).collect()}
+    want = brute_classes(rows, math.inf)
+    assert got == want and 100 < len(set(want.values())) < 150
+    assert sum(compared) < 12 * len(rows)
+
+
+def test_cells_lose_no_similar_pair(spark):
+    """Of texts of one bucket, every similar pair is given or meets in a wide cell, whatever counts as few."""
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(1, 1 << 40, 60, dtype=np.uint64)) << np.uint64(8)
+    texts = []
+    for k in range(70):
+        kept = base[rng.random(len(base)) > (k % 35) / 100]
+        fresh = rng.integers(1, 1 << 40, k // 9, dtype=np.uint64) << np.uint64(8)
+        texts.append(np.unique(np.concatenate([kept, fresh])) | rng.integers(0, 3, 1, dtype=np.uint64))
+    sets = spark.createDataFrame([((i, -i), t.tobytes()) for i, t in enumerate(texts)], f"id {nd.ID}, entries binary").cache()
+    rest = spark.createDataFrame([(9, (i, -i), 5) for i in range(70)], f"bucket long, rep {nd.ID}, degree long")
+    similar = {(i, j) for i in range(70) for j in range(i + 1, 70) if nd.weighted_jaccard(texts[i], texts[j]) >= 0.8}
+    for few in (0, 4, 32):
+        pairs, wide = nd._cells(rest, sets, 0.8, few)
+        met = {tuple(sorted((r["a"]["doc_id"], r["b"]["doc_id"]))) for r in pairs.collect()}
+        cells = {}
+        for r in wide.collect():
+            cells.setdefault(r["bucket"], set()).add(r["rep"]["doc_id"])
+        assert similar and all(p in met or any({*p} <= c for c in cells.values()) for p in similar)
+    assert met and len(met) < 70 * 69 / 2
+
+
 def test_room_bounds_no_similar_pair_away(spark):
     """Whatever pair is as similar lies within both texts' bounds; a text with too much of its own has none."""
     rng = np.random.default_rng(3)
