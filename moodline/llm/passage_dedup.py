@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +44,7 @@ ships_by_value(__name__)
 MIN_WORDS = 50
 WINDOW = 25
 SELECT_WORDS = 8
+CONTEXT_WORDS = 1 << 20
 
 
 def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
@@ -95,39 +97,75 @@ def _short(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(32)).astype(np.uint32)
 
 
-def _context(hashes: np.ndarray, at: int, reach: int, left: bool) -> bytes:
-    part = hashes[max(0, at - reach):at][::-1] if left else hashes[at:at + reach]
-    return _short(part).tobytes()
+def _context(short: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray, reach: int, left: bool) -> pa.Array:
+    """Up to ``reach`` words next to each place ``at`` of the text [begin, end); those to the left from the place backwards."""
+    start = begin + (np.maximum(at - reach, 0) if left else at)
+    stop = begin + (at if left else at + reach)
+    start, stop = np.minimum(start, end), np.minimum(stop, end)
+    size = np.maximum(stop - start, 0)
+    offsets = np.zeros(len(at) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    step = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
+    words_at = np.repeat(stop - 1, size) - step if left else np.repeat(start, size) + step
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(short[words_at])])
 
 
 def _contexts(reach: int):
     """Word hashes next to asked places of a text: to the left of ``lefts``, to the right of ``rights``."""
+    most = max(1, CONTEXT_WORDS // reach)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, versions = batch.column("doc_id").to_pylist(), batch.column("version").to_pylist()
-            asked = [batch.column(c) for c in ("lefts", "rights")]
+            ids, versions = batch.column("doc_id"), batch.column("version")
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 found = words(data, offsets)
-                out: list[tuple] = []
-                for row in range(lo, hi):
-                    own = found.hash[found.first[row - lo]:found.first[row - lo + 1]]
-                    for left, column in zip((True, False), asked, strict=True):
-                        out += [(ids[row], versions[row], at, left, _context(own, at, reach, left))
-                                for at in column[row].as_py() or ()]
-                columns = list(zip(*out, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                     pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.bool_()),
-                     pa.array(columns[4], pa.binary())], names=["doc_id", "version", "at", "left", "context"])
+                short = _short(found.hash)
+                for left, name in ((True, "lefts"), (False, "rights")):
+                    asked = batch.column(name).slice(lo, hi - lo)
+                    rows = np.repeat(np.arange(hi - lo), pc.fill_null(pc.list_value_length(asked), 0).to_numpy(zero_copy_only=False))
+                    places = pc.list_flatten(asked).to_numpy(zero_copy_only=False).astype(np.int64)
+                    for k in range(0, len(rows), most):
+                        row, at = rows[k:k + most], places[k:k + most]
+                        take = pa.array(row + lo)
+                        yield pa.RecordBatch.from_pydict({
+                            "doc_id": ids.take(take), "version": versions.take(take), "at": pa.array(at.astype(np.int32)),
+                            "left": pa.array(np.full(len(at), left)),
+                            "context": _context(short, found.first[row], found.first[row + 1], at, reach, left)})
     return run
 
 
-def _common(a: np.ndarray, b: bytes) -> int:
-    """Length of the common prefix of word hashes."""
-    b = np.frombuffer(b, np.uint32)
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(_short(a[:n]) != b[:n])
-    return int(differ[0]) if len(differ) else n
+def _common(short: np.ndarray, start: np.ndarray, step: int, room: np.ndarray, contexts: pa.Array, reach: int) -> np.ndarray:
+    """How many words of each context the words from ``start`` on (``step`` 1 or -1), ``room`` at most, are equal to."""
+    contexts = pc.fill_null(contexts, b"").cast(pa.large_binary())
+    ends = np.frombuffer(contexts.buffers()[1], np.int64)[contexts.offset:contexts.offset + len(contexts) + 1] // 4
+    data = contexts.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    values = data[:len(data) // 4 * 4].view(np.uint32)
+    size = np.maximum(np.minimum(np.minimum(room, reach), np.diff(ends)), 0)
+    out, most = size.copy(), max(1, CONTEXT_WORDS // reach)
+    for k in range(0, len(size), most):
+        n = size[k:k + most]
+        first = np.cumsum(n) - n
+        along = np.arange(n.sum()) - np.repeat(first, n)
+        differ = np.flatnonzero(short[np.repeat(start[k:k + most], n) + step * along] != values[np.repeat(ends[k:k + len(n)], n) + along])
+        if len(differ):
+            at = np.append(differ, np.iinfo(np.int64).max)[np.searchsorted(differ, first)]
+            out[k:k + most] = np.where(at < first + n, at - first, n)
+    return out
+
+
+def _lengthened_by(lists: pa.Array, found, reach: int):
+    """Matches of a run of texts as one array, their text numbers, and the words they gain to the left and right."""
+    held = pc.list_flatten(lists)
+    row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+    lo, hi = (_ints(held, c) for c in ("lo", "hi"))
+    short, begin, end = _short(found.hash), found.first[row], found.first[row + 1]
+    return (held, row, lo, hi, _common(short, begin + lo - 1, -1, lo, pc.struct_field(held, "left"), reach),
+            _common(short, begin + hi, 1, end - begin - hi, pc.struct_field(held, "right"), reach))
+
+
+def _ints(held: pa.Array, name: str) -> np.ndarray:
+    return pc.struct_field(held, name).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def _extended(reach: int, min_words: int, cut: bool):
@@ -135,85 +173,70 @@ def _extended(reach: int, min_words: int, cut: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = [f.name for f in batch.schema]
-            lists = batch.column("__matches")
             texts: list[str | None] = []
-            rows: list[tuple] = []
             for lo, hi, data, offsets in chunks(batch.column("text")):
-                found = None
-                for row in range(lo, hi):
-                    matches = lists[row].as_py() or ()
-                    if not matches:
-                        if cut:
-                            texts.append(batch.column("text")[row].as_py())
+                lists = batch.column("__matches").slice(lo, hi - lo)
+                if not pc.sum(pc.list_value_length(lists)).as_py():
+                    texts += batch.column("text").slice(lo, hi - lo).to_pylist() if cut else []
+                    continue
+                found = words(data, offsets)
+                held, row, begin, end, more_left, more_right = _lengthened_by(lists, found, reach)
+                begin, end = begin - more_left, end + more_right
+                long = np.flatnonzero(end - begin >= min_words)
+                row, begin, end = row[long], begin[long], end[long]
+                if not cut:
+                    yield pa.RecordBatch.from_pydict({
+                        "doc_id": batch.column("doc_id").take(pa.array(row + lo)), "start_word": pa.array(begin.astype(np.int32)),
+                        "n_words": pa.array((end - begin).astype(np.int32)),
+                        "first_doc_id": pc.struct_field(held, "first_doc").take(pa.array(long)),
+                        "first_start_word": pa.array((begin - _ints(held, "shift")[long]).astype(np.int32))})
+                    continue
+                order = np.lexsort((end, begin, row))
+                row, begin, end = row[order], begin[order], end[order]
+                of = np.searchsorted(row, np.arange(hi - lo + 1))
+                for k in range(hi - lo):
+                    if not lists[k].is_valid or not len(lists[k]):
+                        texts.append(batch.column("text")[lo + k].as_py())
                         continue
-                    if found is None:
-                        found = words(data, offsets)
-                    k = row - lo
                     w0, w1 = int(found.first[k]), int(found.first[k + 1])
-                    own = found.hash[w0:w1]
-                    spans = []
-                    for m in matches:
-                        more_left = _common(own[max(0, m["lo"] - reach):m["lo"]][::-1], m["left"] or b"")
-                        more_right = _common(own[m["hi"]:m["hi"] + reach], m["right"] or b"")
-                        a, b = m["lo"] - more_left, m["hi"] + more_right
-                        if b - a >= min_words:
-                            spans.append((a, b, m["first_doc"], a - m["shift"]))
-                    spans.sort()
-                    if not cut:
-                        rows += [(batch.column("doc_id")[row].as_py(), a, b - a, d, at) for a, b, d, at in spans]
-                        continue
                     kept, done = [], int(offsets[k])
-                    for a, b, *_ in spans:
+                    for a, b in zip(begin[of[k]:of[k + 1]], end[of[k]:of[k + 1]], strict=True):
                         start = int(found.start[w0 + a])
-                        end = int(found.start[w0 + b]) if w0 + b < w1 else int(offsets[k + 1])
+                        stop = int(found.start[w0 + b]) if w0 + b < w1 else int(offsets[k + 1])
                         if start > done:
                             kept.append(data[done:start].tobytes())
-                        done = max(done, end)
+                        done = max(done, stop)
                     kept.append(data[done:offsets[k + 1]].tobytes())
                     texts.append(b"".join(kept).decode("utf-8"))
             if cut:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names if n != "__matches"],
                     names=[n for n in names if n != "__matches"])
-            else:
-                columns = list(zip(*rows, strict=True)) or [()] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()),
-                     pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.int64()),
-                     pa.array(columns[4], pa.int32())],
-                    names=["doc_id", "start_word", "n_words", "first_doc_id", "first_start_word"])
     return run
 
 
 def _lengthened(reach: int, min_words: int):
     """Matches extended by up to ``reach`` words a side; open ones may go on."""
-    names = ("first_doc", "first_version", "shift")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, versions = batch.column("doc_id").to_pylist(), batch.column("version").to_pylist()
-            lists = batch.column("__matches")
+            ids, versions = batch.column("doc_id"), batch.column("version")
             for lo, hi, data, offsets in chunks(batch.column("text")):
                 found = words(data, offsets)
-                out: list[tuple] = []
-                for row in range(lo, hi):
-                    own = found.hash[found.first[row - lo]:found.first[row - lo + 1]]
-                    grown, ends = [], np.zeros(len(own) + 2, np.int32)
-                    for m in lists[row].as_py():
-                        more_left = _common(own[max(0, m["lo"] - reach):m["lo"]][::-1], m["left"] or b"")
-                        more_right = _common(own[m["hi"]:m["hi"] + reach], m["right"] or b"")
-                        a, b = m["lo"] - more_left, m["hi"] + more_right
-                        if b - a >= min_words:
-                            ends[a] += 1
-                            ends[b] -= 1
-                        grown.append((m, a, b, more_left == reach, more_right == reach))
-                    covered = np.cumsum(ends) > 0
-                    out += [(ids[row], versions[row], *(m[n] for n in names), a, b, m["begin"], m["end"],
-                             left or right and not covered[b]) for m, a, b, left, right in grown]
-                columns = list(zip(*out, strict=True)) or [()] * 10
-                kinds = [pa.int64()] * 4 + [pa.int32()] * 5 + [pa.bool_()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                                 names=["doc_id", "version", *names, "lo", "hi", "begin", "end", "open"])
+                held, row, begin, end, more_left, more_right = _lengthened_by(batch.column("__matches").slice(lo, hi - lo), found, reach)
+                begin, end = begin - more_left, end + more_right
+                # Places of all texts in one row, each with two more than its words.
+                place, long = found.first[row] + 2 * row, end - begin >= min_words
+                ends = np.zeros(int(found.first[-1]) + 2 * (hi - lo) + 1, np.int64)
+                np.add.at(ends, (place + begin)[long], 1)
+                np.add.at(ends, (place + end)[long], -1)
+                covered = np.cumsum(ends) > 0
+                take = pa.array(row + lo)
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": ids.take(take), "version": versions.take(take),
+                    **{n: pc.struct_field(held, n) for n in ("first_doc", "first_version", "shift")},
+                    "lo": pa.array(begin.astype(np.int32)), "hi": pa.array(end.astype(np.int32)),
+                    **{n: pc.struct_field(held, n) for n in ("begin", "end")},
+                    "open": pa.array((more_left == reach) | (more_right == reach) & ~covered[place + end])})
     return run
 
 

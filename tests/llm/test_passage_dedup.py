@@ -1,7 +1,11 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from moodline.llm import passage_dedup as pd_
+from moodline.llm import textbuf
 from tests.conftest import SF_SMALL
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -111,3 +115,24 @@ def test_edges(docs_of):
     assert texts.count((5, "Intro. ")) == 2
     assert len(dict(x for x in texts if x[0])[6]) < 200
     assert pd_.repeats(docs.where("false")).count() == 0
+
+
+def test_contexts_are_the_words_beside_each_place(monkeypatch):
+    """All asked places, also at a text's ends; a batch holds a bounded number of words."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 99, n)) for n in (0, 1, 7, 60, 300)]
+    lefts = [None, [0, 1], [3], list(range(61)), [300, 0, 5]]
+    rights = [[0], None, [7, 0], list(range(61)), [300, 299, 1]]
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(range(5), pa.int64()), "version": pa.array(range(10, 15), pa.int64()), "text": pa.array(texts),
+        "lefts": pa.array(lefts, pa.list_(pa.int32())), "rights": pa.array(rights, pa.list_(pa.int32()))})
+    want = set()
+    for i, text in enumerate(texts):
+        data, offsets = textbuf.buffers(pa.array([text]))
+        own = (textbuf.words(data, offsets).hash >> np.uint64(32)).astype(np.uint32)
+        want |= {(i, i + 10, at, True, own[max(0, at - 24):at][::-1].tobytes()) for at in lefts[i] or ()}
+        want |= {(i, i + 10, at, False, own[at:at + 24].tobytes()) for at in rights[i] or ()}
+    monkeypatch.setattr(pd_, "CONTEXT_WORDS", 480)
+    got = list(pd_._contexts(24)(iter([batch])))
+    assert {tuple(r.values()) for b in got for r in b.to_pylist()} == want
+    assert sum(b.num_rows for b in got) == len(want) and max(b.num_rows for b in got) == 20
