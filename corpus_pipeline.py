@@ -36,7 +36,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each class of near duplicates."""
-    return near_dup.one_of_each(docs, common_share=0)
+    return near_dup.one_of_each(docs, common_share=0, copies_once=True)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

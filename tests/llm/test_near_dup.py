@@ -5,8 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from moodline.llm import near_dup as nd
+from moodline.llm.queries import queries
 from tests.conftest import SF_SMALL
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -242,3 +244,59 @@ def test_room_bounds_no_similar_pair_away(spark):
     assert similar and 60 not in room
     for i, j in similar:
         assert room[i]["least"] <= room[j]["total"] <= room[i]["most"]
+
+
+def _edited(words, edits, rng, name):
+    own = list(words)
+    for k in rng.sample(range(5, len(words) - 5, 6), edits):
+        own[k] = f"{name}e{k}"
+    return " ".join(own)
+
+
+def test_near_copies_in_large_groups_are_found_by_the_query(spark, docs_of, scratch):
+    """What a group shares weighs no less because the group is large; a passage of unrelated texts still does."""
+    rng = random.Random(8)
+    base, other = ([f"{c}{j}" for j in range(200)] for c in "bo")
+    near = [_edited(base, 2, rng, f"n{i}x") for i in range(60)]
+    copies = [" ".join(other)] * 40 + [_edited(other, 4, rng, f"c{i}x") for i in range(2)]
+    passage = " ".join(f"p{j}" for j in range(150))
+    clean = [" ".join(f"u{i}x{j}" for j in range(rng.choice([30, 120]))) for i in range(150)]
+    clean += [f"{passage} " + " ".join(f"v{i}x{j}" for j in range(90)) for i in range(40)]
+    docs_of(near + copies + clean).repartition(5).write.parquet(f"{scratch}/documents.parquet")
+    got = {r["doc_id"]: r["class_id"] for r in queries()["op7_neardup"](spark, scratch).collect()}
+    first, second = len(near), len(near) + len(copies)
+    assert {got[i] for i in range(first)} == {0}
+    assert {got[i] for i in range(first, second)} == {first}
+    assert all(got[i] == i for i in range(second, second + len(clean)))
+
+
+def test_groups_count_once_in_document_frequencies(spark, docs_of, monkeypatch):
+    passage = " ".join(f"p{j}" for j in range(30))
+    rows = [(i, f"{passage} a{i}") for i in range(9)] + [(20, f"{passage} a0"), (1, f"{passage} a1"), (None, f"{passage} a1")]
+    rows += [(100 + i, f"some words that only these texts hold {i % 2}") for i in range(4)] + [(200, None), (201, "?")]
+    monkeypatch.setattr(nd, "BLOCK_BYTES", 300)
+    weights = nd.Weights(docs_of(rows).repartition(4), 0)
+    signed = nd.signatures(weights).where("doc_id < 6 or doc_id = 20 or doc_id >= 100 and doc_id < 200")
+    held = (signed.groupBy("k1").agg(F.min(F.struct("doc_id", "block")).alias("first"), F.count("*").alias("n"))
+            .select("first.*", F.col("k1").alias("key"), "n", F.expr("if(first.doc_id < 100, first.doc_id % 2, -1) as `group`")))
+    found = weights.of_copies(held)
+    # 0 to 5 and the copies 20 and 1 are two groups, all of 100 to 103 one; 6 to 8 and a text without doc_id stay alone.
+    assert weights.n == 18 and found.n == 9
+    assert sorted({r["doc_id"] for r in found.texts.collect()}) == [0, 1, 2, 3, 4, 5, 100, 101]
+    df = {}
+    for r in found.df.collect():
+        n = np.frombuffer(r["df"], np.int64).tolist()
+        for i, k in enumerate(n):
+            assert df.setdefault((r["range"], r["grams"][6 * i:6 * i + 6]), k) == k
+    assert sorted(df.values()) == [2] + [6] * 26
+
+
+def test_copies_count_once_on_families(docs_of):
+    """Every link by whole document frequencies stays, and all texts alike by their counts alone join."""
+    rows = _texts()
+    whole = brute_classes(rows, math.inf)
+    counted = brute_classes(rows, 1.0)
+    for few in (4, 32):
+        got = {r["doc_id"]: r["class_id"] for r in nd.classes(docs_of(rows), small_bucket=few, common_share=0, copies_once=True).collect()}
+        assert got == counted and all(got[i] == got[c] for i, c in whole.items())
+    assert len(set(whole.values())) > len(set(counted.values()))
